@@ -253,6 +253,7 @@ def _run(
             bad = _in_window(window, "__none")(bad).select(
                 F.col(CORRUPT).alias("record"),
                 F.col("__file").alias("record_source"),
+                "parsed_fields",
                 F.array(F.lit("malformed")).alias(REASONS),
                 F.lit(MALFORMED).alias("error_type"),
                 F.lit(stream.name).alias("error_stage"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.functions.arithmetic import rounded, safe_ratio, scaled
+from tidewatt.functions.arithmetic import rounded_ratio, scaled
 from tidewatt.functions.calendar import date_key, day_part, iso_day_of_week
 from tidewatt.functions.hashing import surrogate_key
 from tidewatt.operators.calendar import time_spine
@@ -96,7 +96,7 @@ def fact_hourly_energy_billing(priced: DataFrame) -> DataFrame:
         surrogate_key("state_code").alias("pricing_zone_key"),
         "reading_hour",
         "energy_kwh",
-        rounded(safe_ratio(F.col("usage_revenue"), F.col("energy_kwh")), 6).alias("price_per_kwh"),
+        rounded_ratio(F.col("usage_revenue"), F.col("energy_kwh"), 6).alias("price_per_kwh"),
         "usage_revenue",
         "reading_count",
     )
@@ -140,6 +140,6 @@ def mart_executive_billing(fact: DataFrame, meters: DataFrame, zones: DataFrame)
         *PERIOD, *by, "energy_kwh", "net_revenue",
         scaled(net, TAX_RATE, 4).alias("tax_amount"),
         scaled(net, GROSS_RATE, 4).alias("gross_billed"),
-        rounded(safe_ratio(net, energy), 4).alias("realized_price_per_kwh"),
+        rounded_ratio(net, energy, 4).alias("realized_price_per_kwh"),
         net.alias("revenue_per_meter"),
     )

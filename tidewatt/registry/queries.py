@@ -676,7 +676,7 @@ def _raw_records(spark: SparkSession, folder: str) -> DataFrame:
     )
     text = F.to_json(record)
     return supplied.table(spark, folder, "events").select(
-        F.when(k == 6, F.concat(text, F.lit("}{"))).otherwise(text).alias("value"),
+        F.when(k == 6, F.concat(F.lit("{oops "), text)).otherwise(text).alias("value"),
         F.date_format("ts", "yyyy").alias("year"),
         F.date_format("ts", "MM").alias("month"),
         F.date_format("ts", "dd").alias("day"),

@@ -45,7 +45,11 @@ def well_formed(frame: DataFrame) -> DataFrame:
 
 
 def malformed(frame: DataFrame) -> DataFrame:
-    return frame.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, SOURCE_FILE)
+    """Lines that are not JSON, with whatever fields could still be read from them."""
+    fields = [name for name in frame.columns if name not in (CORRUPT, SOURCE_FILE)]
+    return frame.filter(F.col(CORRUPT).isNotNull()).select(
+        CORRUPT, SOURCE_FILE, F.to_json(F.struct(*fields)).alias("parsed_fields")
+    )
 
 
 def read_parquet(
