@@ -25,14 +25,14 @@ def periodic_totals(
     moment: str,
     by: Sequence[str],
     sums: Mapping[str, str],
-    data_start: Column,
     count: str | None = None,
 ) -> DataFrame:
     """Sum ``sums`` (output name -> input column) per grain, period and ``by``.
 
     The five grains are not five passes: rows collapse to hours, hours to days, and only the
     day totals are spread over day, week, month and year. Sums are exact decimals, so the
-    order of adding does not matter. ``period_start`` is never before ``data_start``.
+    order of adding does not matter. ``period_start`` is never before the earliest ``moment``
+    of the whole frame, which is read off the hour totals.
     """
     names = list(sums)
     first = [F.sum(column).alias(name) for name, column in sums.items()]
@@ -43,6 +43,7 @@ def periodic_totals(
 
     hours = frame.groupBy(*by, F.date_trunc("hour", F.col(moment)).alias("__hour")).agg(*first)
     days = hours.groupBy(*by, F.date_trunc("day", "__hour").alias("__day")).agg(*again)
+    data_start = frame.agg(F.min(moment)).scalar()
     orders = dict(GRAINS)
     hourly = hours.select(
         _grain_columns("Hour", orders["Hour"], F.col("__hour"), data_start).alias("__period"),

@@ -1,49 +1,53 @@
 """Previous, next and carried-forward values along a keyed timeline.
 
 A plain window over the key sorts all rows of one key in one task. Here the timeline of a key
-is cut into calendar slices: the window runs per (key, slice), a small per-slice summary is
-chained over the key, and its value fills the edge of each slice. The result is the same; the
-largest task is one slice of one key.
+is cut into calendar slices: the window runs per (key, slice), and only one row per slice takes
+part in a second window that links the slices of a key. The result is the same; the largest task
+is one slice of one key. ``slice_unit=None`` asks for the plain window, for keys that are known
+to have few rows each (a primary key, for example).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 SLICE = "__slice"
 NEAR = "__near"
-FAR = "__far"
+SHARED = "__shared"
+WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def _over_timeline(
+def _linked(
     frame: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
     value: Column,
     name: str,
-    slice_unit: str,
-    near,
-    edge,
-    far,
+    slice_unit: str | None,
+    step: Callable[[Column], Column],
+    passed_on: Callable[[Column], Column],
 ) -> DataFrame:
-    sliced = frame.withColumn(SLICE, F.date_trunc(slice_unit, F.col(order[0])))
-    keys = [*by, SLICE]
-    within = Window.partitionBy(*keys).orderBy(*order)
+    """``step`` is lag or lead; ``passed_on`` picks the value a slice hands to its neighbour.
+
+    Rows at the edge of a slice have no neighbour inside it. They alone go through the second
+    window. Both branches read the same shuffle.
+    """
+    if slice_unit is None:
+        return frame.withColumn(name, step(value).over(Window.partitionBy(*by).orderBy(*order)))
+    window = Window.partitionBy(*by, SLICE).orderBy(*order)
     across = Window.partitionBy(*by).orderBy(SLICE)
-    rows = sliced.withColumn(NEAR, near(value, within))
-    edges = (
-        sliced.groupBy(*keys)
-        .agg(edge(value).alias(FAR))
-        .withColumn(FAR, far(F.col(FAR), across))
-    )
-    return (
-        rows.join(edges, keys, "left")
-        .withColumn(name, F.coalesce(NEAR, FAR))
-        .drop(SLICE, NEAR, FAR)
+    sliced = frame.withColumn(SLICE, F.date_trunc(slice_unit, F.col(order[0]))).withColumns(
+        {
+            NEAR: step(value).over(window),
+            SHARED: passed_on(value).over(window.rowsBetween(*WHOLE)),
+        }
     )
+    inner = sliced.filter(F.col(NEAR).isNotNull()).withColumn(name, F.col(NEAR))
+    edge = sliced.filter(F.col(NEAR).isNull()).withColumn(name, step(F.col(SHARED)).over(across))
+    return inner.unionByName(edge).drop(SLICE, NEAR, SHARED)
 
 
 def with_previous(
@@ -52,30 +56,25 @@ def with_previous(
     order: Sequence[str],
     value: Column,
     name: str,
-    slice_unit: str = "month",
+    slice_unit: str | None = "month",
 ) -> DataFrame:
     """Add the non-NULL ``value`` of the preceding row of the key (NULL for the first).
 
     ``order[0]`` is a non-NULL timestamp; the whole order must be unique within a key.
     """
-    rank = F.struct(*order)
-    return _over_timeline(
-        frame, by, order, value, name, slice_unit,
-        near=lambda v, w: F.lag(v).over(w),
-        edge=lambda v: F.max_by(v, rank),
-        far=lambda v, w: F.lag(v).over(w),
-    )
+    return _linked(frame, by, order, value, name, slice_unit, F.lag, F.last)
 
 
 def with_next_start(
-    frame: DataFrame, by: Sequence[str], start: str, name: str, slice_unit: str = "month"
+    frame: DataFrame, by: Sequence[str], start: str, name: str, slice_unit: str | None = "month"
 ) -> DataFrame:
     """Add the next row's ``start`` within the key: the open end of an effective interval."""
-    return _over_timeline(
-        frame, by, [start], F.col(start), name, slice_unit,
-        near=lambda v, w: F.lead(v).over(w),
-        edge=F.min,
-        far=lambda v, w: F.lead(v).over(w),
+    return _linked(frame, by, [start], F.col(start), name, slice_unit, F.lead, F.first)
+
+
+def _last_known(value: Column, window: WindowSpec, upto: int) -> Column:
+    return F.last(value, ignorenulls=True).over(
+        window.rowsBetween(Window.unboundedPreceding, upto)
     )
 
 
@@ -87,14 +86,24 @@ def with_carried(
     name: str,
     slice_unit: str = "day",
 ) -> DataFrame:
-    """Add the most recent non-NULL ``value`` at or before each row."""
-    rank = F.struct(*order)
-    earlier = (Window.unboundedPreceding, -1)
-    return _over_timeline(
-        frame, by, order, value, name, slice_unit,
-        near=lambda v, w: F.last(v, ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-        edge=lambda v: F.max_by(v, F.when(v.isNotNull(), rank)),
-        far=lambda v, w: F.last(v, ignorenulls=True).over(w.rowsBetween(*earlier)),
+    """Add the most recent non-NULL ``value`` at or before each row.
+
+    Any number of rows may open a slice without a value, so the slices are linked through a
+    summary of one row each, joined back.
+    """
+    keys = [*by, SLICE]
+    sliced = frame.withColumn(SLICE, F.date_trunc(slice_unit, F.col(order[0])))
+    within = Window.partitionBy(*keys).orderBy(*order)
+    across = Window.partitionBy(*by).orderBy(SLICE)
+    latest = F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+    carried_in = (
+        sliced.groupBy(*keys)
+        .agg(latest.alias(SHARED))
+        .withColumn(SHARED, _last_known(F.col(SHARED), across, -1))
+    )
+    return (
+        sliced.withColumn(NEAR, _last_known(value, within, Window.currentRow))
+        .join(carried_in, keys, "left")
+        .withColumn(name, F.coalesce(NEAR, SHARED))
+        .drop(SLICE, NEAR, SHARED)
     )

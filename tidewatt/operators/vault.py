@@ -78,12 +78,13 @@ def satellite(
     existing: DataFrame | None = None,
     tie_break: Sequence[str] = (),
     high_water_mark: bool = False,
-    slice_unit: str = "month",
+    slice_unit: str | None = "month",
 ) -> DataFrame:
     """Payload changes per parent in load-time order, after what the target already holds.
 
     At most one row per (parent, load time): the greatest by ``tie_break``, then hashdiff.
     Rows at or before the parent's last loaded time were loaded earlier and add nothing.
+    ``slice_unit=None`` is for parents with few rows each: the whole load is then one shuffle.
     """
     columns = [parent_hashkey, hashdiff, LDTS, RSRC, *payload]
     extra = [name for name in tie_break if name not in columns]
@@ -91,6 +92,8 @@ def satellite(
     if existing is not None and high_water_mark:
         mark = existing.agg(F.max(LDTS)).scalar()
         rows = rows.filter(mark.isNull() | (F.col(LDTS) > mark))
+    if slice_unit is None:
+        rows = rows.repartition(parent_hashkey)
     rows = latest_by_key(rows, [parent_hashkey, LDTS], [*tie_break, hashdiff]).select(*columns)
     loaded = F.lit(None).cast("string")
     if existing is not None:
@@ -109,7 +112,10 @@ def satellite(
 
 
 def satellite_intervals(
-    sat: DataFrame, parent_hashkey: str, valid_to: str = "valid_to", slice_unit: str = "month"
+    sat: DataFrame,
+    parent_hashkey: str,
+    valid_to: str = "valid_to",
+    slice_unit: str | None = "month",
 ) -> DataFrame:
     """End-date each satellite row at the parent's next load time."""
     return with_next_start(sat, [parent_hashkey], LDTS, valid_to, slice_unit)
@@ -121,14 +127,19 @@ def current_rows(sat: DataFrame, parent_hashkey: str, tie_break: Sequence[str] =
 
 
 def _located(
-    keys: DataFrame, sat: DataFrame, name: str, hashkey: str, snapshots: Column
+    keys: DataFrame,
+    sat: DataFrame,
+    name: str,
+    hashkey: str,
+    snapshots: Column,
+    slice_unit: str | None,
 ) -> DataFrame:
     """For every key and snapshot the load time of the satellite row in force, or NULL.
 
     Each version claims the snapshots between its load time and the next one; the time before
     the first version is claimed by a placeholder. No range join and no pair that is not output.
     """
-    versions = satellite_intervals(sat.select(hashkey, LDTS), hashkey, "__until")
+    versions = satellite_intervals(sat.select(hashkey, LDTS), hashkey, "__until", slice_unit)
     first = sat.groupBy(hashkey).agg(F.min(LDTS).alias("__until"))
     unversioned = keys.join(first, hashkey, "left").select(
         hashkey, F.lit(None).cast("timestamp").alias(LDTS), "__until"
@@ -153,6 +164,7 @@ def pit(
     snapshots: DataFrame,
     trigger: str,
     dimension_key: str,
+    slice_unit: str | None = "month",
 ) -> DataFrame:
     """Hub keys by triggered snapshots, with the satellite row in force at each.
 
@@ -164,7 +176,7 @@ def pit(
     keys = hub_rows.filter(F.col(hashkey).isNotNull()).select(hashkey)
     result = None
     for name, sat in satellites.items():
-        located = _located(keys, sat, name, hashkey, active)
+        located = _located(keys, sat, name, hashkey, active, slice_unit)
         result = located if result is None else result.join(located, [hashkey, "sdts"], "inner")
     digest = F.md5(F.concat(F.col(hashkey), F.col("sdts").cast("string")))
     return result.select(digest.alias(dimension_key), "*")

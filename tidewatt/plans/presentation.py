@@ -104,14 +104,12 @@ def fact_hourly_energy_billing(priced: DataFrame) -> DataFrame:
 
 def mart_meter_operations(fact: DataFrame, meters: DataFrame) -> DataFrame:
     """Operational totals per grain, period and meter. ``fact`` is fact_meter_reading."""
-    start = fact.agg(F.min("event_time")).scalar()
     totals = periodic_totals(
         fact,
         "event_time",
         ["meter_key"],
         {"energy_kwh": "energy_kwh", "voltage_sum": "voltage_v",
          "power_factor_sum": "power_factor"},
-        start,
         count="reading_count",
     )
     dims = meters.select("meter_key", "meter_id", "us_region", "state_code")
@@ -122,22 +120,24 @@ def mart_meter_operations(fact: DataFrame, meters: DataFrame) -> DataFrame:
 
 
 def mart_executive_billing(fact: DataFrame, meters: DataFrame, zones: DataFrame) -> DataFrame:
-    """Billing totals per grain, period, meter and currency. ``fact`` is the hourly fact."""
-    start = fact.agg(F.min("reading_hour")).scalar()
-    by = ["meter_id", "us_region", "state_code", "currency_code"]
-    star = fact.join(
-        meters.select("meter_key", "meter_id", "us_region", "state_code"), "meter_key"
-    ).join(zones.select("pricing_zone_key", "currency_code"), "pricing_zone_key")
+    """Billing totals per grain, period, meter and currency. ``fact`` is the hourly fact.
+
+    The zone is looked up before the totals because its currency is a group column; rows without
+    one still count for the first period and are dropped afterwards. The meter is looked up on
+    the totals, which are fewer. Store ``fact`` first when it is expensive: it is read twice.
+    """
+    zone = zones.select("pricing_zone_key", "currency_code", F.lit(True).alias("__zoned"))
     totals = periodic_totals(
-        star,
+        fact.join(zone, "pricing_zone_key", "left"),
         "reading_hour",
-        by,
+        ["meter_key", "currency_code", "__zoned"],
         {"energy_kwh": "energy_kwh", "net_revenue": "usage_revenue"},
-        start,
-    )
+    ).filter("__zoned")
+    dims = meters.select("meter_key", "meter_id", "us_region", "state_code")
     net, energy = F.col("net_revenue"), F.col("energy_kwh")
-    return totals.select(
-        *PERIOD, *by, "energy_kwh", "net_revenue",
+    return totals.join(dims, "meter_key").select(
+        *PERIOD, "meter_id", "us_region", "state_code", "currency_code",
+        "energy_kwh", "net_revenue",
         scaled(net, TAX_RATE, 4).alias("tax_amount"),
         scaled(net, GROSS_RATE, 4).alias("gross_billed"),
         rounded_ratio(net, energy, 4).alias("realized_price_per_kwh"),

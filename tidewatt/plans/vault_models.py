@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,10 +66,18 @@ class SatelliteModel:
     hashdiff: str
     payload: tuple[str, ...]
     tie_break: tuple[str, ...] = ()
+    # None where the parent is the primary key of the source table.
+    slice_unit: str | None = "month"
 
     def rows(self, staged: DataFrame, existing: DataFrame | None) -> DataFrame:
         return satellite(
-            staged, self.key, self.hashdiff, self.payload, existing, tie_break=self.tie_break
+            staged,
+            self.key,
+            self.hashdiff,
+            self.payload,
+            existing,
+            tie_break=self.tie_break,
+            slice_unit=self.slice_unit,
         )
 
 
@@ -101,6 +109,7 @@ MODELS = {
         "hd_reading_metrics_s",
         ("event_time", "energy_kwh", "voltage_v", "current_a", "power_factor"),
         ("event_time",),
+        slice_unit=None,
     ),
     "sat_price_details": SatelliteModel(
         "prices",
@@ -108,6 +117,7 @@ MODELS = {
         "hd_price_details_s",
         ("schema_version", "effective_from", "price_per_kwh"),
         ("effective_from",),
+        slice_unit=None,
     ),
     "sat_pricing_zone_details": SatelliteModel(
         "prices",
@@ -140,27 +150,38 @@ PITS = {
 
 
 def load_vault(
-    readings: DataFrame, prices: DataFrame, existing: Mapping[str, DataFrame] | None = None
+    readings: DataFrame,
+    prices: DataFrame,
+    existing: Mapping[str, DataFrame] | None = None,
+    tables: Iterable[str] = tuple(MODELS),
 ) -> dict[str, DataFrame]:
-    """Rows to append to every hub, link and satellite. Without ``existing``: the full vault."""
+    """Rows to append to the named hubs, links and satellites (default: all).
+
+    Without ``existing`` the result is the full vault.
+    """
     staged = {"readings": stage_readings(readings), "prices": stage_prices(prices)}
     existing = existing or {}
     return {
-        name: model.rows(staged[model.source], existing.get(name))
-        for name, model in MODELS.items()
+        name: MODELS[name].rows(staged[MODELS[name].source], existing.get(name))
+        for name in tables
     }
 
 
+def load_pit(
+    name: str, vault: Mapping[str, DataFrame], snapshots: DataFrame
+) -> DataFrame:
+    """One point-in-time table of the retained snapshots, cleaned of the others."""
+    owner, key, sat, trigger, dimension = PITS[name]
+    rows = pit(
+        vault[owner], key, {sat: vault[sat]}, snapshots, trigger, dimension,
+        slice_unit=MODELS[sat].slice_unit,
+    )
+    return clean_pit(rows, snapshots, trigger)
+
+
 def load_pits(
     spark: SparkSession, vault: Mapping[str, DataFrame], as_of: AsOf
 ) -> dict[str, DataFrame]:
-    """Point-in-time tables of the retained snapshots, cleaned of the others."""
+    """All point-in-time tables at ``as_of``."""
     snapshots = retained_snapshots(snapshot_calendar(spark, as_of), as_of)
-    return {
-        name: clean_pit(
-            pit(vault[owner], key, {sat: vault[sat]}, snapshots, trigger, dimension),
-            snapshots,
-            trigger,
-        )
-        for name, (owner, key, sat, trigger, dimension) in PITS.items()
-    }
+    return {name: load_pit(name, vault, snapshots) for name in PITS}

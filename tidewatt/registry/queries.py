@@ -29,7 +29,6 @@ from tidewatt.operators.snapshots import retained_snapshots, snapshot_calendar
 from tidewatt.operators.validation import REASONS, RecordContract, ValidationRule, validate
 from tidewatt.operators.vault import (
     HashDiff,
-    clean_pit,
     hub,
     pit,
     read_as_of,
@@ -39,8 +38,16 @@ from tidewatt.operators.vault import (
 from tidewatt.operators.windows import BackfillWindow
 from tidewatt.plans import charts, curation, information, presentation, quality
 from tidewatt.plans.metrics import MetricLayer
-from tidewatt.plans.vault_models import MODELS, PITS, load_vault, stage_prices, stage_readings
+from tidewatt.plans.vault_models import (
+    MODELS,
+    PITS,
+    load_pit,
+    load_vault,
+    stage_prices,
+    stage_readings,
+)
 from tidewatt.session import work_folder
+from tidewatt.sinks.tables import stored
 from tidewatt.sources import supplied
 from tidewatt.sources.files import (
     RAW_PARTITION,
@@ -263,8 +270,9 @@ def asof_unpriced(spark: SparkSession, folder: str) -> DataFrame:
 # Vault --------------------------------------------------------------------------------------
 
 
-def _vault(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return load_vault(supplied.readings(spark, folder), supplied.prices(spark, folder))
+def _vault(spark: SparkSession, folder: str, tables=tuple(MODELS)) -> dict[str, DataFrame]:
+    readings, prices = supplied.readings(spark, folder), supplied.prices(spark, folder)
+    return load_vault(readings, prices, tables=tables)
 
 
 def query_stage_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,13 +291,7 @@ def query_stage_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 def _vault_table(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        model = MODELS[name]
-        source = (
-            stage_readings(supplied.readings(spark, folder))
-            if model.source == "readings"
-            else stage_prices(supplied.prices(spark, folder))
-        )
-        return model.rows(source, None)
+        return _vault(spark, folder, [name])[name]
 
     return run
 
@@ -346,12 +348,9 @@ def query_snapshot_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 def _pit_table(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        owner, key, sat, trigger, dimension = PITS[name]
-        vault, snapshots = _vault(spark, folder), _snapshots(spark, folder)
-        rows = pit(vault[owner], key, {sat: vault[sat]}, snapshots, trigger, dimension)
-        return clean_pit(rows, snapshots, trigger).select(
-            dimension, key, "sdts", f"hk_{sat}", f"ldts_{sat}"
-        )
+        owner, key, sat, _, dimension = PITS[name]
+        rows = load_pit(name, _vault(spark, folder, [owner, sat]), _snapshots(spark, folder))
+        return rows.select(dimension, key, "sdts", f"hk_{sat}", f"ldts_{sat}")
 
     return run
 
@@ -461,13 +460,16 @@ def _operations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _billing(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly fact is a stored table, as the mart reads it twice."""
     return presentation.mart_executive_billing(
-        _hourly_fact(spark, folder), _meters(spark, folder), _zones(spark, folder)
+        stored(_hourly_fact(spark, folder), "hourly-fact"),
+        _meters(spark, folder),
+        _zones(spark, folder),
     )
 
 
 def _shipped(spark: SparkSession, folder: str):
-    rows = supplied.billing_rows(spark, folder)
+    rows = stored(supplied.billing_rows(spark, folder), "shipped")
     return (
         presentation.fact_hourly_energy_billing(rows),
         presentation.dim_meter(rows),
@@ -574,17 +576,23 @@ def check_vault(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_presentation(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts and marts are stored first: each is read by many checks."""
+    meters, zones = _meters(spark, folder), _zones(spark, folder)
+    readings = stored(_reading_fact(spark, folder), "reading-fact")
+    hourly = stored(_hourly_fact(spark, folder), "hourly-fact")
+    operations = presentation.mart_meter_operations(readings, meters)
+    billing = presentation.mart_executive_billing(hourly, meters, zones)
     return run_checks(
         quality.presentation_checks(),
         {
-            "dim_meter": _meters(spark, folder),
-            "dim_pricing_zone": _zones(spark, folder),
+            "dim_meter": meters,
+            "dim_pricing_zone": zones,
             "dim_date": presentation.dim_date(spark),
             "dim_time": presentation.dim_time(spark),
-            "fact_meter_reading": _reading_fact(spark, folder),
-            "fact_hourly_energy_billing": _hourly_fact(spark, folder),
-            "mart_meter_operations_periodic": _operations(spark, folder),
-            "mart_executive_billing_periodic": _billing(spark, folder),
+            "fact_meter_reading": readings,
+            "fact_hourly_energy_billing": hourly,
+            "mart_meter_operations_periodic": stored(operations, "operations-mart"),
+            "mart_executive_billing_periodic": stored(billing, "billing-mart"),
         },
     )
 
@@ -631,8 +639,9 @@ def stream_priced(spark: SparkSession, folder: str) -> DataFrame:
                 "energy_kwh": F.col("value").cast("decimal(12,5)"),
             }
         )
-        .join(supplied.zones(spark, folder), "zone_id")
-        .select("user_id", "us_region", "state_code", "event_time", "energy_kwh")
+    )
+    readings = supplied.with_zone(readings, spark, folder).select(
+        "user_id", "us_region", "state_code", "event_time", "energy_kwh"
     )
     bounds = supplied.table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("t"))
     horizon = (bounds.agg(F.min("t")).scalar(), bounds.agg(F.max("t")).scalar())

@@ -119,6 +119,16 @@ class SnapshotTable:
         )
 
 
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame that several consumers read to the shared work folder and read it back.
+
+    Cuts the lineage, and survives the loss of executors, unlike a cache.
+    """
+    path = work_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def materialize(
     frame: DataFrame,
     name: str,
