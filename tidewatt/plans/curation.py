@@ -21,12 +21,12 @@ from tidewatt.contracts import (
 )
 from tidewatt.functions.calendar import instant, partition_fields
 from tidewatt.operators.keyed import first_by_key
-from tidewatt.operators.mapping import ColumnMapping
+from tidewatt.operators.mapping import ColumnMapping, map_columns
 from tidewatt.operators.validation import (
     REASONS,
     RecordContract,
     ValidationRule,
-    evaluate,
+    is_valid,
     split,
 )
 from tidewatt.operators.windows import BackfillGrain, BackfillWindow, ProcessingMode
@@ -232,11 +232,12 @@ def _run(
         watched = frame.observe(before, *counts)
         parsed = well_formed(watched) if has_corrupt else watched
         columns = {**audit, "__file": F.col(SOURCE_FILE)}
-        evaluated = evaluate(parsed, stream.contract, columns).observe(
-            after, F.count_if(F.size(REASONS) > 0).alias("rejected")
+        mapped = map_columns(parsed, stream.contract.mappings, columns).observe(
+            after, F.count_if(~is_valid(stream.contract.all_rules())).alias("rejected")
         )
         outcome = split(
-            evaluated,
+            mapped,
+            stream.contract,
             error_stage=stream.name,
             error_timestamp=run.load_ts,
             error_type=stream.error_type,

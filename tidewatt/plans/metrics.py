@@ -181,12 +181,15 @@ SAVED_QUERIES = (
 )
 
 
+Table = DataFrame | Callable[[], DataFrame]
+
+
 class MetricLayer:
-    """Semantic models bound to tables."""
+    """Semantic models bound to tables, or to functions called when a query needs the table."""
 
     def __init__(
         self,
-        tables: Mapping[str, DataFrame],
+        tables: Mapping[str, Table],
         models: Sequence[SemanticModel] = MODELS,
         metrics: Sequence[Metric] = METRICS,
         saved_queries: Sequence[SavedQuery] = SAVED_QUERIES,
@@ -196,6 +199,10 @@ class MetricLayer:
         self.metrics = {metric.name: metric for metric in metrics}
         self.saved = {query.name: query for query in saved_queries}
 
+    def _table(self, name: str) -> DataFrame:
+        table = self.tables[name]
+        return table if isinstance(table, DataFrame) else table()
+
     def saved_query(self, name: str) -> DataFrame:
         query = self.saved[name]
         return self.query(query.metrics, query.group_by)
@@ -268,7 +275,7 @@ class MetricLayer:
         group_by: tuple[str, ...],
         where: dict[str, Callable[[Column], Column]],
     ) -> DataFrame:
-        frame = self.tables[model.source]
+        frame = self._table(model.source)
         local: dict[str, Column] = {}
         joined: dict[str, tuple[SemanticModel, dict[str, Column]]] = {}
         for name in dict.fromkeys([*group_by, *where]):
@@ -291,7 +298,7 @@ class MetricLayer:
         frame = frame.withColumns(local) if local else frame
         for entity, (owner, columns) in joined.items():
             key = f"__{entity}"
-            dims = self.tables[owner.source].select(
+            dims = self._table(owner.source).select(
                 F.expr(owner.entity(entity).expr).alias(key),
                 *[column.alias(name) for name, column in columns.items()],
             )

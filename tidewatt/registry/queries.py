@@ -488,10 +488,10 @@ def mart_billing_shipped(spark: SparkSession, folder: str) -> DataFrame:
 def _metric_layer(spark: SparkSession, folder: str) -> MetricLayer:
     return MetricLayer(
         {
-            "int_meter_readings": supplied.readings(spark, folder),
-            "fact_hourly_energy_billing": _hourly_fact(spark, folder),
-            "dim_meter": _meters(spark, folder),
-            "dim_pricing_zone": _zones(spark, folder),
+            "int_meter_readings": lambda: supplied.readings(spark, folder),
+            "fact_hourly_energy_billing": lambda: _hourly_fact(spark, folder),
+            "dim_meter": lambda: _meters(spark, folder),
+            "dim_pricing_zone": lambda: _zones(spark, folder),
         }
     )
 
