@@ -133,15 +133,15 @@ def run_checks(checks: Sequence[Check], tables: Tables) -> DataFrame:
             )
     for table, members in grouped.items():
         counts = tables[table].agg(
-            *[F.count_if(check.predicate()).alias(check.name) for check in members]
+            *[F.count_if(check.predicate()).alias(f"n{i}") for i, check in enumerate(members)]
         )
         pairs = F.array(
             *[
                 F.struct(
                     F.lit(check.name).alias("check_name"),
-                    F.col(f"`{check.name}`").alias("violations"),
+                    F.col(f"n{i}").alias("violations"),
                 )
-                for check in members
+                for i, check in enumerate(members)
             ]
         )
         parts.append(counts.select(F.lit(table).alias("table_name"), F.inline(pairs)))

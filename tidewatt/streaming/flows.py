@@ -13,7 +13,13 @@ from pyspark.sql import types as T
 from tidewatt.functions.calendar import partition_fields_from_text
 from tidewatt.operators.asof import asof_join
 from tidewatt.session import work_folder
-from tidewatt.sources.files import CORRUPT, SOURCE_FILE, text_schema
+from tidewatt.sources.files import (
+    CORRUPT,
+    SOURCE_FILE,
+    malformed,
+    text_schema,
+    well_formed,
+)
 
 
 @dataclass(frozen=True)
@@ -76,9 +82,7 @@ def start_landing(
     """Append well-formed records to event-time folders. There is no watermark: a late record
     lands in the folder of its own time. Keep this folder apart from batch-written ones, as a
     stream sink's own log hides files it did not write."""
-    good = stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if (
-        CORRUPT in stream.columns
-    ) else stream
+    good = well_formed(stream) if CORRUPT in stream.columns else stream
     return (
         landing(good, time_field)
         .writeStream.format(data_format)
@@ -100,9 +104,10 @@ def start_error_landing(
 ):
     """Append records that are not JSON below their error type and processing hour."""
     moment = F.current_timestamp() if processed_at is None else processed_at
-    bad = stream.filter(F.col(CORRUPT).isNotNull()).select(
+    bad = malformed(stream).select(
         F.col(CORRUPT).alias("record"),
         F.col(SOURCE_FILE).alias("record_source"),
+        "parsed_fields",
         F.lit("processing-failed").alias("error_type"),
         *[
             F.date_format(moment, pattern).alias(name)
