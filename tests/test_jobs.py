@@ -12,6 +12,7 @@ from tidewatt.operators.windows import BackfillWindow, ProcessingMode
 from tidewatt.plans import curation
 from tidewatt.plans.quality import warehouse_constraints
 from tidewatt.session import work_folder
+from tidewatt.sinks.jdbc import JdbcStaging
 from tidewatt.sinks.partitioned import write_partitioned, write_rejected
 from tidewatt.sinks.run_log import emit_summary
 from tidewatt.sinks.tables import (
@@ -21,6 +22,13 @@ from tidewatt.sinks.tables import (
     materialize,
     stored,
 )
+from tidewatt.functions.geography import region_of
+from tidewatt.sources import supplied
+from tidewatt.sources.tables import (
+    source_electricity_prices,
+    source_meter_readings,
+    table_source,
+)
 from tidewatt.sources.files import (
     CURATED_PARTITION,
     existing_paths,
@@ -279,3 +287,20 @@ def test_summary(spark, tmp_path):
     )
     assert found["duration_seconds"] == 0 and found["rows"] == 3
     assert json.loads(spark.read.text(str(tmp_path / "log")).first()[0])["job"] == "j"
+
+
+def test_jdbc_staging_options():
+    target = JdbcStaging("jdbc:x", "stage.prices", "u", "p", batch_size=2)
+    assert target.options()["batchsize"] == "2" and target.options()["queryTimeout"] == "300"
+    with pytest.raises(ValueError, match="greater than zero"):
+        JdbcStaging("jdbc:x", "t", "u", "p", batch_size=0)
+
+
+def test_table_sources(spark, small):
+    readings = supplied.readings(spark, small).withColumn("extra", F.lit(1))
+    readings.createOrReplaceTempView("core_readings")
+    source = source_meter_readings(table_source(spark, "core_readings"))
+    assert len(source.columns) == 15 and "extra" not in source.columns
+    assert len(source_electricity_prices(supplied.prices(spark, small)).columns) == 9
+    states = spark.createDataFrame([("TX",), ("ZZ",)], "s string")
+    assert [r[0] for r in states.select(region_of(F.col("s"))).collect()] == ["South", None]

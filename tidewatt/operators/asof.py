@@ -33,7 +33,7 @@ Horizon = tuple[datetime, datetime] | tuple[Column, Column]
 
 
 def effective_intervals(
-    frame: DataFrame, by: Sequence[str], valid_from: str, valid_to: str, slice_unit: str = "month"
+    frame: DataFrame, by: Sequence[str], valid_from: str, valid_to: str, slice_unit: str = "day"
 ) -> DataFrame:
     """Close each row at the next row's start within the key; the last one stays open."""
     return with_next_start(frame, by, valid_from, valid_to, slice_unit)

@@ -300,8 +300,10 @@ def raw_to_curated(
 
     def sink(valid: DataFrame, window: BackfillWindow | None) -> None:
         curated = valid.withColumns(partition_fields(F.col(stream.time_column)))
-        wide = window is not None and window.grain is not BackfillGrain.DAY
-        write_partitioned(curated, target, run.mode, PARTITIONS, rebalance=wide)
+        # A day batch is one folder already. Late records and wide windows touch many folders;
+        # gathering them avoids a small file per task and folder.
+        several_days = window is None or window.grain is not BackfillGrain.DAY
+        write_partitioned(curated, target, run.mode, PARTITIONS, rebalance=several_days)
 
     audit = reading_audit(source) if stream.id_column == "event_id" else {}
     return _run(spark, stream, run, scan, source, "json", errors, audit, sink)

@@ -150,16 +150,21 @@ PITS = {
 
 
 def load_vault(
-    readings: DataFrame,
-    prices: DataFrame,
+    readings: DataFrame | None,
+    prices: DataFrame | None,
     existing: Mapping[str, DataFrame] | None = None,
     tables: Iterable[str] = tuple(MODELS),
 ) -> dict[str, DataFrame]:
     """Rows to append to the named hubs, links and satellites (default: all).
 
-    Without ``existing`` the result is the full vault.
+    Without ``existing`` the result is the full vault. A source may be None when none of the
+    named tables reads it.
     """
-    staged = {"readings": stage_readings(readings), "prices": stage_prices(prices)}
+    staged = {}
+    if readings is not None:
+        staged["readings"] = stage_readings(readings)
+    if prices is not None:
+        staged["prices"] = stage_prices(prices)
     existing = existing or {}
     return {
         name: MODELS[name].rows(staged[MODELS[name].source], existing.get(name))

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.contracts import READING_FIELDS, REGION_BY_STATE, STATES
-from tidewatt.functions.calendar import GRAIN_NAMES
+from tidewatt.contracts import READING_FIELDS, STATES
+from tidewatt.functions.geography import region_of
 from tidewatt.operators.asof import asof_join, effective_intervals
 from tidewatt.operators.calendar import time_spine
 from tidewatt.operators.checks import (
@@ -271,8 +271,10 @@ def asof_unpriced(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vault(spark: SparkSession, folder: str, tables=tuple(MODELS)) -> dict[str, DataFrame]:
-    readings, prices = supplied.readings(spark, folder), supplied.prices(spark, folder)
-    return load_vault(readings, prices, tables=tables)
+    build = {"readings": supplied.readings, "prices": supplied.prices}
+    needed = {MODELS[name].source for name in tables}
+    sources = {name: build[name](spark, folder) for name in needed}
+    return load_vault(sources.get("readings"), sources.get("prices"), tables=tables)
 
 
 def query_stage_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -385,16 +387,25 @@ def pit_asof_read(spark: SparkSession, folder: str) -> DataFrame:
 # Information and presentation ---------------------------------------------------------------
 
 
+READING_TABLES = (
+    "hub_meter", "hub_reading", "link_meter_reading", "sat_meter_details", "sat_reading_metrics",
+)
+PRICE_TABLES = (
+    "hub_pricing_zone", "hub_price", "link_pricing_zone_price", "sat_price_details",
+    "sat_pricing_zone_details",
+)
+
+
 def int_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return information.int_meter_readings(_vault(spark, folder))
+    return information.int_meter_readings(_vault(spark, folder, READING_TABLES))
 
 
 def int_prices(spark: SparkSession, folder: str) -> DataFrame:
-    return information.int_electricity_prices(_vault(spark, folder))
+    return information.int_electricity_prices(_vault(spark, folder, PRICE_TABLES))
 
 
 def int_priced(spark: SparkSession, folder: str) -> DataFrame:
-    vault = _vault(spark, folder)
+    vault = _vault(spark, folder, (*READING_TABLES, *PRICE_TABLES))
     readings = supplied.readings(spark, folder)
     horizon = (
         readings.agg(F.min("event_time")).scalar(),
@@ -670,12 +681,11 @@ def _raw_records(spark: SparkSession, folder: str) -> DataFrame:
         F.array(*[F.lit(name) for name in STATES]),
         (F.col("user_id") % len(STATES) + 1).cast("int"),
     )
-    region = F.create_map(*[F.lit(part) for item in REGION_BY_STATE.items() for part in item])
     record = F.struct(
         F.when(k == 1, "no-uuid").otherwise(uuid).alias("event_id"),
         F.when(k == 2, "2.0").otherwise("1.0").alias("schema_version"),
         F.concat(F.lit("meter-"), F.col("user_id")).alias("meter_id"),
-        F.when(k == 3, "West").otherwise(region[state]).alias("us_region"),
+        F.when(k == 3, "West").otherwise(region_of(state)).alias("us_region"),
         state.alias("state_code"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_time"),
         F.when(k == 4, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("energy_kwh"),
@@ -858,6 +868,3 @@ def published() -> dict[str, Query]:
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly billing: validated readings, as-of priced, summed per meter and hour."""
     return publish(_hourly_fact(spark, folder))
-
-
-__all__ = ["GRAIN_NAMES", "QUERIES", "flagship", "publish", "published"]
