@@ -133,6 +133,13 @@ def test_reload_adds_nothing(spark, small):
     assert set(first) == set(MODELS)
     counts = {name: frame.count() for name, frame in again.items()}
     assert not any(counts.values()), counts
+    cut = "event_time < timestamp'2024-01-20'"
+    early = load_vault(readings.filter(cut), None, tables=["hub_meter", "sat_reading_metrics"])
+    late = load_vault(
+        readings.filter(f"not ({cut})"), None, early, tables=list(early), small_batch=True
+    )
+    for name, frame in early.items():
+        assert rows(frame.unionByName(late[name]), "ldts") == rows(first[name], "ldts")
     pits = load_pits(spark, first, datetime(2024, 2, 1, 12, tzinfo=UTC))
     assert set(pits) == set(PITS)
     assert pits["pit_price"].count() == prices.count()

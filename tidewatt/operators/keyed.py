@@ -31,3 +31,17 @@ def latest_by_key(
 ) -> DataFrame:
     """Row with the greatest ``order`` columns per key; NULLs count as smallest."""
     return first_by_key(frame, keys, [F.col(name).desc_nulls_last() for name in order], final_tie)
+
+
+def absent(
+    rows: DataFrame, existing: DataFrame, keys: Sequence[str], small_batch: bool = False
+) -> DataFrame:
+    """Rows whose keys ``existing`` lacks.
+
+    With ``small_batch`` the existing keys are first reduced to those the rows ask for. When the
+    rows are below Spark's broadcast limit the large table is then scanned, not shuffled.
+    """
+    known = existing.select(*keys)
+    if small_batch:
+        known = known.join(rows.select(*keys), list(keys), "left_semi")
+    return rows.join(known, list(keys), "left_anti")

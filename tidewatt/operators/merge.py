@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.operators.keyed import first_by_key, latest_by_key
+from tidewatt.operators.keyed import absent, first_by_key, latest_by_key
 
 ACTION = "__action"
 INSERTED, UPDATED, KEPT = "inserted", "updated", "kept"
@@ -18,18 +18,11 @@ def rows_to_insert(
     source: DataFrame,
     keys: Sequence[str],
     keep_first_by: Sequence[str] = (),
-    small_source: bool = False,
+    small_batch: bool = False,
 ) -> DataFrame:
-    """Source rows whose key the target lacks, one per key; the rest are ignored.
-
-    With ``small_source`` the target keys are first reduced to those the source asks for. When
-    the source is below Spark's broadcast limit the large target is then scanned, not shuffled.
-    """
+    """Source rows whose key the target lacks, one per key; the rest are ignored."""
     fresh = first_by_key(source, keys, [F.col(name).asc() for name in keep_first_by])
-    known = target.select(*keys)
-    if small_source:
-        known = known.join(source.select(*keys), list(keys), "left_semi")
-    return fresh.join(known, list(keys), "left_anti").select(*target.columns)
+    return absent(fresh, target, keys, small_batch).select(*target.columns)
 
 
 def insert_only(

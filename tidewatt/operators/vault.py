@@ -2,6 +2,9 @@
 
 Every load is a function of the staged rows and the rows already in the target; it returns the
 rows to append. Ghost records do not exist here: each row stems from a source row.
+
+``small_batch`` is for staged rows of one load against a large target: the target is reduced to
+the keys of the batch before it is compared.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatt.functions.hashing import hash_diff, hash_key
-from tidewatt.operators.keyed import first_by_key, latest_by_key
+from tidewatt.operators.keyed import absent, first_by_key, latest_by_key
 from tidewatt.operators.timeline import with_next_start, with_previous
 
 LDTS, RSRC = "ldts", "rsrc"
@@ -44,19 +47,17 @@ def _earliest(staged: DataFrame, hash_column: str, columns: Sequence[str]) -> Da
     return first_by_key(rows, [hash_column], order, final_tie=False)
 
 
-def _absent(rows: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
-    return rows if existing is None else rows.join(existing.select(key), key, "left_anti")
-
-
 def hub(
     staged: DataFrame,
     hashkey: str,
     business_keys: Sequence[str],
     existing: DataFrame | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Earliest row per hash key that the hub lacks; NULL keys are dropped."""
     known = staged.filter(F.col(hashkey).isNotNull())
-    return _absent(_earliest(known, hashkey, business_keys), existing, hashkey)
+    rows = _earliest(known, hashkey, business_keys)
+    return rows if existing is None else absent(rows, existing, [hashkey], small_batch)
 
 
 def link(
@@ -64,10 +65,12 @@ def link(
     link_hashkey: str,
     foreign_hashkeys: Sequence[str],
     existing: DataFrame | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Earliest row per link key that the link lacks; rows missing a foreign key are dropped."""
     known = staged.dropna(subset=[link_hashkey, *foreign_hashkeys])
-    return _absent(_earliest(known, link_hashkey, foreign_hashkeys), existing, link_hashkey)
+    rows = _earliest(known, link_hashkey, foreign_hashkeys)
+    return rows if existing is None else absent(rows, existing, [link_hashkey], small_batch)
 
 
 def satellite(
@@ -79,6 +82,7 @@ def satellite(
     tie_break: Sequence[str] = (),
     high_water_mark: bool = False,
     slice_unit: str | None = "month",
+    small_batch: bool = False,
 ) -> DataFrame:
     """Payload changes per parent in load-time order, after what the target already holds.
 
@@ -97,6 +101,8 @@ def satellite(
     rows = latest_by_key(rows, [parent_hashkey, LDTS], [*tie_break, hashdiff]).select(*columns)
     loaded = F.lit(None).cast("string")
     if existing is not None:
+        if small_batch:
+            existing = existing.join(staged.select(parent_hashkey), parent_hashkey, "left_semi")
         last = existing.groupBy(parent_hashkey).agg(
             F.max(LDTS).alias("__last_ldts"), F.max_by(hashdiff, LDTS).alias("__last_diff")
         )

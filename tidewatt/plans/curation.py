@@ -350,7 +350,7 @@ def curated_to_warehouse(
             typed = typed.withColumns(partition_fields(F.col(stream.time_column)))
         if readings:
             small = run.mode is ProcessingMode.INCREMENTAL
-            return table.insert_new(typed, ["event_id"], ["event_time"], small_source=small)
+            return table.insert_new(typed, ["event_id"], ["event_time"], small_batch=small)
         return table.upsert(
             typed,
             ["state_code", "effective_from"],

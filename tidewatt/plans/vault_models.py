@@ -45,8 +45,10 @@ class HubModel:
     key: str
     business_keys: tuple[str, ...]
 
-    def rows(self, staged: DataFrame, existing: DataFrame | None) -> DataFrame:
-        return hub(staged, self.key, self.business_keys, existing)
+    def rows(
+        self, staged: DataFrame, existing: DataFrame | None, small_batch: bool = False
+    ) -> DataFrame:
+        return hub(staged, self.key, self.business_keys, existing, small_batch)
 
 
 @dataclass(frozen=True)
@@ -55,8 +57,10 @@ class LinkModel:
     key: str
     foreign_keys: tuple[str, ...]
 
-    def rows(self, staged: DataFrame, existing: DataFrame | None) -> DataFrame:
-        return link(staged, self.key, self.foreign_keys, existing)
+    def rows(
+        self, staged: DataFrame, existing: DataFrame | None, small_batch: bool = False
+    ) -> DataFrame:
+        return link(staged, self.key, self.foreign_keys, existing, small_batch)
 
 
 @dataclass(frozen=True)
@@ -69,7 +73,9 @@ class SatelliteModel:
     # None where the parent is the primary key of the source table.
     slice_unit: str | None = "month"
 
-    def rows(self, staged: DataFrame, existing: DataFrame | None) -> DataFrame:
+    def rows(
+        self, staged: DataFrame, existing: DataFrame | None, small_batch: bool = False
+    ) -> DataFrame:
         return satellite(
             staged,
             self.key,
@@ -78,6 +84,7 @@ class SatelliteModel:
             existing,
             tie_break=self.tie_break,
             slice_unit=self.slice_unit,
+            small_batch=small_batch,
         )
 
 
@@ -154,6 +161,7 @@ def load_vault(
     prices: DataFrame | None,
     existing: Mapping[str, DataFrame] | None = None,
     tables: Iterable[str] = tuple(MODELS),
+    small_batch: bool = False,
 ) -> dict[str, DataFrame]:
     """Rows to append to the named hubs, links and satellites (default: all).
 
@@ -167,7 +175,7 @@ def load_vault(
         staged["prices"] = stage_prices(prices)
     existing = existing or {}
     return {
-        name: MODELS[name].rows(staged[MODELS[name].source], existing.get(name))
+        name: MODELS[name].rows(staged[MODELS[name].source], existing.get(name), small_batch)
         for name in tables
     }
 

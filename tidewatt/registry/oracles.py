@@ -312,8 +312,8 @@ CTES: dict[str, str] = {
     "shipped_mart": _billing_sql("shipped_fact", "shipped_meters", "shipped_zones"),
     "checked_events": """
     SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS kind, ts AS event_time, value,
-           CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER)
-           END AS k
+           CASE WHEN json_extract_string(props, '$.k') < '80'
+                THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k
     FROM events""",
     "event_reasons": """
     SELECT *, list_filter([

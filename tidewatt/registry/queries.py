@@ -107,10 +107,10 @@ EVENT_CONTRACT = RecordContract(
 
 
 def _validated(spark: SparkSession, folder: str):
-    # Every seventh text is not a number: the failed cast is NULL and reported as such.
+    # Large values arrive with a unit: the failed cast is NULL and reported as such.
     k = F.get_json_object("props", "$.k")
     events = supplied.table(spark, folder, "events").withColumn(
-        "k_text", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("k"), k)).otherwise(k)
+        "k_text", F.when(k >= "80", F.concat(k, F.lit(" kW"))).otherwise(k)
     )
     return validate(
         events,

@@ -66,11 +66,11 @@ class SnapshotTable:
         source: DataFrame,
         keys: Sequence[str],
         keep_first_by: Sequence[str] = (),
-        small_source: bool = False,
+        small_batch: bool = False,
     ) -> MergeStats:
         """Append rows whose key is absent. A repeated run appends nothing."""
         spark = source.sparkSession
-        rows = rows_to_insert(self.read(spark), source, keys, keep_first_by, small_source)
+        rows = rows_to_insert(self.read(spark), source, keys, keep_first_by, small_batch)
         if self.checks:
             enforce(self.checks, {"new_rows": rows})
         seen = Observation()
