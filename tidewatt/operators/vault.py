@@ -4,7 +4,8 @@ Every load is a function of the staged rows and the rows already in the target;
 rows to append. Ghost records do not exist here: each row stems from a source row.
 
 ``small_batch`` is for staged rows of one load against a large target: the target is reduced to
-the keys of the batch before it is compared.
+the keys of the batch before it is compared. ``repeated`` is for keys that occur in many staged
+rows: equal rows collapse in a hash aggregate first, which is cheaper than sorting them all.
 """
 
 from __future__ import annotations
@@ -41,8 +42,13 @@ def stage(
     return source.withColumns({LDTS: F.col(ldts), RSRC: F.col(rsrc), **hashes})
 
 
-def _earliest(staged: DataFrame, hash_column: str, columns: Sequence[str]) -> DataFrame:
+def _earliest(
+    staged: DataFrame, hash_column: str, columns: Sequence[str], repeated: bool
+) -> DataFrame:
     rows = staged.select(hash_column, *columns, LDTS, RSRC)
+    if repeated:
+        grouped = rows.groupBy(hash_column, *columns, RSRC).agg(F.min(LDTS).alias(LDTS))
+        rows = grouped.select(*rows.columns)
     order = [F.col(name).asc_nulls_last() for name in (LDTS, RSRC, *columns)]
     return first_by_key(rows, [hash_column], order, final_tie=False)
 
@@ -53,10 +59,11 @@ def hub(
     business_keys: Sequence[str],
     existing: DataFrame | None = None,
     small_batch: bool = False,
+    repeated: bool = False,
 ) -> DataFrame:
     """Earliest row per hash key that the hub lacks; NULL keys are dropped."""
     known = staged.filter(F.col(hashkey).isNotNull())
-    rows = _earliest(known, hashkey, business_keys)
+    rows = _earliest(known, hashkey, business_keys, repeated)
     return rows if existing is None else absent(rows, existing, [hashkey], small_batch)
 
 
@@ -66,10 +73,11 @@ def link(
     foreign_hashkeys: Sequence[str],
     existing: DataFrame | None = None,
     small_batch: bool = False,
+    repeated: bool = False,
 ) -> DataFrame:
     """Earliest row per link key that the link lacks; rows missing a foreign key are dropped."""
     known = staged.dropna(subset=[link_hashkey, *foreign_hashkeys])
-    rows = _earliest(known, link_hashkey, foreign_hashkeys)
+    rows = _earliest(known, link_hashkey, foreign_hashkeys, repeated)
     return rows if existing is None else absent(rows, existing, [link_hashkey], small_batch)
 
 
@@ -98,6 +106,9 @@ def satellite(
         rows = rows.filter(mark.isNull() | (F.col(LDTS) > mark))
     if slice_unit is None:
         rows = rows.repartition(parent_hashkey)
+    elif len(tie_break) == 1 and tie_break[0] not in columns:
+        grouped = rows.groupBy(*columns).agg(F.max(tie_break[0]).alias(tie_break[0]))
+        rows = grouped.select(*rows.columns)
     rows = latest_by_key(rows, [parent_hashkey, LDTS], [*tie_break, hashdiff]).select(*columns)
     loaded = F.lit(None).cast("string")
     if existing is not None:

@@ -44,11 +44,12 @@ class HubModel:
     source: str
     key: str
     business_keys: tuple[str, ...]
+    repeated: bool = False
 
     def rows(
         self, staged: DataFrame, existing: DataFrame | None, small_batch: bool = False
     ) -> DataFrame:
-        return hub(staged, self.key, self.business_keys, existing, small_batch)
+        return hub(staged, self.key, self.business_keys, existing, small_batch, self.repeated)
 
 
 @dataclass(frozen=True)
@@ -56,11 +57,12 @@ class LinkModel:
     source: str
     key: str
     foreign_keys: tuple[str, ...]
+    repeated: bool = False
 
     def rows(
         self, staged: DataFrame, existing: DataFrame | None, small_batch: bool = False
     ) -> DataFrame:
-        return link(staged, self.key, self.foreign_keys, existing, small_batch)
+        return link(staged, self.key, self.foreign_keys, existing, small_batch, self.repeated)
 
 
 @dataclass(frozen=True)
@@ -89,15 +91,15 @@ class SatelliteModel:
 
 
 MODELS = {
-    "hub_meter": HubModel("readings", "hk_meter_h", ("meter_id",)),
+    "hub_meter": HubModel("readings", "hk_meter_h", ("meter_id",), repeated=True),
     "hub_reading": HubModel("readings", "hk_reading_h", ("event_id",)),
-    "hub_pricing_zone": HubModel("prices", "hk_pricing_zone_h", ("state_code",)),
+    "hub_pricing_zone": HubModel("prices", "hk_pricing_zone_h", ("state_code",), repeated=True),
     "hub_price": HubModel("prices", "hk_price_h", ("price_id",)),
     "link_meter_reading": LinkModel(
         "readings", "hk_meter_reading_l", ("hk_meter_h", "hk_reading_h")
     ),
     "link_meter_pricing_zone": LinkModel(
-        "readings", "hk_meter_pricing_zone_l", ("hk_meter_h", "hk_pricing_zone_h")
+        "readings", "hk_meter_pricing_zone_l", ("hk_meter_h", "hk_pricing_zone_h"), repeated=True
     ),
     "link_pricing_zone_price": LinkModel(
         "prices", "hk_pricing_zone_price_l", ("hk_pricing_zone_h", "hk_price_h")
