@@ -269,6 +269,19 @@ CTES: dict[str, str] = {
            s.order_status, s.order_priority
     FROM (SELECT DISTINCT c.hk_customer_h, q.sdts FROM customers c CROSS JOIN quarters q) h
     ASOF LEFT JOIN sat_customer s ON h.hk_customer_h = s.hk_customer_h AND h.sdts >= s.ldts""",
+    "pit_meter": _pit_sql(
+        "hub_meter", "hk_meter_h", "sat_meter_details", "is_active", "hk_meter_d"
+    ),
+    "pit_pricing_zone": _pit_sql(
+        "hub_pricing_zone", "hk_pricing_zone_h", "sat_pricing_zone_details", "is_active",
+        "hk_pricing_zone_d",
+    ),
+    "pit_reading": _pit_sql(
+        "hub_reading", "hk_reading_h", "sat_reading_metrics", "is_latest", "hk_reading_d"
+    ),
+    "pit_price": _pit_sql(
+        "hub_price", "hk_price_h", "sat_price_details", "is_latest", "hk_price_d"
+    ),
     "dim_meter": _meters_sql("readings"),
     "dim_pricing_zone": _zones_sql("prices"),
     "fact_meter_reading": """
@@ -379,12 +392,17 @@ _RANGES = {
 _VALUES = {
     "us_region": REGIONS,
     "period_grain": tuple(name for name, _ in GRAINS),
+    "is_active": ("true", "false"),
+    "is_latest": ("true", "false"),
 }
 _TABLES = {
     "smart_meter_events": "readings",
     "electricity_prices": "prices",
     "stg_meter_readings": "stg_readings",
     "stg_electricity_prices": "stg_prices",
+    "int_electricity_prices": "intervals",
+    "int_meter_readings": "readings",
+    "int_meter_readings_priced": "priced",
 }
 
 
@@ -401,7 +419,7 @@ def _check_sql(check: Check) -> str:
         rows = f"SELECT {keys} FROM {table} {skip} GROUP BY {keys} HAVING count(*) > 1"
     elif kind == "accepted_values":
         allowed = ", ".join(f"'{value}'" for value in _VALUES[rest])
-        rows = f"SELECT 1 FROM {table} WHERE {rest} NOT IN ({allowed})"
+        rows = f"SELECT 1 FROM {table} WHERE CAST({rest} AS VARCHAR) NOT IN ({allowed})"
     elif kind == "accepted_range":
         rows = f"SELECT 1 FROM {table} WHERE {_RANGES[rest].format(rest)}"
     elif kind == "relationship":
@@ -418,6 +436,8 @@ def _check_sql(check: Check) -> str:
         rows = " UNION ALL ".join(
             f"SELECT 1 FROM {name} WHERE rsrc IN ('SYSTEM', 'ERROR')" for name in tables
         )
+    elif kind == "meter_readings_have_effective_price":
+        rows = f"SELECT 1 FROM {table} WHERE event_id NOT IN (SELECT event_id FROM priced)"
     else:
         raise ValueError(check.name)
     return (
@@ -498,7 +518,8 @@ _SELECT_ALL = {
     for name in (
         "hub_meter", "hub_reading", "hub_pricing_zone", "hub_price", "link_meter_reading",
         "link_meter_pricing_zone", "link_pricing_zone_price", "sat_meter_details",
-        "sat_pricing_zone_details", "dim_meter", "dim_pricing_zone",
+        "sat_pricing_zone_details", "pit_meter", "pit_pricing_zone", "pit_reading", "pit_price",
+        "dim_meter", "dim_pricing_zone",
     )
 }
 
@@ -589,19 +610,6 @@ STATEMENTS: dict[str, str] = {
     "sat_incremental": "SELECT * FROM sat_customer WHERE ldts >= TIMESTAMP '1998-01-01'",
     "snapshot_calendar": "SELECT sdts FROM control_snap_v0",
     "snapshot_flags": "SELECT sdts, is_active, is_latest FROM control_snap_v1",
-    "pit_meter": _pit_sql(
-        "hub_meter", "hk_meter_h", "sat_meter_details", "is_active", "hk_meter_d"
-    ),
-    "pit_pricing_zone": _pit_sql(
-        "hub_pricing_zone", "hk_pricing_zone_h", "sat_pricing_zone_details", "is_active",
-        "hk_pricing_zone_d",
-    ),
-    "pit_reading": _pit_sql(
-        "hub_reading", "hk_reading_h", "sat_reading_metrics", "is_latest", "hk_reading_d"
-    ),
-    "pit_price": _pit_sql(
-        "hub_price", "hk_price_h", "sat_price_details", "is_latest", "hk_price_d"
-    ),
     "pit_history": """
     SELECT hk_customer_d, hk_customer_h, sdts, hk_sat_customer, ldts_sat_customer
     FROM pit_customer""",
@@ -784,6 +792,8 @@ STATEMENTS: dict[str, str] = {
     WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""",
     "check_core": _suite(quality.core_checks()),
     "check_vault": _suite(quality.vault_checks()),
+    "check_business_vault": _suite(quality.business_vault_checks()),
+    "check_information": _suite(quality.information_checks()),
     "check_presentation": _suite(quality.presentation_checks()),
     "stream_hourly": _hourly_stream(
         "CAST(sum(CAST(value AS DECIMAL(12,5))) AS DOUBLE) AS amount", "event_type", "events",

@@ -586,6 +586,35 @@ def check_vault(spark: SparkSession, folder: str) -> DataFrame:
     return run_checks(quality.vault_checks(), _vault(spark, folder))
 
 
+def check_information(spark: SparkSession, folder: str) -> DataFrame:
+    prices = stored(_intervals(spark, folder), "prices")
+    readings = supplied.readings(spark, folder)
+    priced = information.int_meter_readings_priced(readings, prices)
+    return run_checks(
+        quality.information_checks(),
+        {
+            "int_electricity_prices": prices,
+            "int_meter_readings": readings,
+            "int_meter_readings_priced": stored(priced, "priced"),
+        },
+    )
+
+
+def check_business_vault(spark: SparkSession, folder: str) -> DataFrame:
+    snapshots = stored(_snapshots(spark, folder), "snapshots")
+    needed = [name for owner, _, sat, *_ in PITS.values() for name in (owner, sat)]
+    vault = _vault(spark, folder, needed)
+    pits = {name: stored(load_pit(name, vault, snapshots), name) for name in PITS}
+    return run_checks(
+        quality.business_vault_checks(),
+        {
+            "control_snap_v0": snapshot_calendar(spark, _as_of(spark, folder)),
+            "control_snap_v1": snapshots,
+            **pits,
+        },
+    )
+
+
 def check_presentation(spark: SparkSession, folder: str) -> DataFrame:
     """Facts and marts are stored first: each is read by many checks."""
     meters, zones = _meters(spark, folder), _zones(spark, folder)
@@ -848,6 +877,8 @@ QUERIES: dict[str, Query] = {
     "check_relationship": check_relationship,
     "check_core": check_core,
     "check_vault": check_vault,
+    "check_business_vault": check_business_vault,
+    "check_information": check_information,
     "check_presentation": check_presentation,
     "stream_hourly": stream_hourly,
     "stream_dedupe": stream_dedupe,
