@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +18,24 @@ from tidewatt.session import work_folder
 CHUNK_BYTES = 1 << 21
 
 
+ARCHIVE = "tidewatt-package"
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give this package to the Python workers, once per application.
+
+    The driver hands the archive to the executors itself; no executor opens the driver's path.
+    """
+    context = spark.sparkContext
+    if not any(ARCHIVE in name for name in context.listFiles):
+        package = Path(__file__).resolve().parent.parent
+        target = f"{tempfile.mkdtemp(prefix=f'{package.name}-')}/{ARCHIVE}"
+        context.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

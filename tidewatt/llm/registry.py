@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatt.llm.lines import OP4_SQL, op4_line_dedup
+from tidewatt.llm.packing import op5_best_fit_packing
 from tidewatt.llm.tokens import op2_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op2_token_counts,)
+    found = (op2_token_counts, op4_line_dedup, op5_best_fit_packing)
     return {query.__name__: query for query in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_line_dedup": OP4_SQL}
