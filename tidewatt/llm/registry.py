@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatt.llm.lines import OP4_SQL, op4_line_dedup
 from tidewatt.llm.packing import op5_best_fit_packing
+from tidewatt.llm.quality import op6_quality
 from tidewatt.llm.tokens import op2_token_counts
+from tidewatt.llm.toxicity import op3_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op2_token_counts, op4_line_dedup, op5_best_fit_packing)
+    found = (op2_token_counts, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_quality)
     return {query.__name__: query for query in found}
 
 
