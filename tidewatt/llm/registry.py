@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatt.llm.lines import OP4_SQL, op4_line_dedup
+from tidewatt.llm.near import OP8_SQL, op8_minhash_near_dedup
 from tidewatt.llm.packing import op5_best_fit_packing
 from tidewatt.llm.quality import op6_quality
 from tidewatt.llm.tokens import op2_token_counts
@@ -16,9 +17,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op2_token_counts, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_quality)
+    found = (op2_token_counts, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_quality, op8_minhash_near_dedup)
     return {query.__name__: query for query in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op8_minhash_near_dedup": OP8_SQL}
