@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatt.llm.decontam import op1_decontamination
 from tidewatt.llm.language import op9_language_scores
 from tidewatt.llm.lines import OP4_SQL, op4_line_dedup
 from tidewatt.llm.near import OP8_SQL, op8_minhash_near_dedup
@@ -18,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op2_token_counts, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_quality, op8_minhash_near_dedup, op9_language_scores)
+    found = (op1_decontamination, op2_token_counts, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_quality, op8_minhash_near_dedup, op9_language_scores)
     return {query.__name__: query for query in found}
 
 
