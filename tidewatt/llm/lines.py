@@ -204,8 +204,11 @@ def line_bitmaps(
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``docs`` with a column ``__keep``, null where nothing is dropped."""
-    marks = bitmaps.select(F.col(id_column).alias("__id"), F.col(ROW).alias("__mark"), F.col("keep").alias("__keep"))
+    """``docs`` with a column ``__keep``, null where nothing is dropped.
+
+    Both sides grow with the input, so the join is a sort-merge join at every size.
+    """
+    marks = bitmaps.select(F.col(id_column).alias("__id"), F.col(ROW).alias("__mark"), F.col("keep").alias("__keep")).hint("merge")
     same = docs[id_column].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_column].cast("string")) == F.col("__mark"))
     return docs.join(marks, same, "left").drop("__id", "__mark")
 
