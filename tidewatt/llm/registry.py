@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatt.llm.decontam import op1_decontamination
+from tidewatt.llm.fingerprints import op7_order_minhash
 from tidewatt.llm.language import op9_language_scores
+from tidewatt.llm.licences import OP10_SQL, op10_license_scan
 from tidewatt.llm.lines import OP4_SQL, op4_line_dedup
 from tidewatt.llm.near import OP8_SQL, op8_minhash_near_dedup
 from tidewatt.llm.packing import op5_best_fit_packing
@@ -19,9 +21,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_token_counts, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_quality, op8_minhash_near_dedup, op9_language_scores)
+    found = (
+        op1_decontamination,
+        op2_token_counts,
+        op3_toxicity,
+        op4_line_dedup,
+        op5_best_fit_packing,
+        op6_quality,
+        op7_order_minhash,
+        op8_minhash_near_dedup,
+        op9_language_scores,
+        op10_license_scan,
+    )
     return {query.__name__: query for query in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op8_minhash_near_dedup": OP8_SQL}
+    """Exact SQL; the others are compared with brute force or libraries in the tests."""
+    return {"op4_line_dedup": OP4_SQL, "op8_minhash_near_dedup": OP8_SQL, "op10_license_scan": OP10_SQL}
