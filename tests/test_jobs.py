@@ -1,10 +1,12 @@
 import json
+import shutil
 from datetime import UTC, datetime
 from pathlib import Path
 
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatt.operators.checks import not_null, unique
 from tidewatt.operators.merge import ACTION, insert_only, rows_to_insert, upsert
@@ -304,3 +306,29 @@ def test_table_sources(spark, small):
     assert len(source_electricity_prices(supplied.prices(spark, small)).columns) == 9
     states = spark.createDataFrame([("TX",), ("ZZ",)], "s string")
     assert [r[0] for r in states.select(region_of(F.col("s"))).collect()] == ["South", None]
+
+
+@pytest.mark.parametrize("partition_by", [(), ("zone",)])
+def test_upsert_survives_a_failure_between_its_writes(spark, tmp_path, monkeypatch, partition_by):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "zone", "value")])
+    table = SnapshotTable(str(tmp_path / "prices"), schema, partition_by)
+    frame = lambda *r: spark.createDataFrame(list(r), schema)
+    table.upsert(frame(("1", "a", "x"), ("2", "a", "x"), ("3", "b", "x")), ["id"], ["value"])
+    write, calls = SnapshotTable._write, []
+
+    def failing(self, rows, path, mode, dynamic=False):
+        calls.append(path)
+        if len(calls) == 2:
+            # The worst moment: what was to be replaced is gone, nothing is written yet.
+            shutil.rmtree(table.path if not partition_by else f"{table.path}/zone=a")
+            raise OSError("lost")
+        write(self, rows, path, mode, dynamic)
+
+    monkeypatch.setattr(SnapshotTable, "_write", failing)
+    with pytest.raises(OSError, match="lost"):
+        table.upsert(frame(("2", "a", "y"), ("4", "a", "y")), ["id"], ["value"])
+    monkeypatch.setattr(SnapshotTable, "_write", write)
+    expected = [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "x"), ("4", "a", "y")]
+    assert rows(table.read(spark), "id", "zone", "value") == expected
+    table.upsert(frame(("2", "a", "y"), ("4", "a", "y")), ["id"], ["value"])
+    assert rows(table.read(spark), "id", "zone", "value") == expected

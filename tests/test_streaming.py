@@ -91,9 +91,8 @@ def test_stream_pricing_equals_batch(spark, small):
         ),
         ["state_code"], "price_effective_from", "effective_to",
     )
-    horizon = (at("2024-01-01T00:00:00"), at("2024-02-01T00:00:00"))
     found = flows.run_available(
-        flows.priced(shape(_stream(spark, small)), tariffs, horizon).select("event_id", "price_id")
+        flows.priced(shape(_stream(spark, small)), tariffs).select("event_id", "price_id")
     )
     batch = asof_join(
         shape(events), tariffs, by=["state_code"], also=["us_region"], left_ts="event_time",

@@ -7,7 +7,7 @@ from tidewatt.operators.timeline import with_carried, with_next_start, with_prev
 from tidewatt.plans import information
 from tidewatt.sources import supplied
 
-STRATEGIES = ["auto", "broadcast", "shuffle", "carry"]
+STRATEGIES = ["bucket", "shuffle", "carry"]
 
 
 def tariffs(spark, values):
@@ -25,7 +25,7 @@ def readings(spark, values):
     )
 
 
-def join(left, right, how="left", strategy="auto", **options):
+def join(left, right, how="left", strategy="bucket", **options):
     return asof_join(
         left, right, by=["state"], also=["region"], left_ts="moment", valid_from="valid_from",
         valid_to="valid_to", how=how, strategy=strategy, **options,
@@ -82,25 +82,38 @@ def test_strategies_agree_on_supplied_data(spark, small):
         )
         for strategy in STRATEGIES
     }
-    assert len(results["auto"]) == 739
-    assert all(found == results["auto"] for found in results.values())
+    assert len(results["bucket"]) == 739
+    assert all(found == results["bucket"] for found in results.values())
     unpriced = information.readings_without_price(
         left, information.int_meter_readings_priced(left, right)
     )
     assert unpriced.count() == 798 - 739
 
 
-def test_auto_falls_back_when_intervals_are_many_or_dense(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_dense_intervals(spark, strategy):
     right = tariffs(
         spark, [("CT", "N", f"2026-01-02T00:00:{s:02d}", float(s)) for s in range(60)]
     )
     left = readings(spark, [(i, "CT", "N", f"2026-01-02T00:00:{i:02d}") for i in range(60)])
-    expected = [(str(i), str(float(i))) for i in range(60)]
-    dense = join(left, right, dense_bucket=10)
-    assert rows(dense, "id", "price") == sorted(expected)
-    large = join(left, right, broadcast_rows=5)
-    assert rows(large, "id", "price") == sorted(expected)
-    assert "SortMergeJoin" in plan(large)
+    found = join(left, right, strategy=strategy)
+    assert rows(found, "id", "price") == sorted((str(i), str(float(i))) for i in range(60))
+    if strategy == "shuffle":
+        assert "SortMergeJoin" in plan(found)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_readings_long_after_the_last_price(spark, strategy):
+    """The last price of a key stays in force for ever; nothing is in force before the first."""
+    right = tariffs(spark, [("CT", "N", "2020-01-01T00:00:00", 1.0), ("CT", "N", "2020-06-01T00:00:00", 2.0)])
+    left = readings(
+        spark,
+        [(1, "CT", "N", "2019-12-31T23:59:59"), (2, "CT", "N", "2020-03-01T00:00:00"),
+         (3, "CT", "N", "2020-06-01T00:00:00"), (4, "CT", "N", "2055-01-01T00:00:00")],
+    )
+    found = {r.id: r.price for r in join(left, right, "left", strategy).collect()}
+    assert found == {1: None, 2: 1.0, 3: 2.0, 4: 2.0}
+    assert {r.id for r in join(left, right, "inner", strategy).collect()} == {2, 3, 4}
 
 
 def test_hot_key_is_cut_by_slices(spark):
@@ -121,7 +134,7 @@ def test_hot_key_is_cut_by_slices(spark):
             following[before.n] = after.t
     for unit in ("day", "month", None):
         found = with_previous(frame, ["k"], ["t"], F.col("n"), "p", unit)
-        assert {r.n: r.p for r in found.collect() if r.p is not None} == previous
+        assert {r.n: r.p.value for r in found.collect() if r.p is not None} == previous
         found = with_next_start(frame, ["k"], "t", "f", unit)
         assert {r.n: r.f for r in found.collect() if r.f is not None} == following
         assert found.count() == len(data)

@@ -74,6 +74,26 @@ def test_satellite_keeps_changes_only(spark):
     assert sorted(history(pruned)) == ["C", "N"]
 
 
+def test_satellite_with_wholly_null_payloads(spark):
+    """Rows without any payload are changes too: at the start of a slice, inside, at its end."""
+    values = [("a", "x", 1), ("a", None, 2), ("a", "y", 3), ("a", "y", 4), ("a", None, 5), ("a", None, 6), ("a", "y", 7),
+              ("b", None, 1), ("b", "x", 2), ("b", None, 3), ("c", "x", 1), ("c", None, 28)]
+    expected = [["x", None, "y", None, "y"], ["x", None], ["x", None]]
+
+    def by_parent(frame):
+        found = {}
+        for row in frame.orderBy("ldts").collect():
+            found.setdefault(row.hk, []).append(row.payload)
+        return sorted(found.values(), key=len, reverse=True)
+
+    for unit in ("day", "week", "month", None):
+        found = satellite(staged(spark, values), "hk", "hd", ["payload"], slice_unit=unit)
+        assert by_parent(found) == expected, unit
+    early = satellite(staged(spark, [v for v in values if v[2] <= 2]), "hk", "hd", ["payload"])
+    late = satellite(staged(spark, values), "hk", "hd", ["payload"], existing=early)
+    assert by_parent(early.unionByName(late)) == expected
+
+
 def test_one_row_per_load_time(spark):
     frame = staged(spark, [("k", "A", 1), ("k", "B", 1), ("k", "C", 2)]).withColumn(
         "seen", F.when(F.col("payload") == "A", 9).otherwise(1)

@@ -3,33 +3,31 @@
 Equality holds only on a few keys (for example 51 states), so a plain join would test every
 reading against every price of its state. Three exact plans avoid that:
 
-``broadcast``  intervals are spread over the time buckets they cover and broadcast; the left
-               side is not shuffled and tests only the intervals of its own bucket.
-``shuffle``    the same equi-join on (keys, bucket) as a sort-merge join; adaptive execution
-               splits hot left partitions because every left row is matched on its own.
-``carry``      both sides are merged into one timeline and the last interval is carried
-               forward; for interval sets that are dense inside one bucket.
-
-``auto`` measures the spread intervals first and picks between the three.
+``bucket``   closed intervals are spread over the time buckets they cover and joined on (keys,
+             bucket); the open interval of a key, at most one, is joined on the keys. Spark picks
+             the join by its own size limit, and adaptive execution splits hot partitions, as
+             every left row is matched on its own.
+``shuffle``  the same with sort-merge joins throughout.
+``carry``    both sides are merged into one timeline and the last interval is carried
+             forward; for interval sets that are dense inside one bucket.
+
+None of them measures its input, and all give the same rows. The first two also run on a stream
+of left rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.functions.calendar import instant
 from tidewatt.operators.timeline import with_carried, with_next_start
 
 BUCKET = "__bucket"
-BROADCAST_ROWS = 500_000
-DENSE_BUCKET = 2_000
 PREFIX = "__right_"
-
-Horizon = tuple[datetime, datetime] | tuple[Column, Column]
+CLOSED, OPEN = "__closed", "__open"
 
 
 def effective_intervals(
@@ -39,42 +37,18 @@ def effective_intervals(
     return with_next_start(frame, by, valid_from, valid_to, slice_unit)
 
 
-def _as_columns(horizon: Horizon) -> tuple[Column, Column]:
-    low, high = horizon
-    return (
-        low if isinstance(low, Column) else instant(low),
-        high if isinstance(high, Column) else instant(high),
-    )
-
-
-def _measured(left: DataFrame, left_ts: str) -> Horizon:
-    micros = F.unix_micros(F.col(left_ts).cast("timestamp"))
-    bounds = left.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
-    return F.timestamp_micros(F.lit(bounds.low or 0)), F.timestamp_micros(F.lit(bounds.high or 0))
-
-
-def _spread(
-    right: DataFrame, valid_from: str, valid_to: str, bucket: str, horizon: Horizon
-) -> DataFrame:
-    """One row per time bucket an interval covers inside the horizon of the left side."""
-    low, high = _as_columns(horizon)
-    inclusive_end = F.col(valid_to) - F.expr("interval 1 microsecond")
-    first = F.date_trunc(bucket, F.greatest(F.col(valid_from), low))
-    last = F.date_trunc(bucket, F.least(inclusive_end, high))
-    return (
-        right.filter(F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
-        .withColumns({"__first": first, "__last": last})
-        .filter(F.col("__first") <= F.col("__last"))
-        .withColumn(
-            BUCKET, F.explode(F.sequence("__first", "__last", F.expr(f"interval 1 {bucket}")))
-        )
-        .drop("__first", "__last")
+def _spread(closed: DataFrame, valid_from: str, valid_to: str, bucket: str) -> DataFrame:
+    """One row per time bucket a closed interval covers."""
+    first = F.date_trunc(bucket, F.col(valid_from))
+    last = F.date_trunc(bucket, F.col(valid_to) - F.expr("interval 1 microsecond"))
+    return closed.filter(F.col(valid_to) > F.col(valid_from)).withColumn(
+        BUCKET, F.explode(F.sequence(first, last, F.expr(f"interval 1 {bucket}")))
     )
 
 
 def _bucket_join(
     left: DataFrame,
-    spread: DataFrame,
+    right: DataFrame,
     by: Sequence[str],
     also: Sequence[str],
     left_ts: str,
@@ -82,23 +56,36 @@ def _bucket_join(
     valid_to: str,
     bucket: str,
     how: str,
-    hint: str,
+    hint: str | None,
 ) -> DataFrame:
-    renamed = spread.select(
-        *[
-            F.col(name).alias(PREFIX + name if name in (*by, *also, BUCKET) else name)
-            for name in spread.columns
-        ]
-    )
+    keys = (*by, *also)
+    kept = [name for name in right.columns if name not in keys]
+
+    def matched(rows: DataFrame, name: str, *extra: str) -> DataFrame:
+        found = rows.select(
+            *[F.col(key).alias(PREFIX + key) for key in (*keys, *extra)],
+            F.struct(*kept).alias(name),
+        )
+        return found.hint(hint) if hint else found
+
+    closed = right.filter(F.col(valid_to).isNotNull())
+    spread = matched(_spread(closed, valid_from, valid_to, bucket), CLOSED, BUCKET)
+    still_open = matched(right.filter(F.col(valid_to).isNull()), OPEN)
     stamped = left.withColumn(BUCKET, F.date_trunc(bucket, F.col(left_ts)))
-    moment = stamped[left_ts]
-    condition = stamped[BUCKET] == renamed[PREFIX + BUCKET]
-    for name in (*by, *also):
-        condition &= stamped[name] == renamed[PREFIX + name]
-    condition &= moment >= renamed[valid_from]
-    condition &= renamed[valid_to].isNull() | (moment < renamed[valid_to])
-    joined = stamped.join(renamed.hint(hint), condition, how)
-    return joined.drop(BUCKET, *[PREFIX + name for name in (*by, *also, BUCKET)])
+    moment = F.col(left_ts)
+
+    def same(rows: DataFrame) -> Column:
+        return reduce(Column.__and__, [F.col(key) == rows[PREFIX + key] for key in keys])
+
+    inside = (moment >= F.col(CLOSED)[valid_from]) & (moment < F.col(CLOSED)[valid_to])
+    in_bucket = same(spread) & (F.col(BUCKET) == spread[PREFIX + BUCKET]) & inside
+    names = [PREFIX + key for key in (*keys, BUCKET)]
+    joined = stamped.join(spread, in_bucket, "left").drop(*names)
+    joined = joined.join(still_open, same(still_open) & (moment >= F.col(OPEN)[valid_from]), "left")
+    covering = F.coalesce(CLOSED, OPEN)
+    if how == "inner":
+        joined = joined.filter(covering.isNotNull())
+    return joined.select(*left.columns, *[covering[name].alias(name) for name in kept])
 
 
 def _carry_join(
@@ -160,48 +147,26 @@ def asof_join(
     valid_to: str,
     also: Sequence[str] = (),
     how: str = "inner",
-    strategy: str = "auto",
+    strategy: str = "bucket",
     bucket: str = "hour",
-    horizon: Horizon | None = None,
     carry_slice: str = "day",
     salts: int = 8,
-    broadcast_rows: int = BROADCAST_ROWS,
-    dense_bucket: int = DENSE_BUCKET,
 ) -> DataFrame:
     """Join on ``by``, ``also`` and ``valid_from <= left_ts < valid_to`` (open when NULL).
 
     Intervals of one ``by`` key must be disjoint (``effective_intervals`` makes them so).
     ``also`` is an equality on the covering interval, never a reason to look further back.
-    ``horizon`` bounds the left timestamps, inclusive; it is measured when not given.
-    ``how`` is ``inner`` or ``left``.
+    ``how`` is ``inner`` or ``left``. Left rows may lie anywhere in time.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    if strategy not in ("auto", "broadcast", "shuffle", "carry"):
-        raise ValueError("strategy must be auto, broadcast, shuffle or carry")
+    if strategy not in ("bucket", "shuffle", "carry"):
+        raise ValueError("strategy must be bucket, shuffle or carry")
     if strategy == "carry":
         return _carry_join(
             left, right, by, also, left_ts, valid_from, valid_to, how, carry_slice, salts
         )
-    if horizon is None:
-        horizon = _measured(left, left_ts) if strategy == "auto" else (
-            left.agg(F.min(left_ts)).scalar(),
-            left.agg(F.max(left_ts)).scalar(),
-        )
-    spread = _spread(right, valid_from, valid_to, bucket, horizon)
-    if strategy == "auto":
-        size = (
-            spread.groupBy(*by, BUCKET)
-            .count()
-            .agg(F.sum("count").alias("rows"), F.max("count").alias("densest"))
-            .first()
-        )
-        if (size.densest or 0) > dense_bucket:
-            return _carry_join(
-                left, right, by, also, left_ts, valid_from, valid_to, how, carry_slice, salts
-            )
-        strategy = "broadcast" if (size.rows or 0) <= broadcast_rows else "shuffle"
-    hint = "broadcast" if strategy == "broadcast" else "merge"
+    hint = "merge" if strategy == "shuffle" else None
     return _bucket_join(
-        left, spread, by, also, left_ts, valid_from, valid_to, bucket, how, hint
+        left, right, by, also, left_ts, valid_from, valid_to, bucket, how, hint
     )

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 SLICE = "__slice"
 NEAR = "__near"
+HAS = "__has"
 SHARED = "__shared"
+VALUE = "value"
 WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -32,22 +34,32 @@ def _linked(
 ) -> DataFrame:
     """``step`` is lag or lead; ``passed_on`` picks the value a slice hands to its neighbour.
 
-    Rows at the edge of a slice have no neighbour inside it. They alone go through the second
-    window. Both branches read the same shuffle.
+    The neighbour's value comes wrapped in a struct: NULL means there is no neighbour, a NULL
+    field that the neighbour has none. Rows at the edge of a slice have no neighbour inside it.
+    They alone go through the second window. Both branches read the same shuffle.
     """
+    there = F.lit(1)
+
+    def wrapped(exists: Column, found: Column) -> Column:
+        return F.when(exists.isNotNull(), F.struct(found.alias(VALUE)))
+
     if slice_unit is None:
-        return frame.withColumn(name, step(value).over(Window.partitionBy(*by).orderBy(*order)))
+        window = Window.partitionBy(*by).orderBy(*order)
+        return frame.withColumn(name, wrapped(step(there).over(window), step(value).over(window)))
     window = Window.partitionBy(*by, SLICE).orderBy(*order)
     across = Window.partitionBy(*by).orderBy(SLICE)
     sliced = frame.withColumn(SLICE, F.date_trunc(slice_unit, F.col(order[0]))).withColumns(
         {
+            HAS: step(there).over(window),
             NEAR: step(value).over(window),
             SHARED: passed_on(value).over(window.rowsBetween(*WHOLE)),
         }
     )
-    inner = sliced.filter(F.col(NEAR).isNotNull()).withColumn(name, F.col(NEAR))
-    edge = sliced.filter(F.col(NEAR).isNull()).withColumn(name, step(F.col(SHARED)).over(across))
-    return inner.unionByName(edge).drop(SLICE, NEAR, SHARED)
+    inner = sliced.filter(F.col(HAS).isNotNull()).withColumn(name, wrapped(F.col(HAS), F.col(NEAR)))
+    edge = sliced.filter(F.col(HAS).isNull()).withColumn(
+        name, wrapped(step(there).over(across), step(F.col(SHARED)).over(across))
+    )
+    return inner.unionByName(edge).drop(SLICE, HAS, NEAR, SHARED)
 
 
 def with_previous(
@@ -58,7 +70,7 @@ def with_previous(
     name: str,
     slice_unit: str | None = "month",
 ) -> DataFrame:
-    """Add the non-NULL ``value`` of the preceding row of the key (NULL for the first).
+    """Add a struct with the ``value`` of the preceding row of the key (NULL for the first row).
 
     ``order[0]`` is a non-NULL timestamp; the whole order must be unique within a key.
     """
@@ -69,7 +81,8 @@ def with_next_start(
     frame: DataFrame, by: Sequence[str], start: str, name: str, slice_unit: str | None = "month"
 ) -> DataFrame:
     """Add the next row's ``start`` within the key: the open end of an effective interval."""
-    return _linked(frame, by, [start], F.col(start), name, slice_unit, F.lead, F.first)
+    linked = _linked(frame, by, [start], F.col(start), name, slice_unit, F.lead, F.first)
+    return linked.withColumn(name, F.col(name)[VALUE])
 
 
 def _last_known(value: Column, window: WindowSpec, upto: int) -> Column:

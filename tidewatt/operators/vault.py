@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewatt.functions.hashing import hash_diff, hash_key
 from tidewatt.operators.keyed import absent, first_by_key, latest_by_key
-from tidewatt.operators.timeline import with_next_start, with_previous
+from tidewatt.operators.timeline import VALUE, with_next_start, with_previous
 
 LDTS, RSRC = "ldts", "rsrc"
 
@@ -124,7 +124,8 @@ def satellite(
     ordered = with_previous(
         rows, [parent_hashkey], [LDTS], F.col(hashdiff), "__previous", slice_unit
     )
-    before = F.coalesce(F.col("__previous"), loaded)
+    previous = F.col("__previous")
+    before = F.when(previous.isNotNull(), previous[VALUE]).otherwise(loaded)
     return ordered.filter(~F.col(hashdiff).eqNullSafe(before)).select(*columns)
 
 

@@ -21,12 +21,10 @@ class ProcessingMode(StrEnum):
         """Backfill must see every source file, so it refuses to run with a ledger."""
         if text not in {mode.value for mode in cls}:
             choices = ", ".join(mode.value for mode in cls)
-            raise ValueError(f"processing_mode must be one of [{choices}], not {text!r}")
+            raise ValueError(f"no processing mode {text!r}; known: {choices}")
         mode = cls(text)
         if mode is cls.BACKFILL and not ledger_disabled:
-            raise ValueError(
-                "Backfill mode requires --job-bookmark-option job-bookmark-disable"
-            )
+            raise ValueError("a backfill reads every file of its window: run it without a ledger")
         return mode
 
 
@@ -48,12 +46,12 @@ def _utc_midnight(text: str, name: str) -> date:
     try:
         moment = datetime.fromisoformat(text)
     except ValueError as error:
-        raise ValueError(f"{name} must be an ISO-8601 timestamp") from error
+        raise ValueError(f"{name}: not a timestamp in ISO format") from error
     if moment.tzinfo is None:
-        raise ValueError(f"{name} must include a timezone")
+        raise ValueError(f"{name}: the timestamp has no zone")
     moment = moment.astimezone(UTC)
     if moment.time() != time():
-        raise ValueError("backfill_start and backfill_end must be UTC midnight boundaries")
+        raise ValueError(f"{name}: not midnight in UTC")
     return moment.date()
 
 
@@ -69,10 +67,10 @@ class BackfillWindow:
     def parse(cls, start: str, end: str, grain: str) -> BackfillWindow:
         first, last = _utc_midnight(start, "backfill_start"), _utc_midnight(end, "backfill_end")
         if first >= last:
-            raise ValueError("backfill_start must be before backfill_end")
+            raise ValueError("backfill_end must lie after backfill_start")
         if grain not in {item.value for item in BackfillGrain}:
             choices = ", ".join(item.value for item in BackfillGrain)
-            raise ValueError(f"backfill_grain must be one of [{choices}]")
+            raise ValueError(f"no backfill grain {grain!r}; known: {choices}")
         return cls(first, last, BackfillGrain(grain))
 
     def batches(self) -> tuple[BackfillWindow, ...]:

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from tidewatt.functions.arithmetic import real_ratio
 from tidewatt.functions.calendar import GRAIN_NAMES, instant
 
-# Default grain and row limits of the dashboards.
+# Default grain and top-k of the dashboards.
 DEFAULT_GRAIN = "Year"
-TREND_ROWS = 10_000
 TOP_METERS = 10
 
 _AGGREGATES: dict[str, Callable[[str], Column]] = {
@@ -84,12 +83,12 @@ CHARTS = {
         "billing", lambda: [metric("billed_meters", "COUNT_DISTINCT", "meter_id")]
     ),
     "Billing Trend": Chart(
-        "billing", lambda: [_gross(), _net()], _TREND, _TREND, limit=TREND_ROWS
+        "billing", lambda: [_gross(), _net()], _TREND, _TREND,
     ),
     "Revenue by US Region": Chart("billing", lambda: [_net()], ("us_region",), ("us_region",)),
     "Revenue by State": Chart("billing", lambda: [_net()], ("state_code",), ("state_code",)),
     "Realized Price per kWh": Chart(
-        "billing", lambda: [_price()], _TREND, _TREND, limit=TREND_ROWS
+        "billing", lambda: [_price()], _TREND, _TREND,
     ),
     "Total Energy Consumed": Chart("operations", lambda: [_energy()]),
     "Total Meter Readings": Chart(
@@ -99,7 +98,7 @@ CHARTS = {
         "operations", lambda: [metric("meters", "COUNT_DISTINCT", "meter_id")]
     ),
     "Energy Consumption Trend": Chart(
-        "operations", lambda: [_energy()], ("period_start",), ("period_start",), limit=TREND_ROWS
+        "operations", lambda: [_energy()], ("period_start",), ("period_start",),
     ),
     "Top Meters by Energy": Chart(
         "operations", lambda: [_energy()], ("meter_id",), ("meter_id",), "energy_kwh", TOP_METERS
@@ -109,7 +108,6 @@ CHARTS = {
         lambda: [_voltage(), _factor()],
         ("period_start",),
         ("period_start",),
-        limit=TREND_ROWS,
     ),
     "Average Voltage": Chart("operations", lambda: [_voltage()]),
     "Average Power Factor": Chart("operations", lambda: [_factor()]),
@@ -152,8 +150,12 @@ def chart(
     grain: str = DEFAULT_GRAIN,
     start: datetime | None = None,
     end: datetime | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Run one chart. Limited charts are ordered with a tie-break first."""
+    """Run one chart. All rows, but for a top-k chart or where the caller passes ``limit``.
+
+    Charts are ordered with a tie-break, so a limit always keeps the same rows.
+    """
     spec = CHARTS[name]
     scoped = in_scope(mart, grain, start, end)
     if not spec.group_by:
@@ -163,7 +165,8 @@ def chart(
     if spec.descending is not None:
         order.insert(0, F.col(spec.descending).desc())
     result = result.orderBy(*order)
-    return result if spec.limit is None else result.limit(spec.limit)
+    rows = spec.limit if limit is None else limit
+    return result if rows is None else result.limit(rows)
 
 
 def grain_order(mart: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from tidewatt.operators.validation import (
     REASONS,
     RecordContract,
     ValidationRule,
-    is_valid,
+    violations,
     split,
 )
 from tidewatt.operators.windows import BackfillGrain, BackfillWindow, ProcessingMode
@@ -233,7 +233,7 @@ def _run(
         parsed = well_formed(watched) if has_corrupt else watched
         columns = {**audit, "__file": F.col(SOURCE_FILE)}
         mapped = map_columns(parsed, stream.contract.mappings, columns).observe(
-            after, F.count_if(~is_valid(stream.contract.all_rules())).alias("rejected")
+            after, F.count_if(F.size(violations(stream.contract)) > 0).alias("rejected")
         )
         outcome = split(
             mapped,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatt.functions.arithmetic import rounded
-from tidewatt.operators.asof import Horizon, asof_join, effective_intervals
+from tidewatt.operators.asof import asof_join, effective_intervals
 from tidewatt.operators.vault import LDTS, current_rows
 
 READING_COLUMNS = (
@@ -82,8 +82,7 @@ def int_electricity_prices(vault: Mapping[str, DataFrame]) -> DataFrame:
 def int_meter_readings_priced(
     readings: DataFrame,
     prices: DataFrame,
-    strategy: str = "auto",
-    horizon: Horizon | None = None,
+    strategy: str = "bucket",
 ) -> DataFrame:
     """Readings with the price in force in their state at their time.
 
@@ -104,7 +103,6 @@ def int_meter_readings_priced(
         valid_from="price_effective_from",
         valid_to="effective_to",
         strategy=strategy,
-        horizon=horizon,
     )
     revenue = rounded(F.col("energy_kwh") * F.col("price_per_kwh"), 4)
     return joined.select(

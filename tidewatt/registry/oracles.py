@@ -719,7 +719,7 @@ STATEMENTS: dict[str, str] = {
     "chart_billing_trend": """
     SELECT period_start, us_region, CAST(sum(gross) AS DOUBLE) AS gross_billed_usd,
            CAST(sum(net) AS DOUBLE) AS net_revenue_usd
-    FROM shipped_mart WHERE period_grain = 'Month' GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 10000""",
+    FROM shipped_mart WHERE period_grain = 'Month' GROUP BY 1, 2 ORDER BY 1, 2""",
     "chart_revenue_region": """
     SELECT us_region, CAST(sum(net) AS DOUBLE) AS net_revenue_usd
     FROM shipped_mart WHERE period_grain = 'Year' GROUP BY 1""",
@@ -730,7 +730,7 @@ STATEMENTS: dict[str, str] = {
     SELECT period_start, us_region,
            CAST(sum(net) AS DOUBLE) / nullif(CAST(sum(kwh) AS DOUBLE), 0)
                AS realized_usd_per_kwh
-    FROM shipped_mart WHERE period_grain = 'Week' GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 10000""",
+    FROM shipped_mart WHERE period_grain = 'Week' GROUP BY 1, 2 ORDER BY 1, 2""",
     "chart_totals_operations": """
     SELECT CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh,
            CAST(sum(reading_count) AS BIGINT) AS readings,
@@ -743,13 +743,13 @@ STATEMENTS: dict[str, str] = {
     "chart_energy_trend": """
     SELECT period_start, CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh
     FROM mart_meter_operations_periodic WHERE period_grain = 'Day'
-    GROUP BY 1 ORDER BY 1 LIMIT 10000""",
+    GROUP BY 1 ORDER BY 1""",
     "chart_energy_trend_range": """
     SELECT period_start, CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh
     FROM mart_meter_operations_periodic
     WHERE period_grain = 'Hour' AND period_start >= TIMESTAMP '2024-01-10'
       AND period_start <= TIMESTAMP '2024-01-12'
-    GROUP BY 1 ORDER BY 1 LIMIT 10000""",
+    GROUP BY 1 ORDER BY 1""",
     "chart_top_meters": """
     SELECT meter_id, CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh
     FROM mart_meter_operations_periodic WHERE period_grain = 'Year'
@@ -761,7 +761,7 @@ STATEMENTS: dict[str, str] = {
            CAST(sum(power_factor_sum) AS DOUBLE) / CAST(sum(reading_count) AS DOUBLE)
                AS average_power_factor
     FROM mart_meter_operations_periodic WHERE period_grain = 'Day'
-    GROUP BY 1 ORDER BY 1 LIMIT 10000""",
+    GROUP BY 1 ORDER BY 1""",
     "chart_grain_order": """
     SELECT period_grain, min(period_grain_order) AS period_grain_order,
            CAST(count(*) AS BIGINT) AS n_periods

@@ -225,7 +225,7 @@ def _intervals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _priced(spark: SparkSession, folder: str, strategy: str = "auto") -> DataFrame:
+def _priced(spark: SparkSession, folder: str, strategy: str = "bucket") -> DataFrame:
     return information.int_meter_readings_priced(
         supplied.readings(spark, folder), _intervals(spark, folder), strategy
     )
@@ -408,15 +408,9 @@ def int_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 def int_priced(spark: SparkSession, folder: str) -> DataFrame:
     vault = _vault(spark, folder, (*READING_TABLES, *PRICE_TABLES))
-    readings = supplied.readings(spark, folder)
-    horizon = (
-        readings.agg(F.min("event_time")).scalar(),
-        readings.agg(F.max("event_time")).scalar(),
-    )
     return information.int_meter_readings_priced(
         information.int_meter_readings(vault),
         information.int_electricity_prices(vault),
-        horizon=horizon,
     )
 
 
@@ -685,9 +679,7 @@ def stream_priced(spark: SparkSession, folder: str) -> DataFrame:
     readings = supplied.with_zone(readings, spark, folder).select(
         "user_id", "us_region", "state_code", "event_time", "energy_kwh"
     )
-    bounds = supplied.table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("t"))
-    horizon = (bounds.agg(F.min("t")).scalar(), bounds.agg(F.max("t")).scalar())
-    enriched = flows.priced(readings, tariffs, horizon).withColumn(
+    enriched = flows.priced(readings, tariffs).withColumn(
         "usage_revenue", F.round(F.col("energy_kwh") * F.col("price_per_kwh"), 4)
     )
     totals = flows.hourly_totals(
@@ -807,8 +799,8 @@ QUERIES: dict[str, Query] = {
     "backfill_week_batches": backfill_week_batches,
     "incremental_unseen": incremental_unseen,
     "effective_intervals": query_effective_intervals,
-    "asof_priced": _asof("auto"),
-    "asof_priced_broadcast": _asof("broadcast"),
+    "asof_priced": _asof("bucket"),
+    "asof_priced_broadcast": _asof("bucket"),
     "asof_priced_shuffle": _asof("shuffle"),
     "asof_priced_carry": _asof("carry"),
     "asof_left": asof_left,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidewatt.operators.checks import Check, run_checks
 from tidewatt.operators.merge import ACTION, INSERTED, KEPT, UPDATED, rows_to_insert, upsert
 from tidewatt.session import work_folder
-from tidewatt.sources.files import existing_paths
+from tidewatt.sources.files import drop_folder, existing_paths
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,25 @@ class SnapshotTable:
     partition_by: tuple[str, ...] = ()
     checks: tuple[Check, ...] = field(default=())
 
+    @property
+    def staging(self) -> str:
+        """Next to the table, under a fixed name, so that the next run finds what a run left."""
+        return f"{self.path.rstrip('/')}__merge"
+
+    def recover(self, spark: SparkSession) -> None:
+        """Finish a merge that stopped after its staging folder was complete.
+
+        Spark's writer puts ``_SUCCESS`` into a folder last. Replacing the touched partitions, or
+        the plain table, from a complete staging folder can be repeated any number of times.
+        """
+        if not existing_paths(spark, [f"{self.staging}/_SUCCESS"]):
+            return
+        rows = spark.read.schema(self.schema).parquet(self.staging).select(*self.schema.names)
+        self._write(rows, self.path, "overwrite", dynamic=bool(self.partition_by))
+        drop_folder(spark, self.staging)
+
     def read(self, spark: SparkSession) -> DataFrame:
+        self.recover(spark)
         if not existing_paths(spark, [self.path]):
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
@@ -87,8 +105,8 @@ class SnapshotTable:
     ) -> MergeStats:
         """Merge into a staging folder, then replace the touched partitions from it.
 
-        The staging folder is complete before the target changes, so a failure in between is
-        repaired by running the merge again.
+        The staging folder is complete before the target changes and goes only after that, so
+        whoever reads or writes the table next finishes what a failed run left (``recover``).
         """
         spark = source.sparkSession
         target = self.read(spark)
@@ -105,13 +123,16 @@ class SnapshotTable:
                 for action in (INSERTED, UPDATED, KEPT)
             ],
         ).drop(ACTION)
-        staging = work_folder(spark, "merge")
-        self._write(counted, staging, "overwrite")
+        self._write(counted, self.staging, "overwrite")
         counts = seen.get
-        rows = spark.read.schema(self.schema).parquet(staging).select(*self.schema.names)
         if self.checks:
-            enforce(self.checks, {"new_rows": rows})
-        self._write(rows, self.path, "overwrite", dynamic=bool(self.partition_by))
+            rows = spark.read.schema(self.schema).parquet(self.staging).select(*self.schema.names)
+            try:
+                enforce(self.checks, {"new_rows": rows})
+            except ConstraintViolation:
+                drop_folder(spark, self.staging)
+                raise
+        self.recover(spark)
         return MergeStats(
             inserted=counts.get(INSERTED, 0),
             updated=counts.get(UPDATED, 0),

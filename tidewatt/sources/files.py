@@ -81,6 +81,12 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [path for path in paths if exists(path)]
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove one folder, in whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def list_files(spark: SparkSession, base: str, suffix: str = "") -> DataFrame:
     """Every file below ``base`` as a row. The ``content`` column is never read."""
     files = (

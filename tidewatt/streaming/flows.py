@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,18 +135,17 @@ def deduplicated(
 def priced(
     stream: DataFrame,
     tariffs: DataFrame,
-    horizon: tuple[datetime, datetime],
-    strategy: str = "auto",
+    strategy: str = "bucket",
 ) -> DataFrame:
     """Readings joined to the current price intervals, which are static for the batch.
 
-    The condition is the batch one. ``horizon`` bounds the event times intervals are spread over.
-    The carried timeline needs a window over the stream, so only the two bucket joins apply.
+    The condition is the batch one, for any event time. The carried timeline needs a window over
+    the stream, so only the two bucket joins apply.
     """
     return asof_join(
         stream, tariffs, by=["state_code"], also=["us_region"], left_ts="event_time",
         valid_from="price_effective_from", valid_to="effective_to",
-        strategy=strategy, horizon=horizon, dense_bucket=sys.maxsize,
+        strategy=strategy,
     )
 
 
