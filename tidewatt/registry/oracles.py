@@ -607,6 +607,30 @@ STATEMENTS: dict[str, str] = {
     SELECT hk_customer_h, customer_id, min(ldts) AS ldts, 'orders' AS rsrc FROM customers
     GROUP BY hk_customer_h, customer_id HAVING min(ldts) >= TIMESTAMP '1995-03-01'""",
     "sat_history": "SELECT * FROM sat_customer",
+    "sat_null_payload": """
+    WITH kept AS (
+        SELECT CAST(user_id AS VARCHAR) AS hk_user, CAST(ts AS TIMESTAMP) AS ldts,
+               CASE WHEN event_id % 3 <> 0 THEN event_type END AS kind
+        FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1
+    ), before AS (
+        SELECT *, lag(kind) OVER w AS previous, row_number() OVER w AS place
+        FROM kept WINDOW w AS (PARTITION BY hk_user ORDER BY ldts)
+    )
+    SELECT hk_user, ldts, kind FROM before
+    WHERE CASE WHEN place = 1 THEN kind IS NOT NULL ELSE kind IS DISTINCT FROM previous END""",
+    "asof_after_last": """
+    WITH latest AS (
+        SELECT o_custkey % 25 AS zone, min(o_orderkey) AS tariff_id, o_orderdate
+        FROM orders GROUP BY 1, 3
+        QUALIFY row_number() OVER (PARTITION BY o_custkey % 25 ORDER BY o_orderdate DESC) = 1
+    )
+    SELECT event_id, user_id % 25 AS zone, tariff_id, CAST(NULL AS TIMESTAMP) AS valid_to
+    FROM events LEFT JOIN latest ON latest.zone = user_id % 25""",
+    "chart_billing_trend_hour": """
+    SELECT period_start, us_region, CAST(sum(gross) AS DOUBLE) AS gross_billed_usd,
+           CAST(sum(net) AS DOUBLE) AS net_revenue_usd
+    FROM shipped_mart WHERE period_grain = 'Hour' GROUP BY 1, 2 ORDER BY 1, 2""",
     "sat_incremental": "SELECT * FROM sat_customer WHERE ldts >= TIMESTAMP '1998-01-01'",
     "snapshot_calendar": "SELECT sdts FROM control_snap_v0",
     "snapshot_flags": "SELECT sdts, is_active, is_latest FROM control_snap_v1",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatt.contracts import READING_FIELDS, STATES
 from tidewatt.functions.geography import region_of
+from tidewatt.functions.hashing import hash_diff
 from tidewatt.operators.asof import asof_join, effective_intervals
 from tidewatt.operators.calendar import time_spine
 from tidewatt.operators.checks import (
@@ -263,6 +264,23 @@ def asof_left(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def asof_after_last(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings of 2024 against tariffs that all start in the 1990s: the last one stays in force."""
+    orders = supplied.table(spark, folder, "orders").groupBy(
+        (F.col("o_custkey") % 25).alias("zone"), F.col("o_orderdate").cast("timestamp").alias("valid_from")
+    )
+    tariffs = effective_intervals(
+        orders.agg(F.min("o_orderkey").alias("tariff_id")), ["zone"], "valid_from", "valid_to", "month"
+    )
+    readings = supplied.table(spark, folder, "events").select(
+        "event_id", (F.col("user_id") % 25).alias("zone"), F.col("ts").cast("timestamp").alias("moment")
+    )
+    return asof_join(
+        readings, tariffs, by=["zone"], left_ts="moment", valid_from="valid_from",
+        valid_to="valid_to", how="left", bucket="month",
+    ).select("event_id", "zone", "tariff_id", "valid_to")
+
+
 def asof_unpriced(spark: SparkSession, folder: str) -> DataFrame:
     return information.readings_without_price(
         supplied.readings(spark, folder), _priced(spark, folder)
@@ -322,6 +340,21 @@ def sat_history(spark: SparkSession, folder: str) -> DataFrame:
     return _customer_satellite(_customers(spark, folder))
 
 
+def sat_null_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """A satellite whose payload is wholly NULL in a third of the rows, within and across slices."""
+    rows = supplied.table(spark, folder, "events").select(
+        F.col("user_id").cast("string").alias("hk_user"),
+        F.col("ts").cast("timestamp").alias("ldts"),
+        F.lit("events").alias("rsrc"),
+        "event_id",
+        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("kind"),
+    )
+    rows = rows.withColumn("hd", hash_diff(["kind"]))
+    return satellite(rows, "hk_user", "hd", ["kind"], tie_break=["event_id"], slice_unit="day").select(
+        "hk_user", "ldts", "kind"
+    )
+
+
 def sat_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Rows the second load appends: everything, when only orders before 1998 were loaded."""
     staged = _customers(spark, folder)
@@ -804,12 +837,14 @@ QUERIES: dict[str, Query] = {
     "asof_priced_shuffle": _asof("shuffle"),
     "asof_priced_carry": _asof("carry"),
     "asof_left": asof_left,
+    "asof_after_last": asof_after_last,
     "asof_unpriced": asof_unpriced,
     "stage_readings": query_stage_readings,
     "stage_prices": query_stage_prices,
     **{name: _vault_table(name) for name in MODELS},
     "hub_incremental": hub_incremental,
     "sat_history": sat_history,
+    "sat_null_payload": sat_null_payload,
     "sat_incremental": sat_incremental,
     "snapshot_calendar": query_snapshot_calendar,
     "snapshot_flags": _snapshots,
@@ -853,6 +888,7 @@ QUERIES: dict[str, Query] = {
     ),
     "chart_totals_billing": _totals(BILLING_TOTALS, _billing, "Year"),
     "chart_billing_trend": _chart("Billing Trend", mart_billing_shipped, "Month"),
+    "chart_billing_trend_hour": _chart("Billing Trend", mart_billing_shipped, "Hour"),
     "chart_revenue_region": _chart("Revenue by US Region", mart_billing_shipped, "Year"),
     "chart_revenue_state": _chart("Revenue by State", mart_billing_shipped, "Year"),
     "chart_realized_price": _chart("Realized Price per kWh", mart_billing_shipped, "Week"),
