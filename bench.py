@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,6 +27,7 @@ HEADLINE = (
     "asof_priced",
     "asof_priced_shuffle",
     "asof_priced_carry",
+    "asof_after_last",
     "hub_meter",
     "link_meter_reading",
     "sat_reading_metrics",
@@ -42,7 +44,10 @@ HEADLINE = (
     "chart_top_meters",
     "check_rows",
     "check_combo",
+    "chart_billing_trend_hour",
+    "check_vault",
     "stream_hourly",
+    "stream_priced",
 )
 
 
@@ -54,6 +59,8 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         "spark.ui.enabled": "false",
+        # A local master only: intermediate tables of one run, in a folder of its own.
+        "spark.checkpoint.dir": os.environ.get("BENCH_WORK") or tempfile.mkdtemp(prefix="bench-"),
     }
     spark = session("tidewatt-bench", f"local[{cpus}]", settings)
     spark.sparkContext.setLogLevel("ERROR")
