@@ -77,6 +77,16 @@ def test_modes():
         ProcessingMode.parse("repartition-everything")
 
 
+def test_scan_adds_one_day_on_each_side():
+    month = BackfillWindow.parse("2026-01-01T00:00:00Z", "2026-02-01T00:00:00Z", "month")
+    assert month.source_paths("raw") == ["raw/year=2026/month=01/"]
+    assert month.scan_paths("raw") == ["raw/year=2026/month=01/", "raw/year=2025/month=12/day=31/", "raw/year=2026/month=02/day=01/"]
+    part = BackfillWindow.parse("2026-01-10T00:00:00Z", "2026-01-20T00:00:00Z", "month")
+    assert part.scan_paths("raw") == ["raw/year=2026/month=01/"]
+    week = BackfillWindow.parse("2026-01-05T00:00:00Z", "2026-01-12T00:00:00Z", "week")
+    assert len(week.scan_paths("raw")) == 9 and len(set(week.scan_paths("raw"))) == 9
+
+
 def test_half_open_filter(spark):
     frame = spark.createDataFrame(
         [("2026-01-14 23:59:59",), ("2026-01-15 00:00:00",), ("2026-01-16 00:00:00",), (None,)],

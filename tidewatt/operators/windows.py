@@ -83,12 +83,6 @@ class BackfillWindow:
             for first, last in zip(edges, edges[1:], strict=False)
         )
 
-    def widened(self, days: int = 1) -> BackfillWindow:
-        """Raw folders follow the characters of the timestamp, so a zone offset can move a
-        record by a day; read wider, then filter exactly."""
-        margin = timedelta(days=days)
-        return BackfillWindow(self.start - margin, self.end + margin, self.grain)
-
     def days(self) -> list[date]:
         return [self.start + timedelta(days=n) for n in range((self.end - self.start).days)]
 
@@ -100,6 +94,17 @@ class BackfillWindow:
         roots = dict.fromkeys(day.strftime(layout) for day in self.days())
         return [f"{base.rstrip('/')}/{root}" for root in roots]
 
+    def scan_paths(self, base: str) -> list[str]:
+        """The partition roots and one day folder on each side of the window.
+
+        Raw folders follow the characters of the timestamp, so a zone offset can move a record
+        by a day. The exact filter comes after the scan.
+        """
+        roots = self.source_paths(base)
+        layout = f"{base.rstrip('/')}/year=%Y/month=%m/day=%d/"
+        sides = [day.strftime(layout) for day in (self.start - timedelta(days=1), self.end)]
+        return roots + [side for side in sides if not side.startswith(tuple(roots))]
+
     def filter(self, frame: DataFrame, timestamp_column: str) -> DataFrame:
         """Exact half-open boundaries."""
         moment = F.col(timestamp_column).cast("timestamp")

@@ -185,17 +185,14 @@ def _unseen(spark: SparkSession, run: JobRun, source: str, data_format: str):
     return [row.object_uri for row in files.toLocalIterator()], files
 
 
-def _in_window(window: BackfillWindow | None, time_column: str) -> Callable[[DataFrame], DataFrame]:
-    """Rejected rows belong to a batch by their time, or by their folder when it is unreadable."""
+def _inside(window: BackfillWindow | None, file: Column, moment: Column | None = None) -> Column:
+    """A row belongs to a batch by its time, or by its folder when the time is unreadable."""
     if window is None:
-        return lambda frame: frame
-
-    def keep(frame: DataFrame) -> DataFrame:
-        day = F.coalesce(F.date_format(time_column, "yyyy-MM-dd"), folder_day(F.col("__file")))
-        first, last = window.start.isoformat(), window.end.isoformat()
-        return frame.filter(day.isNull() | ((day >= first) & (day < last)))
-
-    return keep
+        return F.lit(True)
+    day = folder_day(file)
+    if moment is not None:
+        day = F.coalesce(F.date_format(moment, "yyyy-MM-dd"), day)
+    return day.isNull() | ((day >= window.start.isoformat()) & (day < window.end.isoformat()))
 
 
 def _run(
@@ -226,14 +223,17 @@ def _run(
             continue
         before, after = Observation(), Observation()
         has_corrupt = CORRUPT in frame.columns
-        counts = [F.count(F.lit(1)).alias("rows")]
+        watched = frame
         if has_corrupt:
-            counts.append(F.count(CORRUPT).alias("malformed"))
-        watched = frame.observe(before, *counts)
+            lost = F.col(CORRUPT).isNotNull() & _inside(window, F.col(SOURCE_FILE))
+            watched = frame.observe(before, F.count_if(lost).alias("malformed"))
         parsed = well_formed(watched) if has_corrupt else watched
         columns = {**audit, "__file": F.col(SOURCE_FILE)}
+        own = _inside(window, F.col("__file"), F.col(stream.time_column))
         mapped = map_columns(parsed, stream.contract.mappings, columns).observe(
-            after, F.count_if(F.size(violations(stream.contract)) > 0).alias("rejected")
+            after,
+            F.count_if(own).alias("parsed"),
+            F.count_if(own & (F.size(violations(stream.contract)) > 0)).alias("rejected"),
         )
         outcome = split(
             mapped,
@@ -247,11 +247,11 @@ def _run(
             valid = window.filter(valid, stream.time_column)
         valid = first_by_key(valid, [stream.id_column], [F.col(stream.time_column).asc()])
         stats = sink(valid, window)
-        seen = {**before.get, **after.get}
+        seen = {**(before.get if has_corrupt else {}), **after.get}
+        seen["rows"] = (seen.get("parsed") or 0) + (seen.get("malformed") or 0)
         if seen.get("malformed"):
             bad = malformed(frame).withColumnsRenamed({SOURCE_FILE: "__file"})
-            bad = bad.withColumn("__none", F.lit(None).cast("timestamp"))
-            bad = _in_window(window, "__none")(bad).select(
+            bad = bad.filter(_inside(window, F.col("__file"))).select(
                 F.col(CORRUPT).alias("record"),
                 F.col("__file").alias("record_source"),
                 "parsed_fields",
@@ -262,8 +262,7 @@ def _run(
             )
             write_quarantine(bad, errors)
         if seen.get("rejected"):
-            rejected = _in_window(window, stream.time_column)(outcome.rejected)
-            write_quarantine(rejected.drop("__file"), errors)
+            write_quarantine(outcome.rejected.filter(own).drop("__file"), errors)
         for name in ("rows", "malformed", "rejected"):
             totals[name] += seen.get(name, 0) or 0
         if stats is not None:
@@ -295,7 +294,7 @@ def raw_to_curated(
 
     def scan(window: BackfillWindow | None, paths: list[str] | None) -> DataFrame | None:
         if window is not None:
-            paths = existing_paths(spark, window.widened().source_paths(source))
+            paths = existing_paths(spark, window.scan_paths(source))
         return read_ndjson(spark, paths, fields) if paths else None
 
     def sink(valid: DataFrame, window: BackfillWindow | None) -> None:
