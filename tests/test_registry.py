@@ -19,7 +19,7 @@ SAMPLE = [
     "asof_priced", "asof_left", "asof_after_last", "stage_readings", "sat_meter_details", "sat_incremental", "sat_null_payload",
     "snapshot_flags", "pit_history", "int_prices", "fact_hourly_billing", "mart_operations",
     "mart_billing_shipped", "metric_totals", "metric_daily_regional_billing", "chart_top_meters", "chart_billing_trend_hour",
-    "check_core", "stream_hourly",
+    "check_core", "stream_hourly", "job_backfill_readings",
 ]
 
 

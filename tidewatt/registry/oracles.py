@@ -830,6 +830,15 @@ STATEMENTS: dict[str, str] = {
         "CAST(substr(meter_id, 7) AS BIGINT) AS user_id, state_code", "priced", "event_time",
         "priced",
     ),
+    "job_backfill_readings": """
+    SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3)
+               || '-a' || substr(digest, 18, 3) || '-' || substr(digest, 21, 12) AS event_id,
+           '1.0' AS schema_version, meter_id, us_region, state_code,
+           date_trunc('second', ts) AS event_time, value AS energy_kwh,
+           CAST(230 AS DOUBLE) AS voltage_v, CAST(4.5 AS DOUBLE) AS current_a,
+           CAST(0.95 AS DOUBLE) AS power_factor
+    FROM raw_reasons WHERE len(reasons) = 0
+      AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-19'""",
     "job_warehouse_readings": """
     SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3)
                || '-a' || substr(digest, 18, 3) || '-' || substr(digest, 21, 12) AS event_id,

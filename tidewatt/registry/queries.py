@@ -778,6 +778,26 @@ def _curated(spark: SparkSession, folder: str) -> dict[str, str]:
     return lake
 
 
+def job_backfill_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Two weeks of the raw zone curated by a backfill in week batches, run twice."""
+    base = work_folder(spark, "backfill")
+    (
+        _raw_records(spark, folder)
+        .drop("hour")
+        .repartition("year", "month", "day")
+        .write.partitionBy("year", "month", "day")
+        .text(f"{base}/raw")
+    )
+    window = BackfillWindow.parse("2024-01-05T00:00:00Z", "2024-01-19T00:00:00Z", "week")
+    for name in ("run-1", "run-2"):
+        run = curation.JobRun(name, LOAD_TS, curation.ProcessingMode.BACKFILL, window)
+        curation.raw_to_curated(
+            spark, curation.RAW_READING_STREAM, run, f"{base}/raw", f"{base}/curated", f"{base}/errors"
+        )
+    curated = spark.read.parquet(f"{base}/curated")
+    return curated.select(*[name for name, _, _ in READING_FIELDS])
+
+
 def job_warehouse_readings(spark: SparkSession, folder: str) -> DataFrame:
     """Raw files to curated Parquet to the warehouse table, loaded twice: rows appear once."""
     lake = _curated(spark, folder)
@@ -913,6 +933,7 @@ QUERIES: dict[str, Query] = {
     "stream_hourly": stream_hourly,
     "stream_dedupe": stream_dedupe,
     "stream_priced": stream_priced,
+    "job_backfill_readings": job_backfill_readings,
     "job_warehouse_readings": job_warehouse_readings,
     "job_quarantine_reasons": job_quarantine_reasons,
     "job_partition_inventory": job_partition_inventory,
