@@ -24,6 +24,10 @@ SIDE, BAND = 10, 3
 SKETCH = 2 * SIDE * BAND
 #: Of 60 minhashes a pair of similarity 0.8 shares 48 on average, under 30 with odds of 1e-7.
 LEAST_SHARED = 30
+#: Buckets up to this size compare all pairs across their components at once.
+SMALL = 16
+#: Larger ones compare all their nodes with so many drawn ones per key, in so many rounds.
+DRAWS, ROUNDS = 2, 2
 
 _draw = np.random.default_rng(20_240_229)
 _FACTORS = _draw.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -204,24 +208,45 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.select("u", "v", "one", "two").mapInArrow(similar, pairs.schema)
 
 
-def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of nodes in different components that share a key and most minhashes, not yet tested.
+def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: DataFrame, number: int) -> DataFrame:
+    """Pairs (u, v) across the components of a bucket that share most minhashes, not yet tested.
 
-    Keys within one component ask for nothing more, so copies are never expanded into pairs.
+    A bucket within one component asks for nothing, so copies are never expanded into pairs. A
+    bucket of up to ``SMALL`` nodes gives all its pairs across components (in the first round, 0),
+    a larger one those with nodes drawn anew for each key and round: ``DRAWS`` rows per node.
     """
     placed = buckets.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rows = placed.join(several, "key").join(nodes.select("node", "sketch"), "node")
-    one = rows.select("key", F.col("node").alias("v"), F.col("component").alias("c"), F.col("sketch").alias("one"))
-    two = rows.select("key", F.col("node").alias("u"), F.col("component").alias("d"), F.col("sketch").alias("two"))
-    pairs = one.join(two, "key").where("c <> d AND v < u").select("u", "v", "one", "two")
+    draws = [F.min(F.struct(F.xxhash64("node", "key", F.lit(number * DRAWS + n)), "node", "component")) for n in range(DRAWS)]
+    several = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.array(*draws).alias("draws"))
+        .where("low <> high")
+    )
+    rows = placed.join(several, "key")
+    large = rows.where(F.col("n") > SMALL).select("node", "component", F.explode("draws").alias("drawn"))
+    stars = large.where(F.col("component") != F.col("drawn.component")).select("node", F.col("drawn.node").alias("other"))
+    if number == 0:
+        few = rows.where(F.col("n") <= SMALL).select("key", "node", "component")
+        others = few.select("key", F.col("node").alias("other"), F.col("component").alias("far"))
+        stars = stars.unionByName(few.join(others, "key").where("component < far").select("node", "other"))
+    pairs = stars.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).where("u <> v").distinct()
+    one = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("one")).hint("merge")
+    two = nodes.select(F.col("node").alias("v"), F.col("sketch").alias("two")).hint("merge")
+    known = pairs.join(tested, ["u", "v"], "left_anti").join(one, "u").join(two, "v").select("u", "v", "one", "two")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, SKETCH) for i in (2, 3))
             yield batch.select(["u", "v"]).filter(pa.array((one == two).sum(axis=1) >= LEAST_SHARED))
 
-    return pairs.mapInArrow(shared, tested.schema).distinct().join(tested, ["u", "v"], "left_anti")
+    return known.mapInArrow(shared, tested.schema)
+
+
+def _hub_labels(links: DataFrame) -> DataFrame:
+    """(node, component): the least hub of each node, or that hub's; at least as fine as components."""
+    least = links.groupBy("u").agg(F.min("v").alias("v"))
+    above = least.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    return kept(least.join(above, "v", "left").select(F.col("u").alias("node"), F.coalesce("w", "v").alias("component")), "hub-labels")
 
 
 def near_duplicates(
@@ -236,9 +261,11 @@ def near_duplicates(
     document, so they share a component; a row without id is linked with nothing (component
     null, kept). Other columns are not read.
 
-    First every node is verified against the hub of each of its buckets. Then, in buckets that
-    still hold several components, the pairs across components follow. So a bucket of copies
-    costs as many verifications as it has nodes, and no candidate of any bucket is left out.
+    First every node is verified against the hub of each of its buckets. Buckets that then still
+    hold several components go on: small ones with all pairs across components, large ones with
+    stars around ``DRAWS`` nodes drawn for each key, in ``ROUNDS`` rounds. So the work grows with
+    the rows of the buckets and not with the square of a group; a component of such a bucket
+    whose only links are to nodes that no shared key draws may stay apart.
     """
     rows = kept(_sketched(docs, words, id_column, text_column), "sketches")
     id_type = rows.schema["id"].dataType
@@ -258,10 +285,17 @@ def near_duplicates(
     wanted = buckets.select("node").distinct()
     sets = kept(_sets(docs, wanted, words, id_column, text_column), "sets")
     links = kept(_confirmed(stars, sets, percent), "links")
-    labels = components(links)
-    late = kept(_across(buckets, labels, classes, stars), "late-pairs")
-    if not late.isEmpty():
-        labels = components(links.unionByName(_confirmed(late, sets, percent)))
+    number, tested, labels = 0, stars, _hub_labels(links)
+    while number < ROUNDS:
+        late = kept(_across(buckets, labels, classes, tested, number), "late-pairs")
+        more = kept(_confirmed(late, sets, percent), "late-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = components(links)
+        number, tested = number + 1, tested.unionByName(late)
+    if not number:
+        labels = components(links)
     # An id with several rows may stand for several sets: its nodes are one document.
     repeated = rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
     member = rows.where("n_shingles > 0").join(classes.select(*whole, "node"), whole).select("id", "node")
