@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewatt.session import work_folder
 
 #: Bytes of text that numpy code handles at a time; its arrays are a small multiple of this.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 ARCHIVE = "tidewatt-package"
@@ -145,8 +145,11 @@ class Generations(dict):
         self.keep(key, value)
         return value
 
-    def keep(self, key, value) -> None:
+    def make_room(self) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
+
+    def keep(self, key, value) -> None:
+        self.make_room()
         self[key] = value

@@ -18,13 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidewatt.llm.common import Generations, as_bytes, documents, kept
+from tidewatt.llm.common import Generations, as_bytes, documents, kept, slices
 
 CAPACITY = 2048
 SEPARATOR = 0
-CACHE = 300_000
+CACHE = 150_000
+WORDS_AT_ONCE = 1000
+#: Bytes of text whose stretches are held at a time.
+BATCH_BYTES = 1 << 21
 #: Pieces that one ranking task group holds; hot lengths are cut into as many groups as needed.
-GROUP_ROWS = 4096
+GROUP_ROWS = 512
 #: Fillings that the search looks at for one bin, and bins whose choice it may revise.
 FILLINGS = 24
 NODES = 20_000
@@ -34,7 +37,7 @@ class IdCache:
     """The ids of a text as bytes, put together from those of its blank-free stretches.
 
     The tokenizer drops blanks and never looks across one; stretches are cut at blanks and
-    line feeds only, and what is new in a batch of texts goes through the library at once.
+    line feeds only, and what is new in a batch of texts goes through the library together.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -43,31 +46,68 @@ class IdCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = Generations(lambda key: self.encoded([key])[0], cache)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Whether an id closes a word.
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known = Generations(lambda key: self.encoded([key.decode()])[0], cache)
         self.known[b""] = b""
 
-    def encoded(self, stretches: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([s.decode() for s in stretches], add_special_tokens=False)
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
+    def encoded_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters only, many in one text: each ends where an id closes it."""
+        out: list[bytes] = []
+        for low in range(0, len(words), WORDS_AT_ONCE):
+            part = words[low : low + WORDS_AT_ONCE]
+            data = self.encoded([" ".join(part)])[0]
+            ends = (4 * (np.flatnonzero(self.closes[np.frombuffer(data, "<u4")]) + 1)).tolist()
+            if len(ends) == len(part):
+                out += [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            else:
+                out += self.encoded(part)
+        return out
+
     @staticmethod
     def stretches(text: bytes) -> list[bytes]:
         # Special tokens are the only strings whose case matters.
         plain = text if b"<|" in text else text.lower()
         return plain.replace(b"\n", b" ").split(b" ")
 
+    def learn(self, new: set[bytes]) -> None:
+        """Ids of stretches that the cache does not hold."""
+        known, old = self.known, self.known.old
+        words: dict[bytes, str] = {}
+        others: dict[bytes, str] = {}
+        ended: list[bytes] = []
+        for stretch in new:
+            ids = old.get(stretch)
+            if ids is not None:
+                known[stretch] = ids
+                continue
+            text = stretch.decode()
+            # A comma or full stop behind letters is a token of its own.
+            if text[-1] in ",." and len(text) > 1 and text[:-1].isalpha():
+                ended.append(stretch)
+                stretch, text = stretch[:-1], text[:-1]
+                if stretch in known:
+                    continue
+            if text.isalpha() and (text.isascii() or text.lower().isalpha()):
+                words[stretch] = text
+            else:
+                others[stretch] = text
+        known.update(zip(words, self.encoded_words(list(words.values())), strict=True))
+        known.update(zip(others, self.encoded(list(others.values())), strict=True))
+        for stretch in ended:
+            known[stretch] = known[stretch[:-1]] + known[stretch[-1:]]
+
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         cut = [self.stretches(text) for text in texts]
         known = self.known
-        new = set().union(*cut) - known.keys()
-        recent = {stretch: known.old[stretch] for stretch in new if stretch in known.old}
-        for stretch, ids in recent.items():
-            known.keep(stretch, ids)
-        fresh = list(new.difference(recent))
-        for start in range(0, len(fresh), 20_000):
-            part = fresh[start : start + 20_000]
-            for stretch, ids in zip(part, self.encoded(part), strict=True):
-                known.keep(stretch, ids)
+        known.make_room()
+        self.learn(set().union(*cut).difference(known))
         for parts in cut:
             yield b"".join(map(known.__getitem__, parts))
 
@@ -97,8 +137,8 @@ def pieces(docs: DataFrame, path: str, capacity: int, id_column: str, text_colum
         for batch in batches:
             owner, number, start, length, crc = [], [], [], [], []
             texts = as_bytes(batch, "text")
-            for low in range(0, len(texts), 500):
-                for place, ids in enumerate(cache.ids(texts[low : low + 500]), low):
+            for low, high in slices(texts, BATCH_BYTES):
+                for place, ids in enumerate(cache.ids(texts[low:high]), low):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), width)):
                         part = ids[at : at + width]
