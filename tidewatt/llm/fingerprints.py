@@ -21,6 +21,8 @@ SKETCHES, SKETCH_SHIFT = 64, 57
 PLACE_BITS = 24
 PLACES = (1 << PLACE_BITS) - 1
 HASHES = (1 << 63) - 1 - PLACES
+#: A fingerprint's number is an int: the sketch, and this many bits of its tuple's hash.
+TUPLE_BITS = 25
 BLANKS = r"[\x09-\x0D\x20]+"
 
 
@@ -31,7 +33,7 @@ def _masked(column: Column, mask: int) -> Column:
 def order_minhash(texts: DataFrame, text_column: str, out: str) -> DataFrame:
     """``texts`` with ``out`` instead of the text: one number per sketch that has a k-mer.
 
-    A number holds the sketch in its upper and the hash of the tuple in its lower 32 bits. Null
+    A number holds the sketch in its upper and the hash of the tuple in its lower bits. Null
     counts as empty; a text without words is one empty word, and one with fewer words than a
     k-mer is one k-mer. Everything happens within the row.
     """
@@ -76,19 +78,20 @@ def order_minhash(texts: DataFrame, text_column: str, out: str) -> DataFrame:
         other = F.when(F.shiftright(other, SKETCH_SHIFT) == sketch, other)
         own, others = F.shiftright(number, PLACE_BITS), F.shiftright(other, PLACE_BITS)
         in_order = F.when(_masked(number, PLACES) < _masked(other, PLACES), F.xxhash64(own, others)).otherwise(F.xxhash64(others, own))
-        return F.when(first, F.shiftleft(sketch, 32).bitwiseOR(_masked(in_order, (1 << 32) - 1)))
+        number = F.shiftleft(sketch, TUPLE_BITS).bitwiseOR(_masked(in_order, (1 << TUPLE_BITS) - 1))
+        return F.when(first, number.cast("int"))
 
     return step.select(*keep, F.array_compact(F.transform("__least", sketched)).alias(out))
 
 
 def likeness(one: Column, two: Column) -> Column:
     """Share of equal sketches among those that either text has."""
-    sketches = F.array_union(F.transform(one, lambda n: F.shiftright(n, 32)), F.transform(two, lambda n: F.shiftright(n, 32)))
+    sketches = F.array_union(F.transform(one, lambda n: F.shiftright(n, TUPLE_BITS)), F.transform(two, lambda n: F.shiftright(n, TUPLE_BITS)))
     return F.size(F.array_intersect(one, two)) / F.size(sketches)
 
 
 def as_string(numbers: Column) -> Column:
-    return F.array_join(F.transform(numbers, lambda n: F.lpad(F.lower(F.hex(n)), 10, "0")), "")
+    return F.array_join(F.transform(numbers, lambda n: F.lpad(F.lower(F.hex(n)), 8, "0")), "")
 
 
 def next_rows(rows: DataFrame) -> DataFrame:
