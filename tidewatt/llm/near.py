@@ -223,8 +223,8 @@ def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: Dat
         .where("low <> high")
     )
     rows = placed.join(several, "key")
-    large = rows.where(F.col("n") > SMALL).select("node", "component", F.explode("draws").alias("drawn"))
-    stars = large.where(F.col("component") != F.col("drawn.component")).select("node", F.col("drawn.node").alias("other"))
+    apart = F.filter("draws", lambda draw: draw["component"] != F.col("component"))
+    stars = rows.where(F.col("n") > SMALL).select("node", F.explode(apart).alias("drawn")).select("node", F.col("drawn.node").alias("other"))
     if number == 0:
         few = rows.where(F.col("n") <= SMALL).select("key", "node", "component")
         others = few.select("key", F.col("node").alias("other"), F.col("component").alias("far"))
