@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 
 from tidewatt.llm.components import components
-from tidewatt.llm.near import SKETCH, near_duplicates, one_of_each, op8_minhash_near_dedup, shingle_sets, sketch, table_keys
+from tidewatt.llm.near import SKETCH, _common, half_keys, near_duplicates, one_of_each, op8_minhash_near_dedup, shingle_sets, sketch, table_keys
 
 
 def sets_of(text, words):
@@ -61,6 +61,37 @@ def test_groups_of_copies_and_chains(frame):
     assert result(near_duplicates(frame(rows))) == brute(rows, 5)
 
 
+def test_links_inside_a_large_group_just_below_the_limit(frame):
+    """1500 texts of one template at 0.798 to each other; only twins are above 0.8."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefghijkl") for _ in range(8))
+    template, rows = [word() for _ in range(154)], []
+    for twin in range(750):
+        shared = [word() for _ in range(10)]
+        rows += [(10 * twin + own, " ".join([*template, *shared, *(word() for _ in range(9))])) for own in (0, 5)]
+    sets = [sets_of(text, 5) for _, text in rows]
+    assert 150 / 188 < 0.8 and len(sets[0] & sets[2]) == 150 and len(sets[0] | sets[2]) == 188
+    assert len(sets[0] & sets[1]) == 160 and len(sets[0] | sets[1]) == 178
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(rows)).collect()}
+    assert got == {doc_id: doc_id - doc_id % 10 for doc_id, _ in rows}
+
+
+def test_common_shingles_over_many_columns():
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 20_000, n, dtype=np.uint64)) for n in (1, 50, 9000, 15_000, 0, 12_000)]
+    expected = [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]
+    assert _common(sets, sets[2:]).tolist() == expected
+
+
+def test_a_shared_table_key_is_a_shared_half_key():
+    draw = np.random.default_rng(7)
+    for _ in range(50):
+        shared, one, two = (draw.integers(0, 1 << 63, n, dtype=np.uint64) for n in (400, 100, 100))
+        both = np.stack([sketch(np.concatenate([shared, own])) for own in (one, two)])
+        keys, halves = table_keys(both), half_keys(both)
+        assert not set(keys[0]) & set(keys[1]) or set(halves[0]) & set(halves[1])
+
+
 def test_short_null_empty_and_repeated(frame):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE  two"), (6, "one"), (None, "one two"), (7, "x"), (7, "x")]
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame(rows)).collect()}

@@ -7,7 +7,7 @@ instead of ``SIDE**2 * 2 * BAND``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,10 @@ SKETCH = 2 * SIDE * BAND
 LEAST_SHARED = 30
 #: Buckets up to this size compare all pairs across their components at once.
 SMALL = 16
-#: Larger ones compare all their nodes with so many drawn ones per key, in so many rounds.
-DRAWS, ROUNDS = 2, 2
+#: Larger ones first compare all their nodes with so many drawn ones per key.
+DRAWS = 2
+#: What that leaves apart is compared block by block: nodes and bytes of shingles in a block.
+BLOCK_NODES, BLOCK_BYTES = 128, 8 << 20
 
 _draw = np.random.default_rng(20_240_229)
 _FACTORS = _draw.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,10 +66,13 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
+def _bands(sketches: np.ndarray) -> np.ndarray:
+    return mixed((sketches.reshape(len(sketches), 2, SIDE, BAND).astype(np.uint64) * _PLACES[:BAND]).sum(axis=3, dtype=np.uint64))
+
+
 def table_keys(sketches: np.ndarray) -> np.ndarray:
     """``SIDE``**2 keys per row of sketches: all pairs of a band of each collection."""
-    bands = (sketches.reshape(len(sketches), 2, SIDE, BAND).astype(np.uint64) * _PLACES[:BAND]).sum(axis=3, dtype=np.uint64)
-    bands = mixed(bands)
+    bands = _bands(sketches)
     pairs = bands[:, 0, :, None] * _PLACES[10] + bands[:, 1, None, :] * _PLACES[11]
     number = np.arange(SIDE * SIDE, dtype=np.uint64)
     return mixed(pairs.reshape(len(sketches), -1) + number * _PLACES[12])
@@ -92,7 +97,13 @@ def _sketched(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     return source.mapInArrow(rows, T.StructType([T.StructField(n, t) for n, t in fields]))
 
 
-def _keyed(nodes: DataFrame) -> DataFrame:
+def half_keys(sketches: np.ndarray) -> np.ndarray:
+    """``SIDE`` keys per row of sketches, the bands of the first collection: rows that share a key
+    of ``table_keys`` share one of these."""
+    return mixed(_bands(sketches)[:, 0] + np.arange(SIDE, dtype=np.uint64) * _PLACES[13])
+
+
+def _keyed(nodes: DataFrame, keys_of: Callable[[np.ndarray], np.ndarray] = table_keys) -> DataFrame:
     """(key, node) for every table."""
     node_type = nodes.schema["node"].dataType
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("node", node_type)])
@@ -102,7 +113,7 @@ def _keyed(nodes: DataFrame) -> DataFrame:
             sketches = batch.column(1).to_pylist()
             for low in range(0, len(sketches), 2000):
                 part = sketches[low : low + 2000]
-                keys = table_keys(np.frombuffer(b"".join(part), dtype="<u4").reshape(len(part), SKETCH))
+                keys = keys_of(np.frombuffer(b"".join(part), dtype="<u4").reshape(len(part), SKETCH))
                 at = np.repeat(np.arange(low, low + len(part)), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), batch.column(0).take(pa.array(at))], names=["key", "node"])
 
@@ -208,15 +219,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.select("u", "v", "one", "two").mapInArrow(similar, pairs.schema)
 
 
-def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: DataFrame, number: int) -> DataFrame:
+def _placed(keyed: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, key, component): a node without links is its own component."""
+    return keyed.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: DataFrame) -> DataFrame:
     """Pairs (u, v) across the components of a bucket that share most minhashes, not yet tested.
 
     A bucket within one component asks for nothing, so copies are never expanded into pairs. A
-    bucket of up to ``SMALL`` nodes gives all its pairs across components (in the first round, 0),
-    a larger one those with nodes drawn anew for each key and round: ``DRAWS`` rows per node.
+    bucket of up to ``SMALL`` nodes gives all its pairs across components, a larger one those with
+    nodes drawn for each key, ``DRAWS`` rows per node; ``_rest`` does what is left of it.
     """
-    placed = buckets.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    draws = [F.min(F.struct(F.xxhash64("node", "key", F.lit(number * DRAWS + n)), "node", "component")) for n in range(DRAWS)]
+    placed = _placed(buckets, labels)
+    draws = [F.min(F.struct(F.xxhash64("node", "key", F.lit(n)), "node", "component")) for n in range(DRAWS)]
     several = (
         placed.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.array(*draws).alias("draws"))
@@ -225,10 +241,9 @@ def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: Dat
     rows = placed.join(several, "key")
     apart = F.filter("draws", lambda draw: draw["component"] != F.col("component"))
     stars = rows.where(F.col("n") > SMALL).select("node", F.explode(apart).alias("drawn")).select("node", F.col("drawn.node").alias("other"))
-    if number == 0:
-        few = rows.where(F.col("n") <= SMALL).select("key", "node", "component")
-        others = few.select("key", F.col("node").alias("other"), F.col("component").alias("far"))
-        stars = stars.unionByName(few.join(others, "key").where("component < far").select("node", "other"))
+    few = rows.where(F.col("n") <= SMALL).select("key", "node", "component")
+    others = few.select("key", F.col("node").alias("other"), F.col("component").alias("far"))
+    stars = stars.unionByName(few.join(others, "key").where("component < far").select("node", "other"))
     pairs = stars.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).where("u <> v").distinct()
     one = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("one")).hint("merge")
     two = nodes.select(F.col("node").alias("v"), F.col("sketch").alias("two")).hint("merge")
@@ -242,6 +257,98 @@ def _across(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: Dat
     return known.mapInArrow(shared, tested.schema)
 
 
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``one`` shares with each of ``two``."""
+    values, at = np.unique(np.concatenate([*one, *two]), return_inverse=True)
+    # A shingle of a single set is shared with nobody.
+    several = np.bincount(at, minlength=len(values)) > 1
+    column = np.where(several, np.cumsum(several) - 1, -1)[at]
+    owner = np.repeat(np.arange(len(one) + len(two)), [len(s) for s in (*one, *two)])
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    found = np.zeros((len(one), len(two)), dtype=np.int64)
+    for low in range(0, int(several.sum()), 4096):
+        start, end = np.searchsorted(column, (low, low + 4096))
+        held = np.zeros((len(one) + len(two), 4096), dtype=np.float32)
+        held[owner[start:end], column[start:end] - low] = 1
+        found += (held[: len(one)] @ held[len(one) :].T).astype(np.int64)
+    return found
+
+
+def _joining(one: np.ndarray, two: np.ndarray, names: list) -> list[int]:
+    """Positions of the links that are enough to join what all links (one[i], two[i]) join."""
+    parent = {name: name for name in names}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    enough = []
+    for at, (i, j) in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+        a, b = root(names[i]), root(names[j])
+        if a != b:
+            parent[a] = b
+            enough.append(at)
+    return enough
+
+
+def _rest(buckets: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that join all components which any pair within a large bucket joins.
+
+    The nodes of large buckets that hold several components meet by their half-keys. Of each
+    half-key, the nodes outside its most frequent component are compared with one another and with
+    that component, on full sets and in salted blocks: a group gets one row per node and block it
+    meets, no pair is a row, and a block pair gives fewer links than it has nodes.
+    """
+    placed = _placed(buckets, labels)
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    unsettled = several.where((F.col("n") > SMALL) & (F.col("low") != F.col("high"))).select("key")
+    nodes = kept(placed.join(unsettled, "key").select("node").distinct(), "open-nodes")
+    node_type = nodes.schema["node"].dataType
+    schema = T.StructType([T.StructField("u", node_type), T.StructField("v", node_type)])
+    if nodes.isEmpty():
+        return nodes.sparkSession.createDataFrame([], schema)
+    sized = classes.join(nodes.hint("merge"), "node", "left_semi")
+    meeting = kept(_placed(_keyed(sized, half_keys), labels).join(sized.select("node", (8 * F.col("n_shingles")).alias("bytes")).hint("merge"), "node"), "half-keys")
+    parts = meeting.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_NODES, size / BLOCK_BYTES)).cast("int")
+    main = F.max(F.struct("n", "bytes", "component"))
+    plan = (
+        parts.groupBy("key")
+        .agg(main.alias("main"), (F.sum("n") - F.max("n")).alias("n"), F.sum("bytes").alias("bytes"))
+        .where("n > 0")
+        .select("key", F.col("main.component").alias("main"), blocks(F.col("n"), F.col("bytes") - F.col("main.bytes")).alias("rest"), blocks(F.col("main.n"), F.col("main.bytes")).alias("mains"))
+    )
+    salt, inside = F.xxhash64("node", "key"), F.col("component") == F.col("main")
+    dealt = meeting.join(plan, "key").withColumn("block", F.when(inside, F.col("rest") + F.pmod(salt, F.col("mains"))).otherwise(F.pmod(salt, F.col("rest"))).cast("int"))
+    others = F.sequence(F.lit(0), F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("mains")) - 1)
+    met = dealt.join(sets.hint("merge"), "node").select("key", "node", "component", "shingles", "block", F.explode(others).alias("other"))
+    met = met.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "component", "shingles")
+
+    def linked(group: pa.Table) -> pa.Table:
+        block, own = group.column("block").to_numpy(), group.column("component").to_pylist()
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        number = {name: n for n, name in enumerate(dict.fromkeys(own))}
+        place = np.array([number[name] for name in own])
+        taken = np.empty((2, 0), dtype=np.int64)
+        if len(number) > 1 and len(one) and len(two):
+            found = [np.frombuffer(value, np.uint64) for value in group.column("shingles").to_pylist()]
+            size = np.array([len(s) for s in found])
+            common = _common([found[i] for i in one], [found[i] for i in two])
+            near = 100 * common >= percent * (size[one][:, None] + size[two] - common)
+            i, j = np.nonzero(near & (place[one][:, None] != place[two]))
+            enough = _joining(place[one[i]], place[two[j]], list(range(len(number))))
+            taken = np.stack([one[i[enough]], two[j[enough]]])
+        node = group.column("node").combine_chunks()
+        return pa.table({"u": node.take(pa.array(taken[0])), "v": node.take(pa.array(taken[1]))})
+
+    return met.groupBy("key", "low", "high").applyInArrow(linked, schema)
+
+
 def _hub_labels(links: DataFrame) -> DataFrame:
     """(node, component): the least hub of each node, or that hub's; at least as fine as components."""
     least = links.groupBy("u").agg(F.min("v").alias("v"))
@@ -263,9 +370,10 @@ def near_duplicates(
 
     First every node is verified against the hub of each of its buckets. Buckets that then still
     hold several components go on: small ones with all pairs across components, large ones with
-    stars around ``DRAWS`` nodes drawn for each key, in ``ROUNDS`` rounds. So the work grows with
-    the rows of the buckets and not with the square of a group; a component of such a bucket
-    whose only links are to nodes that no shared key draws may stay apart.
+    stars around ``DRAWS`` nodes drawn for each key, then with all pairs across the components
+    that are left, compared in blocks. So every pair that shares a key ends in one component or
+    is compared; a group grows with its nodes times those that its largest component did not
+    take in, which is the square of it only where nearly nothing links.
     """
     rows = kept(_sketched(docs, words, id_column, text_column), "sketches")
     id_type = rows.schema["id"].dataType
@@ -285,17 +393,12 @@ def near_duplicates(
     wanted = buckets.select("node").distinct()
     sets = kept(_sets(docs, wanted, words, id_column, text_column), "sets")
     links = kept(_confirmed(stars, sets, percent), "links")
-    number, tested, labels = 0, stars, _hub_labels(links)
-    while number < ROUNDS:
-        late = kept(_across(buckets, labels, classes, tested, number), "late-pairs")
-        more = kept(_confirmed(late, sets, percent), "late-links")
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        labels = components(links)
-        number, tested = number + 1, tested.unionByName(late)
-    if not number:
-        labels = components(links)
+    late = kept(_across(buckets, _hub_labels(links), classes, stars), "late-pairs")
+    links = links.unionByName(kept(_confirmed(late, sets, percent), "late-links"))
+    labels = components(links)
+    rest = kept(_rest(buckets, labels, classes, sets, percent), "rest-links")
+    if not rest.isEmpty():
+        labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(rest))
     # An id with several rows may stand for several sets: its nodes are one document.
     repeated = rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
     member = rows.where("n_shingles > 0").join(classes.select(*whole, "node"), whole).select("id", "node")
