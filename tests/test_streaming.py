@@ -5,6 +5,7 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from tidewatt.operators.asof import asof_join, effective_intervals
+from tidewatt.registry.queries import QUERIES, stream_hourly, stream_hourly_all, stream_priced_all
 from tidewatt.sources import supplied
 from tidewatt.streaming import flows
 
@@ -99,3 +100,45 @@ def test_stream_pricing_equals_batch(spark, small):
         valid_from="price_effective_from", valid_to="effective_to",
     )
     assert rows(found) == rows(batch, "event_id", "price_id")
+
+
+def _out_of_order(spark, tmp_path):
+    """A stream of three files, the second two days older than the first; a key comes twice, far
+    apart, and one row has no time."""
+    source = str(tmp_path / "events")
+    for rows_of_file in (
+        [(1, "2026-08-03 14:10:00", 1), (2, "2026-08-03 14:50:00", 2)],
+        [(3, "2026-08-01 02:30:00", 4), (1, "2026-07-20 00:00:00", 8)],
+        [(4, "2026-08-03 15:20:00", 16), (5, None, 32)],
+    ):
+        spark.createDataFrame(rows_of_file, "id int, moment string, amount int").withColumn(
+            "moment", F.col("moment").cast("timestamp")
+        ).coalesce(1).write.mode("append").parquet(source)
+    schema = "id int, moment timestamp, amount int"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+def test_late_rows_and_open_hours_are_in_the_hour_table(spark, tmp_path):
+    landed = flows.run_available(_out_of_order(spark, tmp_path), folder=str(tmp_path / "work"))
+    hours = flows.hour_table(landed, "moment", [], {"amount": "amount"})
+    closed = flows.closed_hours(hours, landed, "moment")
+    hour = F.coalesce(F.col("reading_hour").cast("string"), F.lit("none"))
+    text = lambda frame: set(rows(frame.withColumn("reading_hour", hour)))
+    old = {("2026-07-20 00:00:00", "8", "1"), ("2026-08-01 02:00:00", "4", "1")}
+    last = {("2026-08-03 14:00:00", "3", "2"), ("2026-08-03 15:00:00", "16", "1"), ("none", "32", "1")}
+    assert text(hours) == old | last
+    assert text(closed) == old
+
+
+def test_unique_rows_keep_late_keys_and_drop_distant_duplicates(spark, tmp_path):
+    landed = flows.run_available(_out_of_order(spark, tmp_path), folder=str(tmp_path / "work"))
+    found = flows.unique_rows(landed, ["id"], "moment")
+    assert {(r.id, r.amount) for r in found.collect()} == {(1, 8), (2, 2), (3, 4), (4, 16), (5, 32)}
+
+
+def test_registered_streams_publish_every_row(spark, small):
+    events = supplied.table(spark, small, "events")
+    counted = stream_hourly_all(spark, small).agg(F.sum("reading_count")).first()[0]
+    assert counted == events.count() > stream_hourly(spark, small).agg(F.sum("reading_count")).first()[0]
+    readings = stream_priced_all(spark, small).agg(F.sum("reading_count")).first()[0]
+    assert readings == QUERIES["asof_priced"](spark, small).count()

@@ -830,6 +830,18 @@ STATEMENTS: dict[str, str] = {
         "CAST(substr(meter_id, 7) AS BIGINT) AS user_id, state_code", "priced", "event_time",
         "priced",
     ),
+    "stream_hourly_all": """
+    SELECT date_trunc('hour', ts) AS reading_hour, event_type,
+           CAST(sum(CAST(value AS DECIMAL(12,5))) AS DOUBLE) AS amount,
+           CAST(count(*) AS BIGINT) AS reading_count
+    FROM events GROUP BY ALL""",
+    "stream_priced_all": """
+    SELECT date_trunc('hour', event_time) AS reading_hour,
+           CAST(substr(meter_id, 7) AS BIGINT) AS user_id, state_code,
+           CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh,
+           CAST(sum(usage_revenue) AS DOUBLE) AS usage_revenue,
+           CAST(count(*) AS BIGINT) AS reading_count
+    FROM priced GROUP BY ALL""",
     "job_backfill_readings": """
     SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3)
                || '-a' || substr(digest, 18, 3) || '-' || substr(digest, 21, 12) AS event_id,

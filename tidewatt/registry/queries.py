@@ -676,11 +676,24 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly totals per event type; windows the watermark has closed."""
+def _landed_amounts(spark: SparkSession, folder: str) -> DataFrame:
     stream = _event_stream(spark, folder).withColumn("amount", F.col("value").cast("decimal(12,5)"))
-    totals = flows.hourly_totals(stream, "moment", ["event_type"], {"amount": "amount"})
-    return flows.run_available(totals, "hourly")
+    return flows.run_available(stream.select("moment", "event_type", "amount"), "hourly")
+
+
+def _hourly_amounts(landed: DataFrame) -> DataFrame:
+    return flows.hour_table(landed, "moment", ["event_type"], {"amount": "amount"})
+
+
+def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals per event type, late rows included; hours closed for an hour."""
+    landed = _landed_amounts(spark, folder)
+    return flows.closed_hours(_hourly_amounts(landed), landed, "moment")
+
+
+def stream_hourly_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals per event type of all rows, the last hours included."""
+    return _hourly_amounts(_landed_amounts(spark, folder))
 
 
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
@@ -689,11 +702,10 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     twice = once.unionByName(
         _event_stream(spark, folder).select("event_id", "moment", "event_type", "value")
     )
-    return flows.run_available(flows.deduplicated(twice, ["event_id"], "moment"), "dedupe")
+    return flows.unique_rows(flows.run_available(twice, "dedupe"), ["event_id"], "moment")
 
 
-def stream_priced(spark: SparkSession, folder: str) -> DataFrame:
-    """Readings as a stream, priced against the static intervals, summed per meter and hour."""
+def _landed_prices(spark: SparkSession, folder: str) -> DataFrame:
     tariffs = _intervals(spark, folder).select(
         "state_code", "us_region", F.col("effective_from").alias("price_effective_from"),
         "effective_to", "price_per_kwh",
@@ -715,11 +727,27 @@ def stream_priced(spark: SparkSession, folder: str) -> DataFrame:
     enriched = flows.priced(readings, tariffs).withColumn(
         "usage_revenue", F.round(F.col("energy_kwh") * F.col("price_per_kwh"), 4)
     )
-    totals = flows.hourly_totals(
-        enriched, "event_time", ["user_id", "state_code"],
+    needed = enriched.select("event_time", "user_id", "state_code", "energy_kwh", "usage_revenue")
+    return flows.run_available(needed, "priced")
+
+
+def _hourly_prices(landed: DataFrame) -> DataFrame:
+    return flows.hour_table(
+        landed, "event_time", ["user_id", "state_code"],
         {"energy_kwh": "energy_kwh", "usage_revenue": "usage_revenue"},
     )
-    return flows.run_available(totals, "priced")
+
+
+def stream_priced(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings as a stream, priced against the static intervals, summed per meter and hour, late
+    rows included; hours closed for an hour."""
+    landed = _landed_prices(spark, folder)
+    return flows.closed_hours(_hourly_prices(landed), landed, "event_time")
+
+
+def stream_priced_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of all readings, the last hours included."""
+    return _hourly_prices(_landed_prices(spark, folder))
 
 
 # Jobs on raw files --------------------------------------------------------------------------
@@ -931,8 +959,10 @@ QUERIES: dict[str, Query] = {
     "check_information": check_information,
     "check_presentation": check_presentation,
     "stream_hourly": stream_hourly,
+    "stream_hourly_all": stream_hourly_all,
     "stream_dedupe": stream_dedupe,
     "stream_priced": stream_priced,
+    "stream_priced_all": stream_priced_all,
     "job_backfill_readings": job_backfill_readings,
     "job_warehouse_readings": job_warehouse_readings,
     "job_quarantine_reasons": job_quarantine_reasons,

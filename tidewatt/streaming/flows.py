@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatt.functions.calendar import partition_fields_from_text
 from tidewatt.operators.asof import asof_join
+from tidewatt.operators.keyed import first_by_key
 from tidewatt.session import work_folder
 from tidewatt.sources.files import (
     CORRUPT,
@@ -127,8 +128,8 @@ def start_error_landing(
 def deduplicated(
     stream: DataFrame, keys: Sequence[str], time_column: str, delay: str = "1 day"
 ) -> DataFrame:
-    """First arrival per key; duplicates up to ``delay`` apart are dropped. Uniqueness without a
-    bound is the insert-only merge's job."""
+    """First arrival per key; duplicates up to ``delay`` apart are dropped, and so is a row later
+    than that. ``unique_rows`` has neither bound."""
     return stream.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -157,7 +158,8 @@ def hourly_totals(
     delay: str = "1 hour",
     count: str = "reading_count",
 ) -> DataFrame:
-    """Tumbling one-hour totals, emitted once the watermark has passed the window."""
+    """Tumbling one-hour totals, emitted once the watermark has passed the window. Rows later than
+    ``delay`` and open windows are left out; ``hour_table`` over the landed rows has both."""
     window = F.window(time_column, "1 hour")
     return (
         stream.withWatermark(time_column, delay)
@@ -184,3 +186,36 @@ def run_available(stream: DataFrame, purpose: str = "stream", folder: str | None
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
+
+
+def hour_table(
+    landed: DataFrame,
+    time_column: str,
+    by: Sequence[str],
+    sums: Mapping[str, str],
+    count: str = "reading_count",
+) -> DataFrame:
+    """One-hour totals of all rows that ``run_available`` has landed.
+
+    The landing has no watermark, so a late row counts in its own hour and the last hours are
+    there, as far as they have come. A row without time is in the hour NULL.
+    """
+    return landed.groupBy(F.date_trunc("hour", time_column).alias("reading_hour"), *by).agg(
+        *[F.sum(column).alias(name) for name, column in sums.items()],
+        F.count(F.lit(1)).alias(count),
+    )
+
+
+def closed_hours(
+    hours: DataFrame, landed: DataFrame, time_column: str, delay: str = "1 hour"
+) -> DataFrame:
+    """The hours that end ``delay`` or more before the last event time."""
+    last = landed.agg(F.max(time_column)).scalar()
+    return hours.filter(
+        F.col("reading_hour") + F.expr("interval 1 hour") <= last - F.expr(f"interval {delay}")
+    )
+
+
+def unique_rows(landed: DataFrame, keys: Sequence[str], time_column: str) -> DataFrame:
+    """The earliest row per key of all that ``run_available`` has landed, however far apart."""
+    return first_by_key(landed, keys, [F.col(time_column).asc_nulls_last()])
