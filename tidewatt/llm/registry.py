@@ -12,10 +12,13 @@ from tidewatt.llm.language import op9_language_scores
 from tidewatt.llm.licences import OP10_SQL, op10_license_scan
 from tidewatt.llm.lines import OP4_SQL, op4_line_dedup
 from tidewatt.llm.near import OP8_SQL, op8_minhash_near_dedup
+from tidewatt.llm.neighbours import op13_learned_partitions
 from tidewatt.llm.packing import op5_best_fit_packing
 from tidewatt.llm.quality import op6_quality
+from tidewatt.llm.repair import OP12_SQL, op12_structure_repair
 from tidewatt.llm.tokens import op2_token_counts
 from tidewatt.llm.toxicity import op3_toxicity
+from tidewatt.llm.trie import OP11_SQL, op11_prefix_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,10 +35,19 @@ def llm_queries() -> dict[str, Query]:
         op8_minhash_near_dedup,
         op9_language_scores,
         op10_license_scan,
+        op11_prefix_trie,
+        op12_structure_repair,
+        op13_learned_partitions,
     )
     return {query.__name__: query for query in found}
 
 
 def llm_oracles() -> dict[str, str]:
     """Exact SQL; the others are compared with brute force or libraries in the tests."""
-    return {"op4_line_dedup": OP4_SQL, "op8_minhash_near_dedup": OP8_SQL, "op10_license_scan": OP10_SQL}
+    return {
+        "op4_line_dedup": OP4_SQL,
+        "op8_minhash_near_dedup": OP8_SQL,
+        "op10_license_scan": OP10_SQL,
+        "op11_prefix_trie": OP11_SQL,
+        "op12_structure_repair": OP12_SQL,
+    }
