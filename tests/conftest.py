@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import UTC, datetime
 
 import pytest
 
@@ -29,18 +28,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def small():
     return f"{DATA}/sf0.001"
-
-
-def at(text: str) -> datetime:
-    """UTC instant; Spark returns naive values in the session's zone."""
-    return datetime.fromisoformat(text).replace(tzinfo=UTC)
-
-
-def rows(frame, *columns):
-    """Rows as sorted tuples of text, so that order and types do not matter."""
-    picked = frame.select(*columns) if columns else frame
-    return sorted(tuple(None if v is None else str(v) for v in row) for row in picked.collect())
-
-
-def plan(frame) -> str:
-    return frame._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 import pytest
-from conftest import at, rows
+from frames import at, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from tidewatt.sinks.run_log import emit_summary
 from tidewatt.sinks.tables import (
     ConstraintViolation,
     SnapshotTable,
+    UnfinishedMerge,
     enforce,
     materialize,
     stored,
@@ -332,3 +333,34 @@ def test_upsert_survives_a_failure_between_its_writes(spark, tmp_path, monkeypat
     assert rows(table.read(spark), "id", "zone", "value") == expected
     table.upsert(frame(("2", "a", "y"), ("4", "a", "y")), ["id"], ["value"])
     assert rows(table.read(spark), "id", "zone", "value") == expected
+
+
+@pytest.mark.parametrize("partition_by", [(), ("zone",)])
+def test_upsert_without_success_files(spark, tmp_path, partition_by):
+    """The merge has a marker of its own; the cluster may switch the writer's off."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "zone", "value")])
+    table = SnapshotTable(str(tmp_path / "prices"), schema, partition_by)
+    frame = lambda *r: spark.createDataFrame(list(r), schema)
+    conf, name = spark._jsc.hadoopConfiguration(), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(name, "false")
+    try:
+        assert table.upsert(frame(("1", "a", "x"), ("2", "b", "x")), ["id"], ["value"]).inserted == 2
+        stats = table.upsert(frame(("2", "b", "y"), ("3", "b", "z")), ["id"], ["value"])
+    finally:
+        conf.unset(name)
+    assert (stats.inserted, stats.updated) == (1, 1)
+    assert rows(table.read(spark), "id", "value") == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
+def test_a_staging_folder_without_marker_changes_nothing(spark, tmp_path, monkeypatch):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "value")])
+    table = SnapshotTable(str(tmp_path / "t"), schema)
+    frame = lambda *r: spark.createDataFrame(list(r), schema)
+    table.upsert(frame(("1", "x")), ["id"], ["value"])
+    monkeypatch.setattr("tidewatt.sinks.tables.put_marker", lambda spark, path: None)
+    with pytest.raises(UnfinishedMerge):
+        table.upsert(frame(("1", "y")), ["id"], ["value"])
+    assert rows(table.read(spark)) == [("1", "x")]
+    monkeypatch.undo()
+    table.upsert(frame(("1", "z")), ["id"], ["value"])
+    assert rows(table.read(spark)) == [("1", "z")]

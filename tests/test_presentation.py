@@ -1,7 +1,7 @@
 from datetime import UTC, datetime
 
 import pytest
-from conftest import at, rows
+from frames import at, rows
 from pyspark.sql import functions as F
 
 from tidewatt.functions.arithmetic import rounded_ratio

@@ -6,7 +6,7 @@ import re
 from pathlib import Path
 
 import pytest
-from conftest import plan
+from frames import plan
 
 from tidewatt.registry.oracles import oracle_statements
 from tidewatt.registry.queries import published

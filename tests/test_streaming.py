@@ -1,7 +1,7 @@
 import json
 from pathlib import Path
 
-from conftest import at, rows
+from frames import at, rows
 from pyspark.sql import functions as F
 
 from tidewatt.operators.asof import asof_join, effective_intervals

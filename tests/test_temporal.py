@@ -1,5 +1,5 @@
 import pytest
-from conftest import at, plan, rows
+from frames import at, plan, rows
 from pyspark.sql import functions as F
 
 from tidewatt.operators.asof import asof_join, effective_intervals

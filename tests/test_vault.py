@@ -1,6 +1,6 @@
 from datetime import UTC, datetime
 
-from conftest import at, rows
+from frames import at, rows
 from pyspark.sql import functions as F
 
 from tidewatt.functions.hashing import hash_diff, hash_key, surrogate_key

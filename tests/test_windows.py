@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 from hypothesis import given
 from hypothesis import strategies as st
 

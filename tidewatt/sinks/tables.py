@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidewatt.operators.checks import Check, run_checks
 from tidewatt.operators.merge import ACTION, INSERTED, KEPT, UPDATED, rows_to_insert, upsert
 from tidewatt.session import work_folder
-from tidewatt.sources.files import drop_folder, existing_paths
+from tidewatt.sources.files import drop_folder, existing_paths, put_marker
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,10 @@ class ConstraintViolation(ValueError):
     pass
 
 
+class UnfinishedMerge(RuntimeError):
+    """A merge whose staging folder is not known to be complete; the table is as it was."""
+
+
 def enforce(checks: Sequence[Check], tables: dict[str, DataFrame]) -> None:
     """Raise when any check has violations. At most one row per check reaches the driver."""
     broken = run_checks(checks, tables).filter("violations > 0").collect()
@@ -53,17 +57,37 @@ class SnapshotTable:
         """Next to the table, under a fixed name, so that the next run finds what a run left."""
         return f"{self.path.rstrip('/')}__merge"
 
-    def recover(self, spark: SparkSession) -> None:
-        """Finish a merge that stopped after its staging folder was complete.
+    @property
+    def marker(self) -> str:
+        """Put into the staging folder once it is complete, whatever the cluster's own success
+        files are set to; the next staging write removes it with the folder."""
+        return f"{self.staging}/_merge_complete"
+
+    def recover(self, spark: SparkSession) -> bool:
+        """Finish a merge that stopped after its staging folder was complete; whether there was one.
 
-        Spark's writer puts ``_SUCCESS`` into a folder last. Replacing the touched partitions, or
-        the plain table, from a complete staging folder can be repeated any number of times.
+        Replacing the touched partitions, or the plain table, from a complete staging folder can be
+        repeated any number of times. A staging folder without the marker is a write that stopped
+        early: the table has not changed and the next merge replaces the folder.
         """
-        if not existing_paths(spark, [f"{self.staging}/_SUCCESS"]):
-            return
+        if not existing_paths(spark, [self.marker]):
+            return False
         rows = spark.read.schema(self.schema).parquet(self.staging).select(*self.schema.names)
         self._write(rows, self.path, "overwrite", dynamic=bool(self.partition_by))
         drop_folder(spark, self.staging)
+        return True
+
+    def replace(self, spark: SparkSession, rows: DataFrame) -> None:
+        """Replace the touched partitions, or the plain table, by ``rows``, which may be built from
+        the table itself: they are complete in the staging folder before the table changes."""
+        self._write(rows, self.staging, "overwrite")
+        self.publish(spark)
+
+    def publish(self, spark: SparkSession) -> None:
+        """Mark the staging folder as complete and move it into the table, or raise."""
+        put_marker(spark, self.marker)
+        if not self.recover(spark):
+            raise UnfinishedMerge(f"{self.marker} is missing after the staging write; {self.path} has not changed")
 
     def read(self, spark: SparkSession) -> DataFrame:
         self.recover(spark)
@@ -90,6 +114,8 @@ class SnapshotTable:
         spark = source.sparkSession
         rows = rows_to_insert(self.read(spark), source, keys, keep_first_by, small_batch)
         if self.checks:
+            # Read by the checks and by the append: computed once.
+            rows = stored(rows, "new-rows")
             enforce(self.checks, {"new_rows": rows})
         seen = Observation()
         counted = rows.observe(seen, F.count(F.lit(1)).alias(INSERTED))
@@ -132,7 +158,7 @@ class SnapshotTable:
             except ConstraintViolation:
                 drop_folder(spark, self.staging)
                 raise
-        self.recover(spark)
+        self.publish(spark)
         return MergeStats(
             inserted=counts.get(INSERTED, 0),
             updated=counts.get(UPDATED, 0),

@@ -81,6 +81,12 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [path for path in paths if exists(path)]
 
 
+def put_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file, replacing one of that name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove one folder, in whatever file system it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
