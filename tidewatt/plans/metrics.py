@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatt.functions.arithmetic import real_ratio
+from tidewatt.operators.distinct import distinct_counts
 
 TIME_GRAINS = ("hour", "day", "week", "month", "quarter", "year")
 METRIC_TIME = "metric_time"
+#: Aggregation of stored bitmaps (``operators.distinct``) in the columns of their own names.
+MERGED_DISTINCT = "merged_distinct"
 
 
 @dataclass(frozen=True)
@@ -134,11 +137,21 @@ BILLING_ZONE = SemanticModel(
     entities=(Entity("pricing_zone", "primary", "pricing_zone_key"),),
     dimensions=(Dimension("currency_code"),),
 )
-MODELS = (METER_READINGS, HOURLY_BILLING, BILLING_METER, BILLING_ZONE)
+# Stored hours of plans.activity: distinct meters at any grain without a look at the readings.
+METER_ACTIVITY = SemanticModel(
+    "meter_activity",
+    "meter_activity_hourly",
+    entities=(Entity("activity", "primary", "bitmap_bucket"),),
+    dimensions=(Dimension("region", "us_region"), Dimension("state_code")),
+    measures=(Measure("active_meter_count", MERGED_DISTINCT, "bitmap"),),
+    time_expr="activity_hour",
+)
+MODELS = (METER_READINGS, HOURLY_BILLING, BILLING_METER, BILLING_ZONE, METER_ACTIVITY)
 METRICS = (
     Metric("total_energy_consumed_kwh", "Total Energy Consumed (kWh)", "energy_consumed_kwh"),
     Metric("total_readings", "Total Meter Readings", "reading_count"),
     Metric("reporting_meters", "Reporting Meters", "distinct_meter_count"),
+    Metric("active_meters", "Active Meters", "active_meter_count"),
     Metric("avg_voltage_v", "Average Voltage (V)", "average_voltage_v"),
     Metric("avg_current_a", "Average Current (A)", "average_current_a"),
     Metric("avg_power_factor", "Average Power Factor", "average_power_factor"),
@@ -307,9 +320,12 @@ class MetricLayer:
             )
         for name, predicate in where.items():
             frame = frame.filter(predicate(F.col(name)))
-        return frame.groupBy(*group_by).agg(
-            *[measure.column().alias(measure.name) for measure in measures]
-        )
+        merged = [measure for measure in measures if measure.agg == MERGED_DISTINCT]
+        plain = [measure for measure in measures if measure.agg != MERGED_DISTINCT]
+        parts = [distinct_counts(frame, group_by, measure.name) for measure in merged]
+        if plain:
+            parts.append(frame.groupBy(*group_by).agg(*[measure.column().alias(measure.name) for measure in plain]))
+        return reduce(lambda left, right: _combine(left, right, group_by), parts)
 
 
 def _combine(left: DataFrame, right: DataFrame, group_by: Sequence[str]) -> DataFrame:

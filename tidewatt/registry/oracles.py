@@ -363,6 +363,20 @@ CTES: dict[str, str] = {
         CASE WHEN k > 95 THEN 'range:power_factor' END
         ], lambda x: x IS NOT NULL) END AS reasons
     FROM raw_records""",
+    "price_records": f"""
+    SELECT b.n AS batch, md5(event_id || ':' || b.n) AS digest, s.state_code, s.region,
+           date_trunc('second', ts) AS effective_from,
+           CAST(value AS DECIMAL(12,2)) + b.n - 1 AS price_per_kwh, k,
+           k = 6 AS is_malformed,
+           k IN (1, 2, 4, 5) OR (k = 3 AND s.region <> 'West') AS is_rejected
+    FROM ev JOIN (VALUES (1), (2)) b(n) ON b.n = 1 OR event_id % 3 = 0
+    JOIN (VALUES {_STATES}) s(n, state_code, region) ON s.n = user_id % {len(STATES)}
+    WHERE event_type = 'purchase'""",
+    "price_loads": """
+    SELECT *, substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3)
+               || '-a' || substr(digest, 18, 3) || '-' || substr(digest, 21, 12) AS price_id
+    FROM price_records WHERE NOT is_malformed AND NOT is_rejected
+    QUALIFY row_number() OVER (PARTITION BY batch, state_code, effective_from ORDER BY price_id DESC) = 1""",
 }
 
 
@@ -734,6 +748,39 @@ STATEMENTS: dict[str, str] = {
            CAST(count(DISTINCT f.meter_key) AS BIGINT) AS billed_meters
     FROM fact_hourly_energy_billing f LEFT JOIN dim_meter m ON f.meter_key = m.meter_key
     LEFT JOIN dim_pricing_zone z ON f.pricing_zone_key = z.pricing_zone_key GROUP BY 1, 2""",
+    "metric_active_meters": """
+    SELECT us_region AS activity__region, date_trunc('day', event_time) AS metric_time__day,
+           CAST(count(DISTINCT meter_id) AS BIGINT) AS active_meters
+    FROM readings GROUP BY 1, 2""",
+    "distinct_meters_hour": """
+    SELECT date_trunc('hour', event_time) AS period_start, us_region, state_code,
+           CAST(count(DISTINCT meter_id) AS BIGINT) AS n_meters
+    FROM readings GROUP BY 1, 2, 3""",
+    "distinct_meters_grains": " UNION ALL ".join(
+        [
+            f"""SELECT date_trunc('{name.lower()}', event_time) AS period_start, us_region,
+                   CAST(count(DISTINCT meter_id) AS BIGINT) AS n_meters, '{name}' AS period_grain
+            FROM readings GROUP BY 1, 2"""
+            for name, _ in GRAINS
+        ]
+        + [
+            """SELECT CAST(NULL AS TIMESTAMP), us_region, CAST(count(DISTINCT meter_id) AS BIGINT), 'All'
+            FROM readings GROUP BY 2"""
+        ]
+    ),
+    "distinct_meters_loads": """
+    SELECT date_trunc('week', event_time) AS period_start, state_code,
+           CAST(count(DISTINCT meter_id) AS BIGINT) AS n_meters
+    FROM readings GROUP BY 1, 2""",
+    "distinct_meters_range": """
+    SELECT date_trunc('day', event_time) AS period_start,
+           CAST(count(DISTINCT meter_id) AS BIGINT) AS n_meters
+    FROM readings WHERE date_trunc('hour', event_time) >= TIMESTAMP '2024-01-05 07:00:00'
+      AND date_trunc('hour', event_time) < TIMESTAMP '2024-01-15 03:00:00' GROUP BY 1""",
+    "distinct_shipped_orders": """
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag,
+           CAST(count(DISTINCT l_orderkey) AS BIGINT) AS n_orders
+    FROM lineitem GROUP BY 1, 2""",
     "chart_totals_billing": """
     SELECT CAST(sum(gross) AS DOUBLE) AS gross_billed_usd,
            CAST(sum(net) AS DOUBLE) AS net_revenue_usd,
@@ -859,6 +906,27 @@ STATEMENTS: dict[str, str] = {
            CAST(230 AS DOUBLE) AS voltage_v, CAST(4.5 AS DOUBLE) AS current_a,
            CAST(0.95 AS DOUBLE) AS power_factor
     FROM raw_reasons WHERE len(reasons) = 0""",
+    "job_warehouse_prices": """
+    SELECT a.price_id, '1.0' AS schema_version, a.region AS us_region, a.state_code,
+           'USD' AS currency_code, a.effective_from,
+           CAST(coalesce(b.price_per_kwh, a.price_per_kwh) AS DOUBLE) AS price_per_kwh,
+           CASE WHEN b.price_id IS NULL THEN 'feed-1' ELSE 'feed-2' END AS source_system
+    FROM price_loads a LEFT JOIN price_loads b
+      ON b.batch = 2 AND a.state_code = b.state_code AND a.effective_from = b.effective_from
+    WHERE a.batch = 1""",
+    "job_price_counts": """
+    SELECT batch, 'raw' AS stage, CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(*) FILTER (WHERE is_malformed) AS BIGINT) AS n_malformed,
+           CAST(count(*) FILTER (WHERE is_rejected) AS BIGINT) AS n_rejected,
+           CAST(0 AS BIGINT) AS n_inserted, CAST(0 AS BIGINT) AS n_updated
+    FROM price_records GROUP BY 1
+    UNION ALL
+    SELECT r.batch, 'curated', CAST(r.n AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+           CAST(CASE WHEN r.batch = 1 THEN l.n ELSE 0 END AS BIGINT),
+           CAST(CASE WHEN r.batch = 2 THEN l.n ELSE 0 END AS BIGINT)
+    FROM (SELECT batch, count(*) AS n FROM price_records
+          WHERE NOT is_malformed AND NOT is_rejected GROUP BY 1) r
+    JOIN (SELECT batch, count(*) AS n FROM price_loads GROUP BY 1) l ON r.batch = l.batch""",
     "job_quarantine_reasons": """
     SELECT CASE WHEN k = 6 THEN 'dynamic_frame' ELSE 'quality' END AS error_type,
            'smart_meter_raw_to_curated' AS error_stage, reason,

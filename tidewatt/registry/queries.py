@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.contracts import READING_FIELDS, STATES
+from tidewatt.contracts import PRICE_FIELDS, READING_FIELDS, STATES
+from tidewatt.functions.calendar import GRAINS
 from tidewatt.functions.geography import region_of
 from tidewatt.functions.hashing import hash_diff
 from tidewatt.operators.asof import asof_join, effective_intervals
@@ -23,6 +25,7 @@ from tidewatt.operators.checks import (
     run_checks,
     unique,
 )
+from tidewatt.operators.distinct import bitmaps, dense_numbers, distinct_counts
 from tidewatt.operators.keyed import first_by_key, latest_by_key
 from tidewatt.operators.mapping import ColumnMapping
 from tidewatt.operators.merge import ACTION, insert_only, upsert
@@ -38,6 +41,7 @@ from tidewatt.operators.vault import (
 )
 from tidewatt.operators.windows import BackfillWindow
 from tidewatt.plans import charts, curation, information, presentation, quality
+from tidewatt.plans.activity import ActivityStore
 from tidewatt.plans.metrics import MetricLayer
 from tidewatt.plans.vault_models import (
     MODELS,
@@ -532,6 +536,7 @@ def _metric_layer(spark: SparkSession, folder: str) -> MetricLayer:
             "fact_hourly_energy_billing": lambda: _hourly_fact(spark, folder),
             "dim_meter": lambda: _meters(spark, folder),
             "dim_pricing_zone": lambda: _zones(spark, folder),
+            "meter_activity_hourly": lambda: _activity(spark, folder).read(spark),
         }
     )
 
@@ -558,6 +563,60 @@ def chart_grain_order(spark: SparkSession, folder: str) -> DataFrame:
     return charts.grain_order(mart).join(counted, "period_grain")
 
 
+# Distinct counts from stored bitmaps --------------------------------------------------------
+
+
+def _activity(spark: SparkSession, folder: str, loads: int = 1) -> ActivityStore:
+    """The readings' activity, stored in ``loads`` loads by arrival; the last load comes twice."""
+    store = ActivityStore(
+        work_folder(spark, "activity"), "meter_id", "event_time",
+        (("us_region", "string"), ("state_code", "string")),
+    )
+    rows = supplied.readings(spark, folder)
+    for load in [*range(loads), *([loads - 1] if loads > 1 else [])]:
+        store.load(rows.where(F.col("event_id").cast("bigint") % loads == load) if loads > 1 else rows)
+    return store
+
+
+def distinct_meters_hour(spark: SparkSession, folder: str) -> DataFrame:
+    return _activity(spark, folder).distinct(spark, "Hour", ["us_region", "state_code"], "n_meters")
+
+
+def distinct_meters_grains(spark: SparkSession, folder: str) -> DataFrame:
+    """All five grains by region, and the whole time, from one stored table of hours."""
+    store = _activity(spark, folder)
+    parts = [
+        store.distinct(spark, grain, ["us_region"], "n_meters").withColumn("period_grain", F.lit(grain))
+        for grain, _ in GRAINS
+    ]
+    whole = store.distinct(spark, None, ["us_region"], "n_meters")
+    parts.append(whole.select(F.lit(None).cast("timestamp").alias("period_start"), "us_region", "n_meters", F.lit("All").alias("period_grain")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def distinct_meters_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads of interleaved readings, the last one repeated: weeks by state."""
+    return _activity(spark, folder, 3).distinct(spark, "Week", ["state_code"], "n_meters")
+
+
+def distinct_meters_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of ten days in January; the other days' folders are not read."""
+    return _activity(spark, folder).distinct(
+        spark, "Day", [], "n_meters", datetime(2024, 1, 5, 7, tzinfo=UTC), datetime(2024, 1, 15, 3, tzinfo=UTC)
+    )
+
+
+def distinct_shipped_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders shipped per year and flag: far more keys than one bucket of a bitmap holds."""
+    lines = supplied.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias("shipped_at"), "l_returnflag"
+    )
+    days = lines.select("order_id", F.date_trunc("month", "shipped_at").alias("month"), "l_returnflag").distinct()
+    numbers = stored(dense_numbers(days, "order_id"), "order-numbers")
+    months = stored(bitmaps(days.join(numbers, "order_id"), ["month", "l_returnflag"]), "order-months")
+    return distinct_counts(months.withColumn("year", F.year("month")), ["year", "l_returnflag"], "n_orders")
+
+
 # Checks -------------------------------------------------------------------------------------
 
 
@@ -838,6 +897,84 @@ def job_warehouse_readings(spark: SparkSession, folder: str) -> DataFrame:
     return table.read(spark).select(*[name for name, _, _ in READING_FIELDS])
 
 
+def _raw_prices(spark: SparkSession, folder: str, batch: int) -> DataFrame:
+    """Purchases as raw price records. The second batch corrects a third of the first: same state
+    and start under a new id. Some records break the contract, some are not JSON."""
+    name = F.concat(F.col("event_id").cast("string"), F.lit(f":{batch}"))
+    digest = F.md5(name)
+    uuid = F.concat_ws(
+        "-", digest.substr(1, 8), digest.substr(9, 4), F.concat(F.lit("4"), digest.substr(14, 3)),
+        F.concat(F.lit("a"), digest.substr(18, 3)), digest.substr(21, 12),
+    )
+    k = F.get_json_object("props", "$.k").cast("int")
+    state = F.element_at(
+        F.array(*[F.lit(name) for name in STATES]),
+        (F.col("user_id") % len(STATES) + 1).cast("int"),
+    )
+    price = (F.col("value").cast("decimal(12,2)") + batch - 1).cast("string")
+    record = F.struct(
+        F.when(k == 1, "no-uuid").otherwise(uuid).alias("price_id"),
+        F.when(k == 2, "2.0").otherwise("1.0").alias("schema_version"),
+        F.when(k == 3, "West").otherwise(region_of(state)).alias("us_region"),
+        state.alias("state_code"),
+        F.lit("USD").alias("currency_code"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effective_from"),
+        F.when(k == 4, "n/a").when(k == 5, "-1").otherwise(price).alias("price_per_kwh"),
+        F.lit(f"feed-{batch}").alias("source_system"),
+    )
+    text = F.to_json(record)
+    return (
+        supplied.table(spark, folder, "events")
+        .filter("event_type = 'purchase'")
+        .filter(F.lit(True) if batch == 1 else F.col("event_id") % 3 == 0)
+        .select(
+            F.when(k == 6, F.concat(F.lit("{oops "), text)).otherwise(text).alias("value"),
+            F.date_format("ts", "yyyy").alias("year"),
+            F.date_format("ts", "MM").alias("month"),
+            F.date_format("ts", "dd").alias("day"),
+        )
+    )
+
+
+def _loaded_prices(spark: SparkSession, folder: str) -> tuple[dict[str, str], list[dict]]:
+    """Two incremental runs, raw to curated to the warehouse table; the second run sees only the
+    files of the second batch and updates prices in place."""
+    base = work_folder(spark, "price-lake")
+    lake = {name: f"{base}/{name}" for name in ("raw", "curated", "errors", "ledger", "table")}
+    table, summaries = curation.prices_table(lake["table"]), []
+    for batch in (1, 2):
+        (
+            _raw_prices(spark, folder, batch)
+            .repartition("year", "month", "day")
+            .write.partitionBy("year", "month", "day")
+            .mode("append")
+            .text(lake["raw"])
+        )
+        for stage, stream in (("raw", curation.RAW_PRICE_STREAM), ("curated", curation.CURATED_PRICE_STREAM)):
+            run = curation.JobRun(f"run-{batch}", LOAD_TS, ledger=curation.FileLedger(lake["ledger"], stage))
+            if stage == "raw":
+                done = curation.raw_to_curated(spark, stream, run, lake["raw"], lake["curated"], lake["errors"])
+            else:
+                done = curation.curated_to_warehouse(spark, stream, run, lake["curated"], table, lake["errors"])
+            summaries.append({"batch": batch, "stage": stage, **done})
+    return lake, summaries
+
+
+def job_warehouse_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The price table after both batches: corrected prices under the first id."""
+    lake, _ = _loaded_prices(spark, folder)
+    return curation.prices_table(lake["table"]).read(spark).select(*[name for name, _, _ in PRICE_FIELDS])
+
+
+def job_price_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of the four runs saw, rejected, inserted and updated."""
+    _, summaries = _loaded_prices(spark, folder)
+    names = ("rows", "malformed", "rejected", "inserted", "updated")
+    seen = [(s["batch"], s["stage"], *[int(s[name]) for name in names]) for s in summaries]
+    counts = spark.createDataFrame(seen, "batch int, stage string, " + ", ".join(f"n_{n} bigint" for n in names))
+    return counts
+
+
 def job_quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
     """Quarantined records of the raw job by type and reason."""
     lake = _curated(spark, folder)
@@ -934,6 +1071,12 @@ QUERIES: dict[str, Query] = {
     "metric_zone_revenue": _metrics(
         ["usage_revenue", "billed_meters"], ["pricing_zone__currency_code", "meter__region"]
     ),
+    "metric_active_meters": _metrics(["active_meters"], ["activity__region", "metric_time__day"]),
+    "distinct_meters_hour": distinct_meters_hour,
+    "distinct_meters_grains": distinct_meters_grains,
+    "distinct_meters_loads": distinct_meters_loads,
+    "distinct_meters_range": distinct_meters_range,
+    "distinct_shipped_orders": distinct_shipped_orders,
     "chart_totals_billing": _totals(BILLING_TOTALS, _billing, "Year"),
     "chart_billing_trend": _chart("Billing Trend", mart_billing_shipped, "Month"),
     "chart_billing_trend_hour": _chart("Billing Trend", mart_billing_shipped, "Hour"),
@@ -965,6 +1108,8 @@ QUERIES: dict[str, Query] = {
     "stream_priced_all": stream_priced_all,
     "job_backfill_readings": job_backfill_readings,
     "job_warehouse_readings": job_warehouse_readings,
+    "job_warehouse_prices": job_warehouse_prices,
+    "job_price_counts": job_price_counts,
     "job_quarantine_reasons": job_quarantine_reasons,
     "job_partition_inventory": job_partition_inventory,
 }
