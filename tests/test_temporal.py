@@ -1,13 +1,16 @@
+import random
+from datetime import UTC, datetime
+
 import pytest
 from frames import at, plan, rows
 from pyspark.sql import functions as F
 
-from tidewatt.operators.asof import asof_join, effective_intervals
+from tidewatt.operators.asof import BLOCK, LEVEL, asof_join, dyadic_blocks, effective_intervals
 from tidewatt.operators.timeline import with_carried, with_next_start, with_previous
 from tidewatt.plans import information
 from tidewatt.sources import supplied
 
-STRATEGIES = ["bucket", "shuffle", "carry"]
+STRATEGIES = ["bucket", "shuffle", "dyadic", "carry"]
 
 
 def tariffs(spark, values):
@@ -166,3 +169,42 @@ def test_unknown_options(spark):
         join(frame, frame, how="outer")
     with pytest.raises(ValueError, match="strategy must be"):
         join(frame, frame, strategy="hash")
+
+
+@pytest.mark.parametrize("step", [1, 3, 5])
+def test_dyadic_blocks_cover_intervals_of_any_length(spark, step):
+    """From a microsecond to a century, before and after 1970: few blocks, none missing."""
+    lengths = [1, 2, 3, 7, 1000, 999_999, 60_000_000, 3_600_000_001, 86_400_000_000, 10**14, 3 * 10**15]
+    starts = [-(10**15), -1, 0, 1, 5, 1_700_000_000_123_456]
+    data = [(i * 100 + j, s, s + n) for i, s in enumerate(starts) for j, n in enumerate(lengths)]
+    frame = spark.createDataFrame(data, "k int, a long, b long").select(
+        "k", F.timestamp_micros("a").alias("f"), F.timestamp_micros("b").alias("t"), "a", "b"
+    )
+    blocks = dyadic_blocks(frame, "f", "t", step)
+    counts = blocks.groupBy("k").agg(F.count("*").alias("n"))
+    assert counts.count() == len(data) and counts.agg(F.max("n")).first()[0] <= 2**step + 1
+    size = F.expr(f"cast(power(2, {LEVEL}) as bigint)")
+    assert blocks.where(F.col(BLOCK) * size >= F.col("b")).count() == 0
+    assert blocks.where((F.col(BLOCK) + 1) * size <= F.col("a")).count() == 0
+    edges = frame.select("k", F.col("a").alias("at")).union(frame.select("k", F.col("b") - 1))
+    hit = edges.join(blocks, "k").where(F.expr(f"shiftright(at, {LEVEL}) = {BLOCK}"))
+    assert hit.select("k", "at").distinct().count() == edges.distinct().count()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_dyadic_equals_carry_on_random_histories(spark, how):
+    draw = random.Random(4)
+    starts = sorted({(k, draw.choice([0, 10**9]) + int(10 ** draw.uniform(0, 9))) for k in range(40) for _ in range(30)})
+    moment = lambda n: datetime.fromtimestamp(n, UTC)
+    right = spark.createDataFrame([(f"s{k}", "r", moment(n), float(n)) for k, n in starts], "state string, region string, valid_from timestamp, price double")
+    right = effective_intervals(right, ["state"], "valid_from", "valid_to", "year")
+    left = readings(spark, [(i, f"s{draw.randint(0, 41)}", "r", moment(draw.choice([int(10 ** draw.uniform(0, 9.4)), draw.choice(starts)[1]])).isoformat()[:19]) for i in range(3000)])
+    left = left.union(left.limit(50))
+    columns = ("id", "state", "moment", "price", "valid_to")
+    assert rows(join(left, right, how, "dyadic"), *columns) == rows(join(left, right, how, "carry"), *columns)
+
+
+def test_dyadic_moments_travel_narrow(spark, small):
+    """Whole rows are joined once, by equality; only moments are carried at several levels."""
+    text = plan(information.int_meter_readings_priced(supplied.readings(spark, small), effective_intervals(supplied.prices(spark, small), ["state_code"], "effective_from", "effective_to"), "dyadic"))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

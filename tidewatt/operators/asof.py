@@ -8,6 +8,10 @@ reading against every price of its state. Three exact plans avoid that:
              the join by its own size limit, and adaptive execution splits hot partitions, as
              every left row is matched on its own.
 ``shuffle``  the same with sort-merge joins throughout.
+``dyadic``   a closed interval is covered by a few aligned blocks of a power of two, of about its
+             own length, whatever that is; the moments of the left rows are joined on (keys, level,
+             block), once for each length class that their key has. For intervals of any length,
+             from seconds to decades, next to each other.
 ``carry``    both sides are merged into one timeline and the last interval is carried
              forward; for interval sets that are dense inside one bucket.
 
@@ -28,6 +32,9 @@ from tidewatt.operators.timeline import with_carried, with_next_start
 BUCKET = "__bucket"
 PREFIX = "__right_"
 CLOSED, OPEN = "__closed", "__open"
+AT, LEVEL, BLOCK = "__at", "__level", "__block"
+#: Levels differ by this many powers of two: an interval has at most 2**3 + 1 blocks.
+LEVEL_STEP = 3
 
 
 def effective_intervals(
@@ -88,6 +95,75 @@ def _bucket_join(
     return joined.select(*left.columns, *[covering[name].alias(name) for name in kept])
 
 
+def _shifted(moment: Column, level: Column) -> Column:
+    """Number of the aligned block of 2**level microseconds that holds a moment."""
+    return F.call_function("shiftright", moment, level)
+
+
+def with_level(
+    closed: DataFrame, valid_from: str, valid_to: str, step: int = LEVEL_STEP
+) -> DataFrame:
+    """Non-empty closed intervals with their level: blocks are at most as long as the interval.
+
+    The level is a multiple of ``step``, so a block is longer than a 2**step-th of the interval.
+    """
+    length = F.unix_micros(valid_to) - F.unix_micros(valid_from)
+    level = (F.floor(F.log2(length) / step) * step).cast("int")
+    return closed.filter(F.col(valid_to) > F.col(valid_from)).withColumn(LEVEL, level)
+
+
+def dyadic_blocks(
+    closed: DataFrame, valid_from: str, valid_to: str, step: int = LEVEL_STEP
+) -> DataFrame:
+    """One row per aligned block that an interval touches: at most 2**step + 1, however long it is.
+
+    Disjoint intervals of one level are as long as a block at least, so at most two of them touch
+    the same block.
+    """
+    first = _shifted(F.unix_micros(valid_from), F.col(LEVEL))
+    last = _shifted(F.unix_micros(valid_to) - 1, F.col(LEVEL))
+    levelled = with_level(closed, valid_from, valid_to, step)
+    return levelled.withColumn(BLOCK, F.explode(F.sequence(first, last)))
+
+
+def _dyadic_join(
+    left: DataFrame,
+    right: DataFrame,
+    by: Sequence[str],
+    also: Sequence[str],
+    left_ts: str,
+    valid_from: str,
+    valid_to: str,
+    how: str,
+    step: int,
+) -> DataFrame:
+    """Only the distinct moments of a key meet the blocks; whole rows are joined once, at the end.
+
+    A moment is carried at the levels that its own key has, not at all levels there are.
+    """
+    keys = [*by, *also]
+    kept = [name for name in right.columns if name not in keys]
+    moments = left.select(*keys, F.col(left_ts).alias(AT)).dropna().distinct()
+    closed = right.filter(F.col(valid_to).isNotNull())
+    levels = with_level(closed, valid_from, valid_to, step).select(*by, LEVEL).distinct()
+    blocks = dyadic_blocks(closed, valid_from, valid_to, step).select(
+        *keys, LEVEL, BLOCK, F.struct(*kept).alias(CLOSED)
+    )
+    placed = moments.join(levels, list(by)).withColumn(
+        BLOCK, _shifted(F.unix_micros(AT), F.col(LEVEL))
+    )
+    inside = (F.col(AT) >= F.col(CLOSED)[valid_from]) & (F.col(AT) < F.col(CLOSED)[valid_to])
+    in_block = placed.join(blocks, [*keys, LEVEL, BLOCK]).filter(inside)
+    open_ones = right.filter(F.col(valid_to).isNull()).select(*keys, F.struct(*kept).alias(CLOSED))
+    after_open = moments.join(open_ones, keys).filter(F.col(AT) >= F.col(CLOSED)[valid_from])
+    covering = in_block.select(*keys, AT, CLOSED).unionByName(after_open.select(*keys, AT, CLOSED))
+    found = covering.select(*[F.col(key).alias(PREFIX + key) for key in keys], AT, CLOSED)
+    on = [left[key] == found[PREFIX + key] for key in keys] + [left[left_ts] == found[AT]]
+    return left.join(found, reduce(Column.__and__, on), how).select(
+        *[left[name] for name in left.columns], *[F.col(CLOSED)[name].alias(name) for name in kept]
+    )
+
+
 def _carry_join(
     left: DataFrame,
     right: DataFrame,
@@ -151,6 +227,7 @@ def asof_join(
     bucket: str = "hour",
     carry_slice: str = "day",
     salts: int = 8,
+    level_step: int = LEVEL_STEP,
 ) -> DataFrame:
     """Join on ``by``, ``also`` and ``valid_from <= left_ts < valid_to`` (open when NULL).
 
@@ -160,8 +237,12 @@ def asof_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    if strategy not in ("bucket", "shuffle", "carry"):
-        raise ValueError("strategy must be bucket, shuffle or carry")
+    if strategy not in ("bucket", "shuffle", "dyadic", "carry"):
+        raise ValueError("strategy must be bucket, shuffle, dyadic or carry")
+    if strategy == "dyadic":
+        return _dyadic_join(
+            left, right, by, also, left_ts, valid_from, valid_to, how, level_step
+        )
     if strategy == "carry":
         return _carry_join(
             left, right, by, also, left_ts, valid_from, valid_to, how, carry_slice, salts

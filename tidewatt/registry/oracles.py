@@ -363,6 +363,14 @@ CTES: dict[str, str] = {
         CASE WHEN k > 95 THEN 'range:power_factor' END
         ], lambda x: x IS NOT NULL) END AS reasons
     FROM raw_records""",
+    "mixed_intervals": """
+    SELECT *, lead(valid_from) OVER (PARTITION BY holder ORDER BY valid_from) AS valid_to
+    FROM (SELECT holder, valid_from, min(tariff_id) AS tariff_id
+          FROM (SELECT o_custkey AS holder, CAST(o_orderdate AS TIMESTAMP) + to_minutes(o_orderkey % 1440) AS valid_from,
+                       o_orderkey AS tariff_id FROM orders
+                UNION ALL
+                SELECT user_id, ts, -event_id FROM events WHERE event_type = 'purchase')
+          GROUP BY 1, 2)""",
     "price_records": f"""
     SELECT b.n AS batch, md5(event_id || ':' || b.n) AS digest, s.state_code, s.region,
            date_trunc('second', ts) AS effective_from,
@@ -589,6 +597,23 @@ STATEMENTS: dict[str, str] = {
     "asof_priced_broadcast": _ASOF,
     "asof_priced_shuffle": _ASOF,
     "asof_priced_carry": _ASOF,
+    "asof_priced_dyadic": _ASOF,
+    "asof_dyadic": """
+    SELECT r.row_id, r.holder, r.moment, m.valid_from, m.tariff_id, m.valid_to
+    FROM (SELECT l_orderkey * 10 + l_linenumber AS row_id, o_custkey AS holder,
+                 CAST(l_shipdate AS TIMESTAMP) + to_minutes(l_partkey % 1440) AS moment
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+          UNION ALL
+          SELECT -event_id - 1, user_id, ts FROM events WHERE event_type <> 'purchase') r
+    ASOF LEFT JOIN mixed_intervals m ON r.holder = m.holder AND r.moment >= m.valid_from""",
+    "asof_dyadic_blocks": """
+    SELECT level, CAST(count(*) AS BIGINT) AS n_intervals,
+           CAST(sum(date_diff('hour', date_trunc('hour', valid_from), date_trunc('hour', valid_to - INTERVAL 1 MICROSECOND)) + 1)
+               AS BIGINT) AS n_hours,
+           CAST(sum(((epoch_us(valid_to) - 1) >> level) - (epoch_us(valid_from) >> level) + 1) AS BIGINT) AS n_blocks
+    FROM (SELECT *, CAST(floor(log2(epoch_us(valid_to) - epoch_us(valid_from)) / 3) * 3 AS INTEGER) AS level
+          FROM mixed_intervals WHERE valid_to IS NOT NULL)
+    GROUP BY 1""",
     "asof_left": """
     WITH tariffs AS (
         SELECT user_id, ts AS valid_from, event_id AS price_id,

@@ -14,7 +14,7 @@ from tidewatt.contracts import PRICE_FIELDS, READING_FIELDS, STATES
 from tidewatt.functions.calendar import GRAINS
 from tidewatt.functions.geography import region_of
 from tidewatt.functions.hashing import hash_diff
-from tidewatt.operators.asof import asof_join, effective_intervals
+from tidewatt.operators.asof import LEVEL, asof_join, dyadic_blocks, effective_intervals, with_level
 from tidewatt.operators.calendar import time_spine
 from tidewatt.operators.checks import (
     accepted_range,
@@ -285,6 +285,51 @@ def asof_after_last(spark: SparkSession, folder: str) -> DataFrame:
     ).select("event_id", "zone", "tariff_id", "valid_to")
 
 
+def _mixed_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Validity per customer or user: days to years between orders, minutes to days between
+    purchases, and two decades from the last order to the first purchase."""
+    orders = supplied.table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("holder"),
+        (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))).alias("valid_from"),
+        F.col("o_orderkey").alias("tariff_id"),
+    )
+    bought = supplied.table(spark, folder, "events").filter("event_type = 'purchase'").select(
+        F.col("user_id").alias("holder"), F.col("ts").cast("timestamp").alias("valid_from"), (-F.col("event_id")).alias("tariff_id")
+    )
+    starts = orders.unionByName(bought).groupBy("holder", "valid_from").agg(F.min("tariff_id").alias("tariff_id"))
+    return effective_intervals(starts, ["holder"], "valid_from", "valid_to", "year")
+
+
+def asof_dyadic(spark: SparkSession, folder: str) -> DataFrame:
+    """Shipments and events against intervals from minutes to decades, thousands of keys."""
+    orders = supplied.table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("holder"))
+    shipped = supplied.table(spark, folder, "lineitem").join(orders, F.expr("l_orderkey = o_orderkey")).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), "holder",
+        (F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(mins=(F.col("l_partkey") % 1440).cast("int"))).alias("moment"),
+    )
+    seen = supplied.table(spark, folder, "events").filter("event_type <> 'purchase'").select(
+        (-F.col("event_id") - 1).alias("row_id"), F.col("user_id").alias("holder"), F.col("ts").cast("timestamp").alias("moment")
+    )
+    return asof_join(
+        shipped.unionByName(seen), _mixed_intervals(spark, folder), by=["holder"], left_ts="moment",
+        valid_from="valid_from", valid_to="valid_to", how="left", strategy="dyadic",
+    )
+
+
+def asof_dyadic_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """What the intervals of ``asof_dyadic`` cost: blocks per level, beside one row per hour."""
+    closed = _mixed_intervals(spark, folder).filter("valid_to is not null")
+    blocks = dyadic_blocks(closed, "valid_from", "valid_to").groupBy(F.col(LEVEL).alias("level")).agg(
+        F.count(F.lit(1)).alias("n_blocks")
+    )
+    whole_hours = (F.unix_micros(F.date_trunc("hour", "valid_to")) - F.unix_micros(F.date_trunc("hour", "valid_from"))) / 3_600_000_000
+    hours = whole_hours.cast("bigint") + F.when(F.date_trunc("hour", "valid_to") == F.col("valid_to"), 0).otherwise(1)
+    intervals = with_level(closed, "valid_from", "valid_to").groupBy(F.col(LEVEL).alias("level")).agg(
+        F.count(F.lit(1)).alias("n_intervals"), F.sum(hours).alias("n_hours")
+    )
+    return intervals.join(blocks, "level")
+
+
 def asof_unpriced(spark: SparkSession, folder: str) -> DataFrame:
     return information.readings_without_price(
         supplied.readings(spark, folder), _priced(spark, folder)
@@ -1021,6 +1066,9 @@ QUERIES: dict[str, Query] = {
     "asof_priced_broadcast": _asof("bucket"),
     "asof_priced_shuffle": _asof("shuffle"),
     "asof_priced_carry": _asof("carry"),
+    "asof_priced_dyadic": _asof("dyadic"),
+    "asof_dyadic": asof_dyadic,
+    "asof_dyadic_blocks": asof_dyadic_blocks,
     "asof_left": asof_left,
     "asof_after_last": asof_after_last,
     "asof_unpriced": asof_unpriced,
