@@ -93,12 +93,14 @@ def _nodes(blocks: DataFrame) -> DataFrame:
     distinct = blocks.groupBy("block", "up_hi", "up_lo", "hi", "lo").agg(
         F.count("*").alias("n_convs"), F.min("conv_id").alias("owner"), F.first("turns").alias("turns")
     )
-    distinct = kept(distinct.drop("hi", "lo"), "trie-distinct")
-    siblings = distinct.groupBy("block", "up_hi", "up_lo").agg(F.count("*").alias("siblings"))
-    told = kept(distinct.join(siblings, ["block", "up_hi", "up_lo"]), "trie-blocks")
-    alone = _turn_nodes(told.where("siblings = 1"))
+    distinct = kept(distinct, "trie-distinct")
+    # An only child names itself, so the lookup is by the block and no parent gathers its children.
+    siblings = distinct.groupBy("block", "up_hi", "up_lo").agg(F.count("*").alias("siblings"), F.min(F.struct("hi", "lo")).alias("one"))
+    only = siblings.where("siblings = 1").select("block", "up_hi", "up_lo", "one.hi", "one.lo", F.lit(True).alias("only"))
+    told = kept(distinct.join(only, ["block", "up_hi", "up_lo", "hi", "lo"], "left").drop("hi", "lo"), "trie-blocks")
+    alone = _turn_nodes(told.where("only"))
     refined = (
-        _turn_nodes(told.where("siblings > 1"))
+        _turn_nodes(told.where("only is null"))
         .groupBy("depth", "hi", "lo")
         .agg(
             F.first("up_hi").alias("up_hi"),
