@@ -308,10 +308,14 @@ def nearest_neighbours(
         frame.where(F.col("width") != width).withColumn("parts", whole)
     )
     indexed = kept(parts(rows, 1).withColumn("part", F.col("parts")[0]).drop("parts"), "neighbour-index")
-    sizes = indexed.groupBy("width", "part").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("chunks"))
-    cells = indexed.join(sizes, ["width", "part"]).select("width", "part", F.pmod(F.xxhash64("ids"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("kind"), _none("long").alias("vec_id"), "vector", "ids")
-    visits = parts(asked, router.visits).withColumn("part", F.explode("parts")).join(sizes, ["width", "part"])
-    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    # At most as many rows as parts reach the driver; vectors of all other lengths count together.
+    sizes = indexed.groupBy(F.when(F.col("width") == width, F.col("part")).otherwise(-1).alias("part")).agg(F.count("*").alias("n")).collect()
+    chunks = {row.part: -(-row.n // CELL_ROWS) for row in sizes}
+    of_part = F.get(F.array(*[F.lit(chunks.get(p, 0)) for p in range(router.parts)]), F.col("part"))
+    cut = F.when(F.col("width") == width, of_part).otherwise(chunks.get(-1, 0))
+    cells = indexed.select("width", "part", F.pmod(F.xxhash64("ids"), cut).cast("int").alias("chunk"), F.lit(0).alias("kind"), _none("long").alias("vec_id"), "vector", "ids")
+    visits = parts(asked, router.visits).withColumn("part", F.explode("parts")).where(cut > 0)
+    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), cut - 1)))
     visits = visits.select("width", "part", "chunk", F.lit(1).alias("kind"), "vec_id", "vector", _none("array<bigint>").alias("ids"))
 
     cell = ["width", "part", "chunk"]
