@@ -1,4 +1,6 @@
+import itertools
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -7,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidewatt.llm.packing import BinCompletion, IdCache, op5_best_fit_packing, packed
+from tidewatt.llm.packing import BinCompletion, IdTable, dominated, op5_best_fit_packing, packed
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,9 +23,30 @@ def test_ids_equal_the_library(tokenizer):
     draw = random.Random(3)
     bits = [" ", "\n", "a", "b", "É", "é", "́", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "\x1c", "\x85", "\xa0", "\t", "İ", "ß", "9", "日", "🙂", ".", "!!", "THE", "and,", "x.y,", "it's."]
     texts = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 40))) for _ in range(1500)]
-    got = IdCache(PATH, cache=200).ids([t.encode() for t in texts])
-    for text, ids in zip(texts, got, strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    same_ids(tokenizer, texts, IdTable(PATH, size=200))
+
+
+def same_ids(tokenizer, texts, table):
+    for low in range(0, len(texts), 100):
+        part = texts[low : low + 100]
+        ids, stops = table.ids([t.encode() for t in part])
+        for text, found in zip(part, np.split(ids, stops[:-1]), strict=True):
+            assert found.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_letters_that_composing_or_lowering_splits(tokenizer):
+    """Every letter whose composed, lowered form is not all letters, before and after other marks."""
+    odd = [c for c in map(chr, range(128, 0x20000)) if c.isalpha() and not unicodedata.normalize("NFC", c).lower().isalpha()]
+    assert len(odd) > 50
+    texts = [form.format(c) for c in odd for form in ("{}", "{}.", "{},", "a{}.", "{}b, x", "{}{}".replace("{}{}", "{0}{0}."))]
+    same_ids(tokenizer, texts, IdTable(PATH))
+
+
+def test_long_stretches_and_many_chunks(tokenizer):
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcdeé.,'") for _ in range(draw.choice([1, 3, 8, 63, 64, 65, 300]))) for _ in range(400)]
+    texts = [" ".join(draw.choices(words, k=draw.randint(0, 30))) for _ in range(600)]
+    same_ids(tokenizer, texts, IdTable(PATH, size=150))
 
 
 def pieces_of(tokenizer, text, capacity=2048):
@@ -66,7 +89,7 @@ def test_hot_length_nulls_and_repeats(frame, tokenizer):
 def test_branch_and_bound_beats_or_meets_best_fit(seed):
     draw = random.Random(seed)
     counts = Counter(draw.choice([draw.randint(20, 60), draw.randint(1, 100)]) for _ in range(40))
-    solver = BinCompletion(counts, 100, nodes=2000)
+    solver = BinCompletion(counts, 100, steps=2000)
     plan, greedy = solver.solve(), solver.best_fit(solver.counts)
     assert solver.bound <= plan.bins <= greedy.bins
     used = Counter()
@@ -81,3 +104,76 @@ def test_search_improves_on_best_fit():
     counts = {6: 2, 4: 2, 3: 4, 2: 4}
     solver = BinCompletion(counts, 10)
     assert solver.solve().bins == solver.bound == 4
+
+
+def test_perfectly_packable_cases_are_packed_perfectly():
+    draw = random.Random(11)
+    for case in range(300):
+        bins = draw.randint(3, 5)
+        counts = Counter()
+        for _ in range(bins):
+            cuts = sorted(draw.sample(range(1, 100), draw.randint(2, 4)))
+            counts.update(b - a for a, b in zip([0, *cuts], [*cuts, 100], strict=True))
+        assert BinCompletion(counts, 100).solve().bins == bins, (case, counts)
+
+
+def optimum(pieces, capacity):
+    """Fewest bins by trying every bin for every piece."""
+    best = len(pieces)
+
+    def place(at, loads):
+        nonlocal best
+        if len(loads) >= best:
+            return
+        if at == len(pieces):
+            best = len(loads)
+            return
+        for i in range(len(loads)):
+            if loads[i] + pieces[at] <= capacity and loads[i] not in loads[:i]:
+                place(at + 1, [*loads[:i], loads[i] + pieces[at], *loads[i + 1 :]])
+        place(at + 1, [*loads, pieces[at]])
+
+    place(0, [])
+    return best
+
+
+def test_small_cases_are_optimal():
+    draw = random.Random(12)
+    for _ in range(150):
+        pieces = sorted((draw.randint(1, 14) for _ in range(draw.randint(1, 11))), reverse=True)
+        assert BinCompletion(Counter(pieces), 20).solve().bins == optimum(pieces, 20), pieces
+
+
+def test_dominance():
+    """A filling is dominated exactly if a piece left out can take the place of some members."""
+    draw = random.Random(13)
+    for _ in range(2000):
+        members = tuple(sorted((draw.randint(1, 9) for _ in range(draw.randint(0, 5))), reverse=True))
+        waste, out = draw.randint(0, 6), [draw.randint(1, 15) for _ in range(draw.randint(0, 3))]
+        want = False
+        for size in range(len(members) + 1):
+            for some in itertools.combinations(members, size):
+                for x in out:
+                    longer = x > sum(some) if size < 2 else x >= sum(some)
+                    want |= longer and x <= sum(some) + waste
+        assert dominated(members, waste, sum(1 << x for x in set(out))) == want
+
+
+def test_completions_are_all_that_are_not_dominated():
+    solver = BinCompletion({7: 1, 5: 1, 3: 2, 2: 3, 1: 2}, 15)
+    got = set(solver.completions(solver.counts, 15))
+    pool = [5, 3, 3, 2, 2, 2, 1, 1]
+    want = set()
+    for size in range(len(pool) + 1):
+        for some in set(itertools.combinations(pool, size)):
+            left = (Counter(pool) - Counter(some)).keys()
+            if sum(some) <= 8 and not dominated(some, 8 - sum(some), sum(1 << x for x in left if x <= 8)):
+                want.add((7, *some))
+    assert got == want
+
+
+def test_many_equal_pieces_stay_fast():
+    solver = BinCompletion({700: 300_000, 650: 300_000, 400: 10**6, 9: 10**7}, 2048)
+    assert solver.bound <= solver.solve().bins <= solver.best_fit(solver.counts).bins
+    wide = BinCompletion({length: 3 for length in range(900, 2048)}, 2048, steps=3000)
+    assert wide.bound <= wide.solve().bins <= wide.best_fit(wide.counts).bins

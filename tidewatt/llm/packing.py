@@ -7,7 +7,10 @@ histogram, ranks the pieces within their length, and looks every rank up in the
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,29 +21,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidewatt.llm.common import Generations, as_bytes, documents, kept, slices
+from tidewatt.llm.common import as_bytes, documents, kept, mixed, slices
 
 CAPACITY = 2048
 SEPARATOR = 0
-CACHE = 150_000
+#: Stretches that a worker remembers, about 40 bytes each, and the longest of them in bytes.
+KNOWN_WORDS, LONGEST = 1_500_000, 64
 WORDS_AT_ONCE = 1000
 #: Bytes of text whose stretches are held at a time.
 BATCH_BYTES = 1 << 21
 #: Pieces that one ranking task group holds; hot lengths are cut into as many groups as needed.
 GROUP_ROWS = 512
-#: Fillings that the search looks at for one bin, and bins whose choice it may revise.
-FILLINGS = 24
-NODES = 20_000
+#: Fillings that the search looks at or lays, if best fit does not meet the bound.
+STEPS = 200_000
 
 
-class IdCache:
-    """The ids of a text as bytes, put together from those of its blank-free stretches.
+class IdTable:
+    """The ids of texts, put together from those of their blank-free stretches by whole arrays.
 
-    The tokenizer drops blanks and never looks across one; stretches are cut at blanks and
-    line feeds only, and what is new in a batch of texts goes through the library together.
+    The tokenizer drops blanks and never looks across one; stretches are cut at blanks and line
+    feeds only. A stretch is known by two 64-bit hashes of its bytes, A-Z lowered; the hashes of all
+    stretches of a chunk are computed, looked up and turned into ids together. What is new goes
+    through the library. Stretches over ``LONGEST`` bytes are not remembered. When the table is
+    full, it starts again, so that memory stays bounded.
     """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, size: int = KNOWN_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -50,75 +56,173 @@ class IdCache:
         #: Whether an id closes a word.
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known = Generations(lambda key: self.encoded([key.decode()])[0], cache)
-        self.known[b""] = b""
+        self.size = size
+        self.start_again()
 
-    def encoded(self, texts: list[str]) -> list[bytes]:
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+        return [np.array(one.ids, dtype=np.uint32) for one in found]
 
-    def encoded_words(self, words: list[str]) -> list[bytes]:
-        """The ids of words of letters only, many in one text: each ends where an id closes it."""
-        out: list[bytes] = []
+    def encoded_words(self, words: list[str], closers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, end to end, and where each word's ids stop.
+
+        Many words go in one text. A word of letters has one id that closes it, the last; a comma
+        or full stop behind it is a token of its own and closes too.
+        """
+        ids, stops, at = [np.empty(0, np.uint32)], [np.empty(0, np.int64)], 0
         for low in range(0, len(words), WORDS_AT_ONCE):
-            part = words[low : low + WORDS_AT_ONCE]
+            part, due = words[low : low + WORDS_AT_ONCE], np.cumsum(closers[low : low + WORDS_AT_ONCE])
             data = self.encoded([" ".join(part)])[0]
-            ends = (4 * (np.flatnonzero(self.closes[np.frombuffer(data, "<u4")]) + 1)).tolist()
-            if len(ends) == len(part):
-                out += [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            ends = np.flatnonzero(self.closes[data]) + 1
+            if len(ends) == due[-1]:
+                ends = ends[due - 1]
             else:
-                out += self.encoded(part)
-        return out
-
-    @staticmethod
-    def stretches(text: bytes) -> list[bytes]:
-        # Special tokens are the only strings whose case matters.
-        plain = text if b"<|" in text else text.lower()
-        return plain.replace(b"\n", b" ").split(b" ")
-
-    def learn(self, new: set[bytes]) -> None:
-        """Ids of stretches that the cache does not hold."""
-        known, old = self.known, self.known.old
-        words: dict[bytes, str] = {}
-        others: dict[bytes, str] = {}
-        ended: list[bytes] = []
-        for stretch in new:
-            ids = old.get(stretch)
-            if ids is not None:
-                known[stretch] = ids
-                continue
+                single = self.encoded(part)
+                data, ends = np.concatenate(single), np.cumsum([len(one) for one in single])
+            ids.append(data)
+            stops.append(ends + at)
+            at += len(data)
+        return np.concatenate(ids), np.concatenate(stops)
+
+    def learned(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the stretches, end to end, and how many each has."""
+        places: list[list[int]] = [[], []]
+        sent: list[list[str]] = [[], []]
+        closers: list[int] = []
+        for place, stretch in enumerate(stretches):
             text = stretch.decode()
-            # A comma or full stop behind letters is a token of its own.
-            if text[-1] in ",." and len(text) > 1 and text[:-1].isalpha():
-                ended.append(stretch)
-                stretch, text = stretch[:-1], text[:-1]
-                if stretch in known:
-                    continue
-            if text.isalpha() and (text.isascii() or text.lower().isalpha()):
-                words[stretch] = text
-            else:
-                others[stretch] = text
-        known.update(zip(words, self.encoded_words(list(words.values())), strict=True))
-        known.update(zip(others, self.encoded(list(others.values())), strict=True))
-        for stretch in ended:
-            known[stretch] = known[stretch[:-1]] + known[stretch[-1:]]
-
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        cut = [self.stretches(text) for text in texts]
-        known = self.known
-        known.make_room()
-        self.learn(set().union(*cut).difference(known))
-        for parts in cut:
-            yield b"".join(map(known.__getitem__, parts))
-
-
-_caches: dict[str, IdCache] = {}
-
-
-def id_cache(path: str) -> IdCache:
-    if path not in _caches:
-        _caches[path] = IdCache(path)
-    return _caches[path]
+            word = text[:-1] if text[-1] in ",." else text
+            # As the tokenizer sees it: composed and lowered, it must still be letters only.
+            plain = word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+            places[plain].append(place)
+            sent[plain].append(text)
+            if plain:
+                closers.append(1 if word is text else 2)
+        word_ids, stops = self.encoded_words(sent[True], closers)
+        lengths = np.zeros(len(stretches), np.int64)
+        lengths[places[True]] = np.diff(stops, prepend=0)
+        others = self.encoded(sent[False])
+        lengths[places[False]] = [len(one) for one in others]
+        starts = np.cumsum(lengths) - lengths
+        ids = np.empty(int(lengths.sum()), np.uint32)
+        ids[_ragged(starts[places[True]], lengths[places[True]])] = word_ids
+        if others:
+            ids[_ragged(starts[places[False]], lengths[places[False]])] = np.concatenate(others)
+        return ids, lengths
+
+    def pooled(self, ids: np.ndarray) -> int:
+        """Append to the pool, which grows by halves; where the ids begin in it."""
+        begin, self.filled = self.filled, self.filled + len(ids)
+        if self.filled > len(self.pool):
+            grown = np.empty(self.filled + self.filled // 2, np.uint32)
+            grown[:begin] = self.pool[:begin]
+            self.pool = grown
+        self.pool[begin : self.filled] = ids
+        return begin
+
+    def remember(self, words: np.ndarray) -> None:
+        """Words join the newest part of the table, and that the whole once it is an eighth of it."""
+        tables = [*self.tables[1:], words]
+        if sum(map(len, tables)) > max(1 << 16, len(self.tables[0]) // 8):
+            tables = [*self.tables, words]
+        joined = np.concatenate(tables)
+        joined = joined[np.argsort(joined["one"], kind="stable")]
+        self.tables = [joined] if len(tables) == len(self.tables) + 1 else [self.tables[0], joined]
+
+    def start_again(self) -> None:
+        self.tables, self.pool, self.filled = [np.empty(0, _WORD)], np.empty(0, np.uint32), 0
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by the separator, end to end, and where each stops."""
+        special = [place for place, text in enumerate(texts) if b"<|" in text]
+        if special:
+            # Special tokens are the only strings whose case matters and that may hold a blank.
+            own = dict(zip(special, self.encoded([texts[p].decode() for p in special]), strict=True))
+            texts = [b"" if p in own else text for p, text in enumerate(texts)]
+        if sum(map(len, self.tables)) > self.size:
+            self.start_again()
+        data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
+        limits = np.cumsum([len(text) + 1 for text in texts])
+        inside = (data != 0x20) & (data != 0x0A)
+        edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+        starts, ends = edge[0::2], edge[1::2]
+        lowered = _LOWER[data]
+        one, two = _hashes(lowered, starts, ends)
+        _, first, member = np.unique(one, return_index=True, return_inverse=True)
+        # Different stretches of one first hash: the group is split by the second.
+        if (two != two[first][member]).any():
+            _, first, member = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
+            member = member.ravel()
+        start = np.zeros(len(first), np.int64)
+        count = np.full(len(first), -1, np.int64)
+        for words in self.tables:
+            if len(words):
+                at = np.minimum(np.searchsorted(words["one"], one[first]), len(words) - 1)
+                hit = (words["one"][at] == one[first]) & (words["two"][at] == two[first])
+                start[hit], count[hit] = words["start"][at[hit]], words["count"][at[hit]]
+        missed = np.flatnonzero(count < 0)
+        raw = lowered.tobytes()
+        spans = zip(starts[first[missed]].tolist(), ends[first[missed]].tolist(), strict=True)
+        fresh, lengths = self.learned([raw[a:b] for a, b in spans])
+        start[missed], count[missed] = self.pooled(fresh) + np.cumsum(lengths) - lengths, lengths
+        short = missed[(ends - starts)[first[missed]] <= LONGEST]
+        if len(short):
+            words = np.empty(len(short), _WORD)
+            words["one"], words["two"] = one[first[short]], two[first[short]]
+            words["start"], words["count"] = start[short], count[short]
+            self.remember(words)
+        owner = np.searchsorted(limits, starts, side="right")
+        gathered = self.pool[_ragged(start[member], count[member])]
+        sizes = np.bincount(owner, weights=count[member], minlength=len(texts)).astype(np.int64)
+        if special:
+            parts = np.split(gathered, np.cumsum(sizes)[:-1])
+            for place, found in own.items():
+                parts[place] = found
+            gathered, sizes = np.concatenate(parts), np.array([len(part) for part in parts], np.int64)
+        stops = np.cumsum(sizes + 1)
+        out = np.full(int(stops[-1]) if len(stops) else 0, SEPARATOR, dtype="<u4")
+        keep = np.ones(len(out), dtype=bool)
+        keep[stops - 1] = False
+        out[keep] = gathered
+        return out, stops
+
+
+_WORD = np.dtype([("one", np.uint64), ("two", np.uint64), ("start", np.uint32), ("count", np.uint32)])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of every range, end to end."""
+    lengths = np.asarray(lengths, np.int64)
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(np.asarray(starts, np.int64) - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every stretch: polynomials in two odd factors, each mixed."""
+    out = []
+    for number, factor in enumerate(_FACTORS):
+        if number not in _powers or len(_powers[number][0]) < len(data):
+            steps = np.full((2, max(len(data), BATCH_BYTES)), factor, dtype=np.uint64)
+            steps[1] = np.uint64(pow(int(factor), -1, 1 << 64))
+            steps[:, 0] = 1
+            _powers[number] = tuple(np.multiply.accumulate(steps, axis=1))
+        up, down = _powers[number]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
+        out.append(mixed((sums[ends] - sums[starts]) * down[starts]))
+    return out[0], out[1]
+
+
+_tables: dict[str, IdTable] = {}
+
+
+def id_table(path: str) -> IdTable:
+    if path not in _tables:
+        _tables[path] = IdTable(path)
+    return _tables[path]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, id_column: str, text_column: str) -> DataFrame:
@@ -132,21 +236,22 @@ def pieces(docs: DataFrame, path: str, capacity: int, id_column: str, text_colum
     kinds = (source.schema["id"].dataType, T.LongType(), T.IntegerType(), T.LongType(), T.LongType(), T.LongType())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, width = id_cache(path), 4 * capacity
-        end = np.array([SEPARATOR], dtype="<u4").tobytes()
+        words = id_table(path)
         for batch in batches:
             owner, number, start, length, crc = [], [], [], [], []
             texts = as_bytes(batch, "text")
             for low, high in slices(texts, BATCH_BYTES):
-                for place, ids in enumerate(cache.ids(texts[low:high]), low):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at : at + width]
+                ids, stops = words.ids(texts[low:high])
+                begin = 0
+                for place, stop in enumerate(stops.tolist(), low):
+                    for piece, at in enumerate(range(begin, stop, capacity)):
+                        part = ids[at : min(at + capacity, stop)]
                         owner.append(place)
                         number.append(piece)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
+                        start.append(at - begin)
+                        length.append(len(part))
                         crc.append(zlib.crc32(part))
+                    begin = stop
             at = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -172,20 +277,57 @@ class Plan:
         return sum(times for _, times in self.fillings)
 
 
-class BinCompletion:
-    """Branch and bound over fillings of the bin that holds the longest remaining piece.
+def sums_of(members: tuple[int, ...]) -> tuple[int, int]:
+    """Bit sets of the sums of single members, and of the sums of two or more of them."""
+    single = several = 0
+    for length in members:
+        several |= (single | several) << length
+        single |= 1 << length
+    return single, several
+
+
+def spread(bits: int, width: int) -> int:
+    """Every set bit, and the ``width`` bits above it."""
+    done = 0
+    while done < width:
+        step = min(done + 1, width - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def dominated(members: tuple[int, ...], waste: int, left_out: int) -> bool:
+    """Whether a filling can be improved by one piece it leaves out (bit set of lengths).
 
-    ``counts`` maps a length to its number of pieces. A filling is undominated if no remaining
-    piece fits into its waste and none of its members can be swapped for a longer remaining one
-    that fits. Each step applies the chosen filling to as many bins as the counts allow.
+    It can if such a piece fits into the waste, is longer than a member and fits in its place, or is
+    as long as several members together, or longer, and fits in theirs. Whatever packs the rest
+    around the filling then packs it around the better one, so the filling need not be tried.
     """
+    single, several = sums_of(members)
+    better = spread(several, waste) | (spread(1, waste) & ~1)
+    if waste:
+        better |= spread(single << 1, waste - 1)
+    return bool(better & left_out)
 
-    def __init__(self, counts: dict[int, int], capacity: int, nodes: int = NODES, width: int = FILLINGS):
-        self.capacity, self.width, self.nodes = capacity, width, nodes
+
+class BinCompletion:
+    """Branch and bound over undominated fillings of the bin that holds the longest remaining piece.
+
+    ``counts`` maps a length to its number of pieces. The incumbent starts as best fit and the
+    search ends as soon as it meets the bound. Fillings are enumerated by recursion over all pieces
+    that still fit, least waste first, and only up to the waste that still leads to fewer bins than
+    the incumbent; none is cut off. A filling is tried for as many bins as the counts allow, and for
+    fewer. ``steps`` limits the fillings looked at and those that best fit lays behind them; what is
+    best by then is returned.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int, steps: int = STEPS):
+        self.capacity, self.steps = capacity, steps
         self.counts = np.zeros(capacity + 1, dtype=np.int64)
         for length, count in counts.items():
             self.counts[length] = count
-        total = int((self.counts * np.arange(capacity + 1)).sum())
+        self.lengths = np.arange(capacity + 1)
+        total = int((self.counts * self.lengths).sum())
         #: No plan needs fewer: the volume, and pieces of over half a bin, which never share.
         self.bound = max(-(-total // capacity), int(self.counts[capacity // 2 + 1 :].sum()))
 
@@ -193,104 +335,122 @@ class BinCompletion:
         """Greedy completion: each bin's longest piece, then the longest that still fits."""
         plan, counts = Plan(), counts.copy()
         while (filling := self.filled(counts)) is not None:
-            self.apply(plan, counts, filling)
+            plan.fillings.append((filling, self.taken(counts, filling, self.times(counts, filling))))
         return plan
 
     def filled(self, counts: np.ndarray) -> tuple[int, ...] | None:
         present = np.flatnonzero(counts)
         if not len(present):
             return None
-        return (int(present[-1]), *self.rest(counts, present, self.capacity - int(present[-1]), int(present[-1])))
-
-    @staticmethod
-    def rest(counts: np.ndarray, present: np.ndarray, room: int, first: int) -> list[int]:
-        taken: list[int] = []
-        used: dict[int, int] = {first: 1}
+        first = int(present[-1])
+        taken, used, room = [first], {first: 1}, self.capacity - first
         place = int(np.searchsorted(present, room, side="right")) - 1
         while place >= 0:
             length = int(present[place])
-            free = int(counts[length]) - used.get(length, 0)
-            take = min(free, room // length)
+            take = min(int(counts[length]) - used.get(length, 0), room // length)
             if take > 0:
                 taken += [length] * take
                 used[length] = used.get(length, 0) + take
                 room -= take * length
             place = min(place - 1, int(np.searchsorted(present, room, side="right")) - 1)
-        return taken
+        return tuple(taken)
 
     @staticmethod
-    def apply(plan: Plan, counts: np.ndarray, filling: tuple[int, ...]) -> int:
+    def times(counts: np.ndarray, filling: tuple[int, ...]) -> int:
+        """For how many bins the counts allow a filling."""
+        lengths, need = np.unique(np.array(filling), return_counts=True)
+        return int((counts[lengths] // need).min())
+
+    @staticmethod
+    def taken(counts: np.ndarray, filling: tuple[int, ...], times: int) -> int:
         lengths, need = np.unique(np.array(filling), return_counts=True)
-        times = int((counts[lengths] // need).min())
         counts[lengths] -= need * times
-        plan.fillings.append((filling, times))
         return times
 
-    def fillings(self, counts: np.ndarray) -> list[tuple[int, ...]]:
-        """Undominated fillings around the longest piece, least waste first."""
+    def sure_waste(self, counts: np.ndarray) -> int:
+        """Waste that no plan for the remaining pieces avoids: beside pieces that not even the
+        shortest other one fits, all room stays empty."""
         present = np.flatnonzero(counts)
-        first = int(present[-1])
+        if not len(present):
+            return 0
+        alone = present[present + present[0] > self.capacity]
+        return int((counts[alone] * (self.capacity - alone)).sum())
+
+    def completions(self, counts: np.ndarray, slack: int) -> Iterator[tuple[int, ...]]:
+        """Undominated fillings around the longest piece with at most ``slack`` waste, least first."""
+        present = [int(x) for x in np.flatnonzero(counts)][::-1]
+        first = present[0]
         room = self.capacity - first
-        found: dict[tuple[int, ...], int] = {}
-
-        def offer(members: list[int]) -> None:
-            key = tuple(sorted(members, reverse=True))
-            found.setdefault(key, room - sum(key))
-
-        # One piece decides the rest of the bin; what follows it is the longest fit, or an exact pair.
-        leads = present[: int(np.searchsorted(present, room, side="right"))][::-1]
-        for lead in map(int, leads[: 4 * self.width]):
-            if counts[lead] - (lead == first) < 1:
-                continue
-            left = room - lead
-            reduced = counts.copy()
-            reduced[first] -= 1
-            reduced[lead] -= 1
-            offer([lead, *self.rest(reduced, np.flatnonzero(reduced), left, 0)])
-            if 0 < left <= self.capacity and reduced[left] > 0:
-                offer([lead, left])
-            if len(found) >= 4 * self.width:
-                break
-        if not found:
-            found[()] = room
-        best = sorted(found.items(), key=lambda item: (item[1], len(item[0])))[: self.width]
-        return [(first, *members) for members, _ in best]
+        free = {x: int(counts[x]) - (x == first) for x in present}
+        fits = [x for x in present if x <= room and free[x]]
+        # Sums that the pieces from a position on can reach: no recursion into a dead end.
+        reach = [1] * (len(fits) + 1)
+        full = (1 << (room + 1)) - 1
+        for at in range(len(fits) - 1, -1, -1):
+            bits, copies, block = reach[at + 1], min(free[fits[at]], room // fits[at]), 1
+            while copies:
+                block = min(block, copies)
+                bits |= bits << (block * fits[at])
+                copies -= block
+                block *= 2
+            reach[at] = bits & full
+
+        def exact(at: int, target: int) -> Iterator[tuple[int, ...]]:
+            if target == 0:
+                yield ()
+                return
+            for place in range(at, len(fits)):
+                if not reach[place] >> target & 1:
+                    return
+                length = fits[place]
+                for copies in range(min(free[length], target // length), 0, -1):
+                    if reach[place + 1] >> (target - copies * length) & 1:
+                        for rest in exact(place + 1, target - copies * length):
+                            yield (length,) * copies + rest
+
+        for waste in range(min(slack, room) + 1):
+            for members in exact(0, room - waste):
+                used = Counter(members)
+                left_out = sum(1 << x for x in fits if free[x] > used[x])
+                if not dominated(members, waste, left_out):
+                    yield (first, *members)
 
     def solve(self) -> Plan:
-        """The best plan found within ``nodes`` steps; the incumbent starts as best fit."""
+        """The best plan found within ``steps`` fillings; the incumbent starts as best fit."""
         incumbent = self.best_fit(self.counts)
-        if incumbent.bins <= self.bound:
-            return incumbent
-        visited = 0
-        # Depth first: (counts, plan so far, waste so far), alternatives of a bin in order of waste.
-        lengths = np.arange(self.capacity + 1)
-        stack = [(self.counts.copy(), [], 0)]
-        while stack and visited < self.nodes and incumbent.bins > self.bound:
-            counts, done, waste = stack.pop()
-            visited += 1
-            spare = (incumbent.bins - 1) * self.capacity - int((self.counts * lengths).sum())
-            if waste > spare:
+        total = int((self.counts * self.lengths).sum())
+        steps, seen = 0, set()
+
+        def options(counts: np.ndarray, waste: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
+            """(filling, bins, waste after it), lazily; the incumbent may improve in between."""
+            for filling in self.completions(counts, (incumbent.bins - 1) * self.capacity - total - waste):
+                for bins in range(self.times(counts, filling), 0, -1):
+                    yield filling, bins, waste + bins * (self.capacity - sum(filling))
+
+        stack = [(self.counts.copy(), options(self.counts, 0), [])]
+        while stack and steps < self.steps and incumbent.bins > self.bound:
+            counts, following, done = stack[-1]
+            found = next(following, None)
+            if found is None:
+                stack.pop()
                 continue
-            if not counts.any():
-                plan = Plan(done)
-                if plan.bins < incumbent.bins:
-                    incumbent = plan
+            filling, bins, waste = found
+            left = counts.copy()
+            self.taken(left, filling, bins)
+            steps += 1
+            state = hashlib.blake2b(left.tobytes() + waste.to_bytes(8), digest_size=16).digest()
+            spare = (incumbent.bins - 1) * self.capacity - total
+            if state in seen or waste + self.sure_waste(left) > spare:
                 continue
-            options = []
-            for filling in self.fillings(counts):
-                left, step = counts.copy(), Plan(list(done))
-                times = self.apply(step, left, filling)
-                lost = times * (self.capacity - sum(filling))
-                if waste + lost <= spare:
-                    options.append((left, step.fillings, waste + lost))
-            if len(stack) + len(options) > self.nodes:
-                options = options[:1]
-            stack += options[::-1]
-            if visited % 64 == 0 and options:
-                rest = self.best_fit(options[0][0])
-                plan = Plan(options[0][1] + rest.fillings)
-                if plan.bins < incumbent.bins:
-                    incumbent = plan
+            seen.add(state)
+            fillings = [*done, (filling, bins)]
+            rest = self.best_fit(left).fillings
+            steps += len(rest)
+            plan = Plan(fillings + rest)
+            if plan.bins < incumbent.bins:
+                incumbent = plan
+            if left.any():
+                stack.append((left, options(left, waste), fillings))
         return incumbent
 
 
