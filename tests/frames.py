@@ -11,7 +11,8 @@ def at(text: str) -> datetime:
 def rows(frame, *columns):
     """Rows as sorted tuples of text, so that order and types do not matter."""
     picked = frame.select(*columns) if columns else frame
-    return sorted(tuple(None if v is None else str(v) for v in row) for row in picked.collect())
+    found = [tuple(None if v is None else str(v) for v in row) for row in picked.collect()]
+    return sorted(found, key=lambda row: [(v is not None, v or "") for v in row])
 
 
 def plan(frame) -> str:

@@ -295,7 +295,7 @@ def test_summary(spark, tmp_path):
 def test_jdbc_staging_options():
     target = JdbcStaging("jdbc:x", "stage.prices", "u", "p", batch_size=2)
     assert target.options()["batchsize"] == "2" and target.options()["queryTimeout"] == "300"
-    with pytest.raises(ValueError, match="greater than zero"):
+    with pytest.raises(ValueError, match="one row at least"):
         JdbcStaging("jdbc:x", "t", "u", "p", batch_size=0)
 
 

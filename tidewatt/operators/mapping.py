@@ -25,7 +25,7 @@ def check_mappings(mappings: Sequence[ColumnMapping]) -> None:
         name for name, uses in Counter(m.target for m in mappings).items() if uses > 1
     )
     if repeated:
-        raise ValueError(f"Mappings contain duplicate targets: {', '.join(repeated)}")
+        raise ValueError(f"mapped more than once: {', '.join(repeated)}")
 
 
 def map_columns(

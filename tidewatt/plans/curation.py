@@ -26,8 +26,7 @@ from tidewatt.operators.validation import (
     REASONS,
     RecordContract,
     ValidationRule,
-    violations,
-    split,
+    judged,
 )
 from tidewatt.operators.windows import BackfillGrain, BackfillWindow, ProcessingMode
 from tidewatt.session import work_folder
@@ -39,7 +38,6 @@ from tidewatt.sources.files import (
     SOURCE_FILE,
     existing_paths,
     folder_day,
-    malformed,
     object_key,
     read_ndjson,
     read_parquet,
@@ -56,7 +54,7 @@ def location(bucket: str, prefix: str, scheme: str = "s3") -> str:
     """``bucket`` and ``prefix`` as one folder URI, tolerant of stray slashes and schemes."""
     name = bucket.removeprefix(f"{scheme}://").strip("/")
     if not name:
-        raise ValueError(f"{scheme.upper()} bucket must not be empty")
+        raise ValueError("a location needs the name of a bucket")
     return "/".join([f"{scheme}:/", *filter(None, [name, prefix.strip("/")]), ""])
 
 
@@ -195,6 +193,35 @@ def _inside(window: BackfillWindow | None, file: Column, moment: Column | None =
     return day.isNull() | ((day >= window.start.isoformat()) & (day < window.end.isoformat()))
 
 
+def _refused(
+    frame: DataFrame, stream: Stream, run: JobRun, window: BackfillWindow | None, audit: dict[str, Column]
+) -> DataFrame:
+    """Malformed and rejected records of a scan in one pass, each with the fields it has."""
+    columns = {**audit, "__file": F.col(SOURCE_FILE)}
+    facts = {"error_stage": F.lit(stream.name), "error_timestamp": instant(run.load_ts)}
+    if CORRUPT not in frame.columns:
+        checked = judged(map_columns(frame, stream.contract.mappings, columns), stream.contract)
+        own = _inside(window, F.col("__file"), F.col(stream.time_column))
+        return checked.filter(own & (F.size(REASONS) > 0)).drop("__file").withColumns({"error_type": F.lit(stream.error_type), **facts})
+    lost = F.col("record").isNotNull()
+    raw = [name for name in frame.columns if name not in (CORRUPT, SOURCE_FILE)]
+    broken = F.col(CORRUPT).isNotNull()
+    mapped = map_columns(
+        frame,
+        stream.contract.mappings,
+        {**columns, "record": F.col(CORRUPT), "parsed_fields": F.when(broken, F.to_json(F.struct(*raw)))},
+    )
+    own = _inside(window, F.col("__file"), F.when(~lost, F.col(stream.time_column)))
+    refused = judged(mapped, stream.contract).filter(own & (lost | (F.size(REASONS) > 0)))
+    targets = [mapping.target for mapping in stream.contract.mappings]
+    # A malformed record keeps its text, its file and what could be parsed; the writer leaves out nulls.
+    only = {name: F.when(~lost, F.col(name)) for name in [*targets, *audit]}
+    only["record_source"] = F.when(lost, F.col("__file")).otherwise(F.col("record_source") if "record_source" in refused.columns else F.lit(None))
+    reasons = F.when(lost, F.array(F.lit("malformed"))).otherwise(F.col(REASONS))
+    kind = F.when(lost, MALFORMED).otherwise(stream.error_type)
+    return refused.withColumns({**only, REASONS: reasons, "error_type": kind, **facts}).drop("__file")
+
+
 def _run(
     spark: SparkSession,
     stream: Stream,
@@ -230,39 +257,20 @@ def _run(
         parsed = well_formed(watched) if has_corrupt else watched
         columns = {**audit, "__file": F.col(SOURCE_FILE)}
         own = _inside(window, F.col("__file"), F.col(stream.time_column))
-        mapped = map_columns(parsed, stream.contract.mappings, columns).observe(
+        checked = judged(map_columns(parsed, stream.contract.mappings, columns), stream.contract).observe(
             after,
             F.count_if(own).alias("parsed"),
-            F.count_if(own & (F.size(violations(stream.contract)) > 0)).alias("rejected"),
-        )
-        outcome = split(
-            mapped,
-            stream.contract,
-            error_stage=stream.name,
-            error_timestamp=run.load_ts,
-            error_type=stream.error_type,
+            F.count_if(own & (F.size(REASONS) > 0)).alias("rejected"),
         )
-        valid = outcome.valid.drop("__file")
+        valid = checked.filter(F.size(REASONS) == 0).drop(REASONS, "__file")
         if window is not None:
             valid = window.filter(valid, stream.time_column)
         valid = first_by_key(valid, [stream.id_column], [F.col(stream.time_column).asc()])
         stats = sink(valid, window)
         seen = {**(before.get if has_corrupt else {}), **after.get}
         seen["rows"] = (seen.get("parsed") or 0) + (seen.get("malformed") or 0)
-        if seen.get("malformed"):
-            bad = malformed(frame).withColumnsRenamed({SOURCE_FILE: "__file"})
-            bad = bad.filter(_inside(window, F.col("__file"))).select(
-                F.col(CORRUPT).alias("record"),
-                F.col("__file").alias("record_source"),
-                "parsed_fields",
-                F.array(F.lit("malformed")).alias(REASONS),
-                F.lit(MALFORMED).alias("error_type"),
-                F.lit(stream.name).alias("error_stage"),
-                instant(run.load_ts).alias("error_timestamp"),
-            )
-            write_quarantine(bad, errors)
-        if seen.get("rejected"):
-            write_quarantine(outcome.rejected.filter(own).drop("__file"), errors)
+        if seen.get("malformed") or seen.get("rejected"):
+            write_quarantine(_refused(frame, stream, run, window, audit), errors)
         for name in ("rows", "malformed", "rejected"):
             totals[name] += seen.get(name, 0) or 0
         if stats is not None:

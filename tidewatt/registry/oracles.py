@@ -363,6 +363,17 @@ CTES: dict[str, str] = {
         CASE WHEN k > 95 THEN 'range:power_factor' END
         ], lambda x: x IS NOT NULL) END AS reasons
     FROM raw_records""",
+    "final_rows": """
+    SELECT meter_id, state_code, event_time AS old_time,
+           CASE WHEN early AND n % 35 = 0 THEN event_time + INTERVAL 30 HOUR ELSE event_time END AS event_time,
+           energy_kwh + CASE WHEN early AND n % 7 = 0 THEN 1 ELSE 0 END AS energy_kwh, usage_revenue,
+           early AND n % 10 <> 0 AS in_first, NOT early OR n % 10 = 0 OR n % 7 = 0 AS in_second
+    FROM (SELECT *, CAST(event_id AS BIGINT) AS n, event_time < TIMESTAMP '2024-01-20' AS early FROM priced)""",
+    "load_grains": "SELECT unnest(['day', 'week', 'month', 'year']) AS n",
+    "second_hours": """
+    SELECT DISTINCT meter_id, state_code, date_trunc('hour', event_time) AS hour FROM final_rows WHERE in_second
+    UNION
+    SELECT DISTINCT meter_id, state_code, date_trunc('hour', old_time) FROM final_rows WHERE in_second AND in_first""",
     "mixed_intervals": """
     SELECT *, lead(valid_from) OVER (PARTITION BY holder ORDER BY valid_from) AS valid_to
     FROM (SELECT holder, valid_from, min(tariff_id) AS tariff_id
@@ -914,6 +925,41 @@ STATEMENTS: dict[str, str] = {
            CAST(sum(usage_revenue) AS DOUBLE) AS usage_revenue,
            CAST(count(*) AS BIGINT) AS reading_count
     FROM priced GROUP BY ALL""",
+    "stream_hourly_merged": """
+    SELECT date_trunc('hour', ts) AS reading_hour, event_type,
+           CAST(sum(CAST(value AS DECIMAL(12,5))) AS DOUBLE) AS amount,
+           CAST(count(*) AS BIGINT) AS reading_count
+    FROM events GROUP BY ALL""",
+    "stream_repriced": """
+    SELECT date_trunc('hour', event_time) AS reading_hour, meter_id, state_code,
+           CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh,
+           CAST(sum(usage_revenue) AS DOUBLE) AS usage_revenue,
+           CAST(count(*) AS BIGINT) AS reading_count
+    FROM priced GROUP BY ALL""",
+    "incremental_billing": " UNION ALL ".join(
+        f"""SELECT '{name}' AS period_grain, {order} AS period_grain_order,
+                   greatest(date_trunc('{name.lower()}', event_time),
+                            (SELECT date_trunc('hour', min(event_time)) FROM final_rows)) AS period_start,
+                   meter_id, state_code, CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh,
+                   CAST(sum(usage_revenue) AS DOUBLE) AS usage_revenue, CAST(count(*) AS BIGINT) AS n_rows
+            FROM final_rows GROUP BY ALL"""
+        for name, order in GRAINS
+    ),
+    "incremental_loads": """
+    SELECT 1 AS load,
+           CAST(count(DISTINCT (meter_id, state_code, date_trunc('hour', old_time))) AS BIGINT) AS touched_hours,
+           CAST(count(*) AS BIGINT) AS rows_summed,
+           (SELECT CAST(count(*) AS BIGINT) FROM (
+               SELECT DISTINCT meter_id, state_code, g.n, date_trunc(g.n, old_time) FROM final_rows, load_grains g
+               WHERE in_first)) AS touched_periods
+    FROM final_rows WHERE in_first
+    UNION ALL
+    SELECT 2, CAST(count(*) AS BIGINT),
+           (SELECT CAST(count(*) AS BIGINT) FROM final_rows f
+            WHERE (meter_id, state_code, date_trunc('hour', event_time)) IN (SELECT (meter_id, state_code, hour) FROM second_hours)),
+           (SELECT CAST(count(*) AS BIGINT) FROM (
+               SELECT DISTINCT meter_id, state_code, g.n, date_trunc(g.n, hour) FROM second_hours, load_grains g))
+    FROM second_hours""",
     "job_backfill_readings": """
     SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3)
                || '-a' || substr(digest, 18, 3) || '-' || substr(digest, 21, 12) AS event_id,

@@ -42,6 +42,7 @@ from tidewatt.operators.vault import (
 from tidewatt.operators.windows import BackfillWindow
 from tidewatt.plans import charts, curation, information, presentation, quality
 from tidewatt.plans.activity import ActivityStore
+from tidewatt.plans.incremental import IncrementalTotals, LoadReport
 from tidewatt.plans.metrics import MetricLayer
 from tidewatt.plans.vault_models import (
     MODELS,
@@ -61,6 +62,7 @@ from tidewatt.sources.files import (
 )
 from tidewatt.sources.ledger import unseen_files
 from tidewatt.streaming import flows
+from tidewatt.streaming.merged import HourlyMerge, LivePricing, run_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOAD_TS = datetime(2024, 2, 1, tzinfo=UTC)
@@ -854,6 +856,113 @@ def stream_priced_all(spark: SparkSession, folder: str) -> DataFrame:
     return _hourly_prices(_landed_prices(spark, folder))
 
 
+def _in_files(frame: DataFrame, folder: str, files: int) -> None:
+    """``frame`` as ``files`` files that each hold rows of all times: arrival out of order."""
+    for number in range(files):
+        frame.where(F.pmod(F.xxhash64("event_id"), F.lit(files)) == number).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _file_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """One file to a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def stream_hourly_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals per event type, merged batch by batch from files out of order."""
+    base = work_folder(spark, "merged")
+    events = supplied.table(spark, folder, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("moment"), "event_type", F.col("value").cast("decimal(12,5)").alias("amount")
+    )
+    _in_files(events, f"{base}/in", 4)
+    hourly = HourlyMerge(f"{base}/hours", "moment", (("event_type", "string"),), (("amount", "decimal(38,5)"),))
+    run_batches(_file_stream(spark, f"{base}/in", events.schema), hourly.merge, f"{base}/checkpoint")
+    return hourly.read(spark)
+
+
+_LIVE_READINGS = (
+    ("event_id", "string"), ("meter_id", "string"), ("us_region", "string"), ("state_code", "string"),
+    ("event_time", "timestamp"), ("energy_kwh", "decimal(12,5)"),
+)
+
+
+def _live(spark: SparkSession, folder: str) -> LivePricing:
+    """Two runs of one stream of readings; a third of the tariffs arrive between them."""
+    base = work_folder(spark, "live")
+    prices = supplied.prices(spark, folder).select("price_id", "state_code", "us_region", "effective_from", "price_per_kwh")
+    readings = supplied.readings(spark, folder).select(*[name for name, _ in _LIVE_READINGS])
+    late = F.col("price_id").cast("bigint") % 3 == 0
+
+    def tariffs(session: SparkSession) -> DataFrame:
+        known = session.read.schema(prices.schema).parquet(f"{base}/prices")
+        intervals = effective_intervals(known, ["state_code"], "effective_from", "effective_to")
+        return intervals.withColumnRenamed("effective_from", "price_effective_from")
+
+    totals = IncrementalTotals(
+        f"{base}/totals", "event_id", "event_time", (("meter_id", "string"), ("state_code", "string")),
+        (("energy_kwh", "decimal(12,5)"), ("usage_revenue", "decimal(18,4)")), fixed_moment=True,
+    )
+    live = LivePricing(
+        f"{base}/live", totals, _LIVE_READINGS, tariffs,
+        lambda rows: rows.withColumn("usage_revenue", F.round(F.col("energy_kwh") * F.col("price_per_kwh"), 4)),
+    )
+    halves = [F.pmod(F.xxhash64("event_id"), F.lit(2)) == half for half in (0, 1)]
+    for half, arriving in enumerate((~late, late)):
+        prices.where(arriving).write.mode("append").parquet(f"{base}/prices")
+        readings.where(halves[half]).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        run_batches(_file_stream(spark, f"{base}/in", readings.schema), live.process, f"{base}/checkpoint")
+    return live
+
+
+def stream_repriced(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals per meter and state: late tariffs have re-priced the hours they touch."""
+    hours = _live(spark, folder).totals.read_hours(spark)
+    return hours.select(
+        F.col("period_hour").alias("reading_hour"), "meter_id", "state_code", "energy_kwh", "usage_revenue",
+        F.col("n_rows").alias("reading_count"),
+    )
+
+
+# Incremental totals -------------------------------------------------------------------------
+
+
+def _billed(spark: SparkSession, folder: str) -> DataFrame:
+    return _priced(spark, folder).select("event_id", "meter_id", "state_code", "event_time", "energy_kwh", "usage_revenue")
+
+
+def _two_loads(spark: SparkSession, folder: str) -> tuple[IncrementalTotals, list[LoadReport]]:
+    """First nine tenths of the rows before 20 January; then the rest, late rows among them, and
+    corrections of a seventh of the first: more energy, and 30 hours later for some."""
+    totals = IncrementalTotals(
+        work_folder(spark, "totals"), "event_id", "event_time", (("meter_id", "string"), ("state_code", "string")),
+        (("energy_kwh", "decimal(12,5)"), ("usage_revenue", "decimal(18,4)")),
+    )
+    rows = stored(_billed(spark, folder), "billed")
+    number, early = F.col("event_id").cast("bigint"), F.col("event_time") < F.lit("2024-01-20").cast("timestamp")
+    corrected, moved = early & (number % 7 == 0), early & (number % 35 == 0)
+    final = rows.select(
+        "event_id", "meter_id", "state_code",
+        F.when(moved, F.col("event_time") + F.expr("interval 30 hour")).otherwise(F.col("event_time")).alias("event_time"),
+        (F.col("energy_kwh") + F.when(corrected, 1).otherwise(0)).cast("decimal(12,5)").alias("energy_kwh"),
+        "usage_revenue",
+        (~early | (number % 10 == 0) | corrected).alias("second"),
+    )
+    first = totals.load(rows.where(early & (number % 10 != 0)))
+    second = totals.load(final.where("second"))
+    return totals, [first, second]
+
+
+def incremental_billing(spark: SparkSession, folder: str) -> DataFrame:
+    """All five grains after both loads: equal to totals over the final rows."""
+    return _two_loads(spark, folder)[0].read(spark)
+
+
+def incremental_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """What each load touched and how many rows it summed again."""
+    _, reports = _two_loads(spark, folder)
+    found = [(n, r.touched_hours, r.rows_summed, r.touched_periods) for n, r in enumerate(reports, 1)]
+    return spark.createDataFrame(found, "load int, touched_hours bigint, rows_summed bigint, touched_periods bigint")
+
+
 # Jobs on raw files --------------------------------------------------------------------------
 
 
@@ -1154,6 +1263,10 @@ QUERIES: dict[str, Query] = {
     "stream_dedupe": stream_dedupe,
     "stream_priced": stream_priced,
     "stream_priced_all": stream_priced_all,
+    "stream_hourly_merged": stream_hourly_merged,
+    "stream_repriced": stream_repriced,
+    "incremental_billing": incremental_billing,
+    "incremental_loads": incremental_loads,
     "job_backfill_readings": job_backfill_readings,
     "job_warehouse_readings": job_warehouse_readings,
     "job_warehouse_prices": job_warehouse_prices,

@@ -24,7 +24,7 @@ class JdbcStaging:
 
     def __post_init__(self) -> None:
         if self.batch_size < 1:
-            raise ValueError("batch_size must be greater than zero")
+            raise ValueError("a batch holds one row at least")
 
     def options(self) -> dict[str, str]:
         return {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,10 +109,15 @@ class SnapshotTable:
         keys: Sequence[str],
         keep_first_by: Sequence[str] = (),
         small_batch: bool = False,
+        within: Column | None = None,
     ) -> MergeStats:
-        """Append rows whose key is absent. A repeated run appends nothing."""
+        """Append rows whose key is absent. A repeated run appends nothing.
+
+        ``within`` names the part of the table that can hold the source's keys, if not all of it.
+        """
         spark = source.sparkSession
-        rows = rows_to_insert(self.read(spark), source, keys, keep_first_by, small_batch)
+        held = self.read(spark) if within is None else self.read(spark).where(within)
+        rows = rows_to_insert(held, source, keys, keep_first_by, small_batch)
         if self.checks:
             # Read by the checks and by the append: computed once.
             rows = stored(rows, "new-rows")
