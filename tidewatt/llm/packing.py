@@ -26,12 +26,12 @@ from tidewatt.llm.common import as_bytes, documents, kept, mixed, slices
 CAPACITY = 2048
 SEPARATOR = 0
 #: Stretches that a worker remembers, about 40 bytes each, and the longest of them in bytes.
-KNOWN_WORDS, LONGEST = 1_500_000, 64
+KNOWN_WORDS, LONGEST = 1_000_000, 64
 WORDS_AT_ONCE = 1000
 #: Bytes of text whose stretches are held at a time.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 19
 #: Pieces that one ranking task group holds; hot lengths are cut into as many groups as needed.
-GROUP_ROWS = 512
+GROUP_ROWS = 128
 #: Fillings that the search looks at or lays, if best fit does not meet the bound.
 STEPS = 200_000
 
@@ -262,6 +262,8 @@ def pieces(docs: DataFrame, path: str, capacity: int, id_column: str, text_colum
                 ],
                 names=list(names),
             )
+        # Workers outlive their tasks: what follows should find their memory free.
+        words.start_again()
 
     return source.mapInArrow(cut, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
