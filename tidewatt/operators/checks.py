@@ -16,14 +16,17 @@ Tables = Mapping[str, DataFrame]
 class Check:
     """A named check on one table.
 
-    ``predicate`` marks violating rows of row-level checks, which share one scan per table;
-    ``rows`` builds the violating rows of the others.
+    ``predicate`` marks violating rows of row-level checks; ``rows`` builds the violating rows of
+    the others. ``key`` names the columns of a check on key values, and ``parent`` the (table,
+    column) in which each of them must occur; without it they must be unique.
     """
 
     name: str
     table: str
     predicate: Callable[[], Column] | None = None
     rows: Callable[[Tables], DataFrame] | None = None
+    key: tuple[str, ...] = ()
+    parent: tuple[str, str] | None = None
 
     def violations(self, tables: Tables) -> DataFrame:
         if self.predicate is not None:
@@ -76,7 +79,7 @@ def unique(table: str, *columns: str) -> Check:
             .filter("n_records > 1")
         )
 
-    return Check(f"unique:{'+'.join(columns)}", table, rows=repeated)
+    return Check(f"unique:{'+'.join(columns)}", table, rows=repeated, key=columns)
 
 
 def relationship(table: str, column: str, parent: str, parent_column: str) -> Check:
@@ -88,7 +91,9 @@ def relationship(table: str, column: str, parent: str, parent_column: str) -> Ch
         parents = tables[parent].select(F.col(parent_column).alias(column))
         return counted.join(parents, column, "left_anti")
 
-    return Check(f"relationship:{column}->{parent}", table, rows=orphans)
+    return Check(
+        f"relationship:{column}->{parent}", table, rows=orphans, key=(column,), parent=(parent, parent_column)
+    )
 
 
 def ghost_records(keys: Mapping[str, str], sources: Sequence[str] = ("SYSTEM", "ERROR")) -> Check:
@@ -115,34 +120,94 @@ def matched(table: str, key: str, other: str, columns: Sequence[str], name: str)
     return Check(name, table, rows=unmatched)
 
 
+def _spots(check: Check) -> list[tuple[str, tuple[str, ...]]]:
+    """The (table, columns) whose values a key check looks at."""
+    own = [(check.table, check.key)]
+    return own if check.parent is None else [*own, (check.parent[0], (check.parent[1],))]
+
+
+def _key_groups(checks: Sequence[Check]) -> dict[tuple[str, tuple[str, ...]], int]:
+    """A group number per (table, columns): those that a relationship compares share one."""
+    group: dict[tuple[str, tuple[str, ...]], int] = {}
+    for number, check in enumerate(checks):
+        spots = _spots(check)
+        joined = {group[spot] for spot in spots if spot in group}
+        group.update({spot: number for spot, held in group.items() if held in joined})
+        group.update(dict.fromkeys(spots, number))
+    return group
+
+
+def _value(columns: tuple[str, ...]) -> Column:
+    """A key as text. A single NULL is no key; a combination may hold some."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    return F.to_json(F.struct(*columns))
+
+
+def _key_counts(checks: Sequence[Check], tables: Tables) -> DataFrame:
+    """One row: how many key values violate each check.
+
+    Every table is scanned once and gives the values of all its checked columns; all values meet in
+    one shuffle, by their group and text. A value then knows how often each column holds it, which
+    answers uniqueness and relationships alike. Counts are combined before the shuffle, so a value
+    that a third of all rows share costs a row per task.
+    """
+    group = _key_groups(checks)
+    number = {spot: n for n, spot in enumerate(group)}
+    parts = []
+    for table in dict.fromkeys(table for table, _ in group):
+        own = [spot for spot in group if spot[0] == table]
+        values = [
+            F.struct(F.lit(group[spot]).alias("family"), F.lit(number[spot]).alias("spot"), _value(spot[1]).alias("value"))
+            for spot in own
+        ]
+        parts.append(tables[table].select(F.inline(F.array(*values))))
+    seen = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
+    counted = seen.groupBy("family", "value").agg(
+        *[F.count_if(F.col("spot") == n).alias(f"n{n}") for n in number.values()]
+    )
+
+    def broken(check: Check) -> Column:
+        spots = [F.col(f"n{number[spot]}") for spot in _spots(check)]
+        return spots[0] > 1 if check.parent is None else (spots[0] > 0) & (spots[1] == 0)
+
+    return counted.agg(*[F.count_if(broken(check)).alias(f"c{i}") for i, check in enumerate(checks)])
+
+
+def _labelled(counts: DataFrame, table: Callable[[Check], str], checks: Sequence[Check], prefix: str) -> DataFrame:
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(table(check)).alias("table_name"),
+                F.lit(check.name).alias("check_name"),
+                F.col(f"{prefix}{i}").alias("violations"),
+            )
+            for i, check in enumerate(checks)
+        ]
+    )
+    return counts.select(F.inline(rows))
+
+
 def run_checks(checks: Sequence[Check], tables: Tables) -> DataFrame:
-    """(table, check, violations) for every check. Row-level checks of a table are counted in
-    one aggregate, so a table with ten of them is scanned once."""
-    grouped: dict[str, list[Check]] = {}
+    """(table, check, violations) for every check.
+
+    Row-level checks of a table are counted in one aggregate; all checks on key values share one
+    scan per table and one shuffle. The others run one by one.
+    """
     parts = []
+    by_table: dict[str, list[Check]] = {}
+    keyed = [check for check in checks if check.key]
     for check in checks:
         if check.predicate is not None:
-            grouped.setdefault(check.table, []).append(check)
-        else:
-            parts.append(
-                check.violations(tables).agg(F.count(F.lit(1)).alias("violations")).select(
-                    F.lit(check.table).alias("table_name"),
-                    F.lit(check.name).alias("check_name"),
-                    "violations",
-                )
-            )
-    for table, members in grouped.items():
+            by_table.setdefault(check.table, []).append(check)
+        elif not check.key:
+            found = check.violations(tables).agg(F.count(F.lit(1)).alias("n0"))
+            parts.append(_labelled(found, lambda c: c.table, [check], "n"))
+    for table, members in by_table.items():
         counts = tables[table].agg(
             *[F.count_if(check.predicate()).alias(f"n{i}") for i, check in enumerate(members)]
         )
-        pairs = F.array(
-            *[
-                F.struct(
-                    F.lit(check.name).alias("check_name"),
-                    F.col(f"n{i}").alias("violations"),
-                )
-                for i, check in enumerate(members)
-            ]
-        )
-        parts.append(counts.select(F.lit(table).alias("table_name"), F.inline(pairs)))
+        parts.append(_labelled(counts, lambda c: c.table, members, "n"))
+    if keyed:
+        parts.append(_labelled(_key_counts(keyed, tables), lambda c: c.table, keyed, "c"))
     return reduce(DataFrame.unionByName, parts)

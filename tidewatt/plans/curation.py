@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
@@ -20,6 +20,7 @@ from tidewatt.contracts import (
     UUID_PATTERN,
 )
 from tidewatt.functions.calendar import instant, partition_fields
+from tidewatt.operators.checks import Check, accepted_range, not_null, unique
 from tidewatt.operators.keyed import first_by_key
 from tidewatt.operators.mapping import ColumnMapping, map_columns
 from tidewatt.operators.validation import (
@@ -375,13 +376,26 @@ def _table_schema(fields, extra: str, partition_by) -> T.StructType:
     return T.StructType.fromDDL(", ".join(columns))
 
 
+def _constraints(fields, extra: Sequence[str], keys: Sequence[Sequence[str]]) -> tuple[Check, ...]:
+    """Every column is there and every key occurs once among the rows of a load.
+
+    That no key is in the table already is what the merges see to.
+    """
+    required = [name for name, _, _ in fields] + [*extra, "load_datetime"]
+    return (*[not_null("new_rows", name) for name in required], *[unique("new_rows", *key) for key in keys])
+
+
 def readings_table(path: str, partition_by: tuple[str, ...] = PARTITIONS) -> SnapshotTable:
     extra = "bucket_name string, object_key string, source_line_number int, record_source string"
-    return SnapshotTable(path, _table_schema(READING_FIELDS, extra, partition_by), partition_by)
+    names = [part.split()[0] for part in extra.split(", ")]
+    checks = _constraints(READING_FIELDS, names, [("event_id",)])
+    return SnapshotTable(path, _table_schema(READING_FIELDS, extra, partition_by), partition_by, checks)
 
 
 def prices_table(path: str, partition_by: tuple[str, ...] = PARTITIONS) -> SnapshotTable:
-    return SnapshotTable(path, _table_schema(PRICE_FIELDS, "", partition_by), partition_by)
+    checks = _constraints(PRICE_FIELDS, (), [("price_id",), ("state_code", "effective_from")])
+    checks += (accepted_range("new_rows", "price_per_kwh", 0),)
+    return SnapshotTable(path, _table_schema(PRICE_FIELDS, "", partition_by), partition_by, checks)
 
 
 def incremental(run: JobRun, run_id: str, load_ts: datetime) -> JobRun:

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatt.functions.arithmetic import rounded_ratio, scaled
-from tidewatt.functions.calendar import date_key, day_part, iso_day_of_week
+from tidewatt.functions.calendar import GRAIN_NAMES, date_key, day_part, iso_day_of_week
 from tidewatt.functions.hashing import surrogate_key
-from tidewatt.operators.calendar import time_spine
+from tidewatt.operators.calendar import SPINE_END, SPINE_START, time_spine
 from tidewatt.operators.rollup import PERIOD, periodic_totals
 
 # Fixed value: modelled tax.
 TAX_RATE, GROSS_RATE = "0.05", "1.05"
 
 
-def dim_date(spark: SparkSession) -> DataFrame:
+def dim_date(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_END) -> DataFrame:
     day = F.col("date_day")
     weekday = iso_day_of_week(day)
-    return time_spine(spark, "day").select(
+    return time_spine(spark, "day", start, end).select(
         date_key(day).alias("date_key"),
         day.alias("calendar_date"),
         F.year(day).alias("calendar_year"),
@@ -30,10 +32,16 @@ def dim_date(spark: SparkSession) -> DataFrame:
     )
 
 
+def with_dates(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """A fact with the attributes of its ``date_key``; rows outside the calendar keep their place
+    with empty attributes instead of vanishing."""
+    return fact.join(dates, "date_key", "left")
+
+
 def dim_time(spark: SparkSession) -> DataFrame:
     hour = F.col("time_key")
-    hours = time_spine(spark, "hour").select(F.hour("date_hour").alias("time_key")).distinct()
-    return hours.select(
+    day = time_spine(spark, "hour", SPINE_START, SPINE_START.replace("01-01", "01-02"))
+    return day.select(F.hour("date_hour").alias("time_key")).select(
         "time_key",
         F.format_string("%02d:00:00", hour).alias("hour_start"),
         F.format_string("%02d:00", hour).alias("hour_label"),
@@ -102,7 +110,9 @@ def fact_hourly_energy_billing(priced: DataFrame) -> DataFrame:
     )
 
 
-def mart_meter_operations(fact: DataFrame, meters: DataFrame) -> DataFrame:
+def mart_meter_operations(
+    fact: DataFrame, meters: DataFrame, grains: Sequence[str] = GRAIN_NAMES
+) -> DataFrame:
     """Operational totals per grain, period and meter. ``fact`` is fact_meter_reading."""
     totals = periodic_totals(
         fact,
@@ -111,6 +121,7 @@ def mart_meter_operations(fact: DataFrame, meters: DataFrame) -> DataFrame:
         {"energy_kwh": "energy_kwh", "voltage_sum": "voltage_v",
          "power_factor_sum": "power_factor"},
         count="reading_count",
+        grains=grains,
     )
     dims = meters.select("meter_key", "meter_id", "us_region", "state_code")
     return totals.join(dims, "meter_key").select(
@@ -119,7 +130,9 @@ def mart_meter_operations(fact: DataFrame, meters: DataFrame) -> DataFrame:
     )
 
 
-def mart_executive_billing(fact: DataFrame, meters: DataFrame, zones: DataFrame) -> DataFrame:
+def mart_executive_billing(
+    fact: DataFrame, meters: DataFrame, zones: DataFrame, grains: Sequence[str] = GRAIN_NAMES
+) -> DataFrame:
     """Billing totals per grain, period, meter and currency. ``fact`` is the hourly fact.
 
     The zone is looked up before the totals because its currency is a group column; rows without
@@ -132,6 +145,7 @@ def mart_executive_billing(fact: DataFrame, meters: DataFrame, zones: DataFrame)
         "reading_hour",
         ["meter_key", "currency_code", "__zoned"],
         {"energy_kwh": "energy_kwh", "net_revenue": "usage_revenue"},
+        grains=grains,
     ).filter("__zoned")
     dims = meters.select("meter_key", "meter_id", "us_region", "state_code")
     net, energy = F.col("net_revenue"), F.col("energy_kwh")

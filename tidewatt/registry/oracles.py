@@ -530,10 +530,10 @@ _REVENUE_RATIO = (
 
 def _spine_sql(grain: str) -> str:
     return f"""
-    SELECT s.period, CAST(coalesce(c.n, 0) AS BIGINT) AS n_readings
+    SELECT period, CAST(coalesce(c.n, 0) AS BIGINT) AS n_readings
     FROM (SELECT unnest(generate_series(TIMESTAMP '2020-01-01',
               TIMESTAMP '2036-01-01' - INTERVAL 1 {grain}, INTERVAL 1 {grain})) AS period) s
-    LEFT JOIN (SELECT date_trunc('{grain}', event_time) AS period, count(*) AS n
+    FULL JOIN (SELECT date_trunc('{grain}', event_time) AS period, count(*) AS n
                FROM readings GROUP BY 1) c USING (period)"""
 
 
@@ -711,7 +711,17 @@ STATEMENTS: dict[str, str] = {
     SELECT date_key, strftime(calendar_date, '%Y-%m-%d') AS calendar_date, calendar_year,
            calendar_quarter, calendar_month, month_name, iso_day_of_week, is_weekend,
            CAST(count(*) AS BIGINT) AS n_readings, CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh
-    FROM fact_meter_reading JOIN dim_date USING (date_key) GROUP BY ALL""",
+    FROM fact_meter_reading LEFT JOIN dim_date USING (date_key) GROUP BY ALL""",
+    "dim_date_orders": """
+    SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key, CAST(count(*) AS BIGINT) AS n_orders,
+           CASE WHEN inside THEN strftime(o_orderdate, '%Y-%m-%d') END AS calendar_date,
+           CASE WHEN inside THEN CAST(year(o_orderdate) AS INTEGER) END AS calendar_year,
+           CASE WHEN inside THEN CAST(quarter(o_orderdate) AS INTEGER) END AS calendar_quarter,
+           CASE WHEN inside THEN CAST(month(o_orderdate) AS INTEGER) END AS calendar_month,
+           CASE WHEN inside THEN monthname(o_orderdate) END AS month_name,
+           CASE WHEN inside THEN CAST(isodow(o_orderdate) AS INTEGER) END AS iso_day_of_week,
+           CASE WHEN inside THEN isodow(o_orderdate) IN (6, 7) END AS is_weekend
+    FROM (SELECT *, year(o_orderdate) BETWEEN 1996 AND 1998 AS inside FROM orders) GROUP BY ALL""",
     "dim_time": """
     SELECT time_key, hour_start, hour_label, day_part, CAST(count(*) AS BIGINT) AS n_readings,
            CAST(sum(energy_kwh) AS DOUBLE) AS energy_kwh
@@ -1003,6 +1013,36 @@ STATEMENTS: dict[str, str] = {
            'smart_meter_raw_to_curated' AS error_stage, reason,
            CAST(count(*) AS BIGINT) AS n_records
     FROM (SELECT k, unnest(reasons) AS reason FROM raw_reasons) GROUP BY ALL""",
+    "job_summaries": """
+    SELECT 'smart_meter_raw_to_curated' AS job, 'run-1' AS run_id, 'incremental' AS processing_mode,
+           CAST(1 AS BIGINT) AS processed_batches, CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(*) FILTER (WHERE k = 6) AS BIGINT) AS malformed,
+           CAST(count(*) FILTER (WHERE k <> 6 AND len(reasons) > 0) AS BIGINT) AS rejected
+    FROM raw_reasons
+    UNION ALL SELECT 'smart_meter_raw_to_curated', 'run-2', 'incremental', 0, 0, 0, 0""",
+    "job_ledger": """
+    SELECT 'raw' AS stage, 'run-' || batch AS job_run_id, TIMESTAMP '2024-02-01' AS completed_at,
+           CAST(count(DISTINCT date_trunc('day', effective_from)) AS BIGINT) AS n_files,
+           CAST(count(DISTINCT date_trunc('day', effective_from)) AS BIGINT) AS n_distinct
+    FROM price_records GROUP BY batch""",
+    "job_source_files": """
+    SELECT strftime(ts, '%Y-%m-%d') AS source_day, CAST(count(*) AS BIGINT) AS n_records,
+           CAST(0 AS BIGINT) AS max_line
+    FROM raw_reasons WHERE len(reasons) = 0 GROUP BY 1""",
+    "stream_landing": """
+    SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+           CAST(hour(ts) AS INTEGER) AS hour, CAST(count(*) AS BIGINT) AS n_records,
+           CAST(count(DISTINCT meter_id) AS BIGINT) AS n_meters
+    FROM raw_records WHERE k <> 6 GROUP BY ALL""",
+    "stream_error_landing": """
+    SELECT 'processing-failed' AS error_type, 2024 AS year, 2 AS month, 1 AS day, 13 AS hour,
+           CAST(count(*) AS BIGINT) AS n_records, CAST(count(*) AS BIGINT) AS n_whole
+    FROM raw_records WHERE k = 6""",
+    "source_readings": f"""
+    SELECT event_id, schema_version, meter_id, us_region, state_code, event_time,
+           {_dbl('energy_kwh', 'voltage_v', 'current_a', 'power_factor')}, 'events' AS bucket_name,
+           substr(record_source, 8) AS object_key, CAST(0 AS INTEGER) AS source_line_number, record_source, load_datetime
+    FROM readings""",
     "job_partition_inventory": """
     SELECT DISTINCT 'meter-readings/' || strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H')
         AS partition

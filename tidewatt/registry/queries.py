@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatt.contracts import PRICE_FIELDS, READING_FIELDS, STATES
-from tidewatt.functions.calendar import GRAINS
+from tidewatt.functions.calendar import GRAIN_NAMES, GRAINS, date_key
 from tidewatt.functions.geography import region_of
 from tidewatt.functions.hashing import hash_diff
 from tidewatt.operators.asof import LEVEL, asof_join, dyadic_blocks, effective_intervals, with_level
@@ -57,10 +57,12 @@ from tidewatt.sinks.tables import stored
 from tidewatt.sources import supplied
 from tidewatt.sources.files import (
     RAW_PARTITION,
+    folder_day,
     list_files,
     partition_inventory,
 )
 from tidewatt.sources.ledger import unseen_files
+from tidewatt.sources.tables import source_meter_readings, table_source
 from tidewatt.streaming import flows
 from tidewatt.streaming.merged import HourlyMerge, LivePricing, run_batches
 
@@ -519,7 +521,16 @@ def dim_date_readings(spark: SparkSession, folder: str) -> DataFrame:
     counts = _reading_fact(spark, folder).groupBy("date_key").agg(
         F.count(F.lit(1)).alias("n_readings"), F.sum("energy_kwh").alias("energy_kwh")
     )
-    return counts.join(presentation.dim_date(spark), "date_key")
+    return presentation.with_dates(counts, presentation.dim_date(spark))
+
+
+def dim_date_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by date attributes: none of them lies in the default calendar, so it is given the
+    years 1996 to 1998; orders of other years stay, without attributes."""
+    counts = supplied.table(spark, folder, "orders").groupBy(date_key(F.col("o_orderdate")).alias("date_key")).agg(
+        F.count(F.lit(1)).alias("n_orders")
+    )
+    return presentation.with_dates(counts, presentation.dim_date(spark, "1996-01-01", "1999-01-01"))
 
 
 def dim_time_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -531,31 +542,34 @@ def dim_time_readings(spark: SparkSession, folder: str) -> DataFrame:
 
 def _spine(grain: str, column: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        """Calendar periods from the first reading on, with the readings of each."""
+        """All periods of the calendar, and those that hold readings outside it, with the readings
+        of each."""
         period = F.date_trunc(grain, "event_time").alias("__period")
         counts = supplied.readings(spark, folder).groupBy(period).agg(
             F.count(F.lit(1)).alias("n_readings")
         )
         spine = time_spine(spark, grain).select(F.col(column).cast("timestamp").alias("period"))
-        return spine.join(counts, F.col("period") == F.col("__period"), "left").select(
-            "period", F.coalesce("n_readings", F.lit(0)).alias("n_readings")
+        both = spine.join(counts, F.col("period") == F.col("__period"), "full_outer")
+        return both.select(
+            F.coalesce("period", "__period").alias("period"), F.coalesce("n_readings", F.lit(0)).alias("n_readings")
         )
 
     return run
 
 
-def _operations(spark: SparkSession, folder: str) -> DataFrame:
+def _operations(spark: SparkSession, folder: str, grains=GRAIN_NAMES) -> DataFrame:
     return presentation.mart_meter_operations(
-        _reading_fact(spark, folder), _meters(spark, folder)
+        _reading_fact(spark, folder), _meters(spark, folder), grains
     )
 
 
-def _billing(spark: SparkSession, folder: str) -> DataFrame:
+def _billing(spark: SparkSession, folder: str, grains=GRAIN_NAMES) -> DataFrame:
     """The hourly fact is a stored table, as the mart reads it twice."""
     return presentation.mart_executive_billing(
         stored(_hourly_fact(spark, folder), "hourly-fact"),
         _meters(spark, folder),
         _zones(spark, folder),
+        grains,
     )
 
 
@@ -568,9 +582,9 @@ def _shipped(spark: SparkSession, folder: str):
     )
 
 
-def mart_billing_shipped(spark: SparkSession, folder: str) -> DataFrame:
-    """The billing mart over seven years of shipments, in all five grains."""
-    return presentation.mart_executive_billing(*_shipped(spark, folder))
+def mart_billing_shipped(spark: SparkSession, folder: str, grains=GRAIN_NAMES) -> DataFrame:
+    """The billing mart over seven years of shipments, in all five grains unless told otherwise."""
+    return presentation.mart_executive_billing(*_shipped(spark, folder), grains)
 
 
 # Metrics and charts -------------------------------------------------------------------------
@@ -597,11 +611,12 @@ def _metrics(metrics, group_by=(), where=None) -> Query:
 
 
 def _chart(name: str, mart: Query, grain: str, start=None, end=None) -> Query:
-    return lambda spark, folder: charts.chart(name, mart(spark, folder), grain, start, end)
+    """A chart asks the mart for its own grain only."""
+    return lambda spark, folder: charts.chart(name, mart(spark, folder, (grain,)), grain, start, end)
 
 
 def _totals(names: tuple[str, ...], mart: Query, grain: str) -> Query:
-    return lambda spark, folder: charts.totals(mart(spark, folder), names, grain)
+    return lambda spark, folder: charts.totals(mart(spark, folder, (grain,)), names, grain)
 
 
 def chart_grain_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -718,7 +733,9 @@ def check_core(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_vault(spark: SparkSession, folder: str) -> DataFrame:
-    return run_checks(quality.vault_checks(), _vault(spark, folder))
+    """Over stored vault tables, as many checks read each."""
+    vault = {name: stored(table, name) for name, table in _vault(spark, folder).items()}
+    return run_checks(quality.vault_checks(), vault)
 
 
 def check_information(spark: SparkSession, folder: str) -> DataFrame:
@@ -1011,12 +1028,12 @@ def _curated(spark: SparkSession, folder: str) -> dict[str, str]:
         .text(lake["raw"])
     )
     run = curation.JobRun(
-        "run-1", LOAD_TS, ledger=curation.FileLedger(lake["ledger"], "raw-readings")
+        "run-1", LOAD_TS, ledger=curation.FileLedger(lake["ledger"], "raw-readings"), run_log=f"{base}/runs"
     )
     curation.raw_to_curated(
         spark, curation.RAW_READING_STREAM, run, lake["raw"], lake["curated"], lake["errors"]
     )
-    return lake
+    return {**lake, "runs": f"{base}/runs"}
 
 
 def job_backfill_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -1141,6 +1158,78 @@ def job_quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def job_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """The run log after an incremental run and one that finds no new file."""
+    lake = _curated(spark, folder)
+    again = curation.JobRun(
+        "run-2", LOAD_TS, ledger=curation.FileLedger(lake["ledger"], "raw-readings"), run_log=lake["runs"]
+    )
+    curation.raw_to_curated(
+        spark, curation.RAW_READING_STREAM, again, lake["raw"], lake["curated"], lake["errors"]
+    )
+    fields = "job string, run_id string, processing_mode string, processed_batches bigint, rows bigint, malformed bigint, rejected bigint"
+    return spark.read.schema(fields).json(lake["runs"]).withColumnRenamed("rows", "n_rows")
+
+
+def job_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files that each run has put into the ledger: every file once."""
+    lake, _ = _loaded_prices(spark, folder)
+    ledger = spark.read.parquet(lake["ledger"]).filter("stage = 'raw'")
+    return ledger.groupBy("stage", "job_run_id", "completed_at").agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_distinct("object_uri").alias("n_distinct")
+    )
+
+
+def job_source_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Curated rows by the day folder of the file that each came from."""
+    curated = spark.read.parquet(_curated(spark, folder)["curated"])
+    return curated.groupBy(folder_day(F.col("record_source")).alias("source_day")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.max("raw_line_number").alias("max_line")
+    )
+
+
+def _raw_lines(spark: SparkSession, folder: str, purpose: str) -> str:
+    base = work_folder(spark, purpose)
+    _raw_records(spark, folder).select("value").write.text(f"{base}/in")
+    return base
+
+
+def _reading_lines(spark: SparkSession, base: str) -> DataFrame:
+    names = [mapping.source for mapping in curation.RAW_READINGS.mappings]
+    return flows.ndjson_stream(spark, f"{base}/in", names, flows.DEFAULT_BUFFER)
+
+
+def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records landed by the hour of their own time, started twice: nothing lands twice."""
+    base = _raw_lines(spark, folder, "landing")
+    for _ in range(2):
+        stream = _reading_lines(spark, base)
+        flows.start_landing(stream, "event_time", f"{base}/landed", f"{base}/checkpoint").awaitTermination()
+    landed = spark.read.json(f"{base}/landed")
+    return landed.groupBy("year", "month", "day", "hour").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_distinct("meter_id").alias("n_meters")
+    )
+
+
+def stream_error_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that are not JSON, below their error type and processing hour."""
+    base = _raw_lines(spark, folder, "error-landing")
+    moment = F.lit("2024-02-01 13:00:00").cast("timestamp")
+    for _ in range(2):
+        stream = _reading_lines(spark, base)
+        flows.start_error_landing(stream, f"{base}/errors", f"{base}/checkpoint", moment).awaitTermination()
+    return spark.read.json(f"{base}/errors").groupBy("error_type", "year", "month", "day", "hour").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_if(F.col("record").startswith("{oops ")).alias("n_whole")
+    )
+
+
+def source_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """The source-aligned table read back from its folder: its own columns and no others."""
+    path = work_folder(spark, "source")
+    supplied.readings(spark, folder).withColumn("internal_note", F.lit("x")).write.parquet(path)
+    return source_meter_readings(table_source(spark, path))
+
+
 def job_partition_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Hour folders of the raw zone."""
     base = work_folder(spark, "inventory")
@@ -1197,6 +1286,7 @@ QUERIES: dict[str, Query] = {
     "int_prices": int_prices,
     "int_priced": int_priced,
     "dim_date": dim_date_readings,
+    "dim_date_orders": dim_date_orders,
     "dim_time": dim_time_readings,
     "dim_meter": _meters,
     "dim_pricing_zone": _zones,
@@ -1273,6 +1363,12 @@ QUERIES: dict[str, Query] = {
     "job_price_counts": job_price_counts,
     "job_quarantine_reasons": job_quarantine_reasons,
     "job_partition_inventory": job_partition_inventory,
+    "job_summaries": job_summaries,
+    "job_ledger": job_ledger,
+    "job_source_files": job_source_files,
+    "stream_landing": stream_landing,
+    "stream_error_landing": stream_error_landing,
+    "source_readings": source_readings,
 }
 
 
