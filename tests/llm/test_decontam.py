@@ -74,3 +74,11 @@ def test_short_items_nulls_repeats_and_blocks(spark, frame, monkeypatch):
     assert sorted(r.doc_id for r in clean.collect()) == [2, 3, 5] and clean.columns == frame(rows).columns
     assert leaks(frame([]), bench).count() == 0
     assert leaks(frame(rows), bench.limit(0)).count() == 0 and without_leaks(frame(rows), bench.limit(0)).count() == 7
+
+
+def test_item_ids_of_any_type(spark, frame):
+    text = " ".join(f"word{i}" for i in range(20))
+    docs = frame([(1, "before " + text + " after")])
+    for kind, value in (("int", 7), ("string", "seven"), ("long", 7), ("short", 7)):
+        items = spark.createDataFrame([(value, text)], f"item_id {kind}, text string")
+        assert [(r.item_id, r.distance) for r in leaks(docs, items).collect()] == [(value, 0)]

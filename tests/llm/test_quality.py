@@ -31,6 +31,21 @@ def test_passages_cover_whole_texts():
     assert np.isfinite(rows).all()
 
 
+def test_passages_are_cut_at_words():
+    """Each passage's bytes are those of its own words, whatever the words' lengths, by brute force."""
+    texts = [b"ab " * 64 + b"abcdefghijkl " * 64, b"", b"   x  ", b"\t", "é ".encode() * 70 + b"zz", b"y" * 300]
+    rows, owner = passages(texts)
+    at = 0
+    for number, text in enumerate(texts):
+        starts = [i for i in range(len(text)) if text[i] not in b" \t\n\x0b\x0c\r" and (i == 0 or text[i - 1] in b" \t\n\x0b\x0c\r")]
+        cuts = [0, *starts[64::64], len(text)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            counts = np.bincount(np.minimum(np.frombuffer(text[a:b], np.uint8), 127), minlength=128)
+            assert np.allclose(rows[at, :128], np.sqrt(counts / max(1, b - a)), atol=1e-6), (number, a, b)
+            at += 1
+    assert at == len(owner)
+
+
 def test_attention_finds_the_passage_that_decides():
     draw = np.random.default_rng(2)
     sizes = np.full(200, 6)
@@ -53,5 +68,7 @@ def test_held_out_accuracy(spark):
 def test_nulls_and_missing_labels(spark, frame):
     docs = frame([(1, None), (2, ""), (None, "x"), (3, "fine"), (3, "fine")])
     model = fit_quality(docs, spark.createDataFrame([(None, None, None), (1, 1, 0)], LABELS))
-    assert [r.score for r in quality_scores(docs.select("doc_id", "text"), model).collect()] == [0.5] * 5
-    assert quality_scores(frame([]).select("doc_id", "text"), fit_quality(frame([]), spark.createDataFrame([], LABELS))).count() == 0
+    scored = quality_scores(docs, model)
+    assert [r.score for r in scored.collect()] == [0.5] * 5
+    assert sorted(scored.columns) == ["doc_id", "id", "key", "node", "row", "score"]
+    assert quality_scores(frame([]), fit_quality(frame([]), spark.createDataFrame([], LABELS))).count() == 0

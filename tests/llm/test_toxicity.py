@@ -62,7 +62,7 @@ def test_held_out_accuracy(spark):
 def test_nulls_empty_tables_and_missing_labels(spark, frame):
     docs = frame([(1, None), (2, ""), (None, "you idiot, you moron, you scum. you idiot. you loser."), (3, "fine"), (3, "fine")])
     model = fit_toxicity(docs, spark.createDataFrame([(None, None, None), (1, 1, 0)], LABELS))
-    got = {r.doc_id: r.score for r in toxicity_scores(docs.select("doc_id", "text"), model).collect()}
+    got = {r.doc_id: r.score for r in toxicity_scores(docs.withColumnsRenamed({"id": "sum", "row": "most", "node": "rate"}), model).collect()}
     assert got[1] == got[2] == got[3] < 0.5 < got[None]
     kept = reject_toxic(docs, model).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2, 3, 3] and kept[0].node == "y"

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewatt.llm.common import as_bytes, documents, mixed, slices, table
 
@@ -228,6 +229,8 @@ def leaks(
     kinds = [T.StructField(id_column, source.schema["id"].dataType), T.StructField(item_column, benchmark.schema[item_column].dataType)]
     schema = T.StructType([*kinds, T.StructField("distance", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("end", T.LongType())])
 
+    item_type = to_arrow_type(benchmark.schema[item_column].dataType)
+
     def within(block: tuple) -> DataFrame:
         def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = item_index(block, max_edits)
@@ -241,7 +244,7 @@ def leaks(
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(at),
-                            pa.array([item for item, _ in items], pa.int64() if isinstance(schema[1].dataType, T.LongType) else None),
+                            pa.array([item for item, _ in items], item_type),
                             pa.array(distances, pa.int64()),
                             pa.array([1 - d / len(text) for d, (_, text) in zip(distances, items, strict=True)], pa.float64()),
                             pa.array([end for _, (_, end) in found], pa.int64()),

@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatt.llm.common import _SPACE as BLANK_BYTES
 from tidewatt.llm.common import as_bytes, documents, slices, table, word_hashes
 from tidewatt.llm.labels import held_out, labelled_sample, sigmoid
 
+#: Labelled texts that the model is fitted on, at the most; all their passages count.
 SAMPLE = 6_000
-#: Of a sampled document at most so many passages are used for fitting; scoring uses all.
-FIT_PASSAGES = 48
 PASSAGE_WORDS = 64
 THRESHOLD = 0.5
 BYTES, EXTRA = 128, 5
@@ -32,8 +32,8 @@ ENCODED, GATED = 16, 8
 def passages(texts: list[bytes], size: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows of all passages of ``size`` words, and the number of the text of each row.
 
-    Byte shares (one bin for all of UTF-8's upper half), length and variety of words. A text
-    without words is one passage.
+    Byte shares (one bin for all of UTF-8's upper half), length and variety of words. Bytes belong
+    to the passage of the word that they are in or follow. A text without words is one passage.
     """
     hashes, counts = word_hashes(texts)
     lengths = np.array([len(text) for text in texts], dtype=np.int64)
@@ -44,12 +44,20 @@ def passages(texts: list[bytes], size: int = PASSAGE_WORDS) -> tuple[np.ndarray,
     if not len(texts):
         return rows, owner
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    # Words and bytes of a text are dealt evenly to its passages.
-    word_at = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
+    first_word = np.cumsum(counts) - counts
+    word_at = np.arange(len(hashes)) - np.repeat(first_word, counts)
     word_passage = np.repeat(first, counts) + word_at // size
-    byte_at = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    share = np.maximum(1, -(-lengths // numbers))
-    byte_passage = np.repeat(first, lengths) + byte_at // np.repeat(share, lengths)
+    # A passage ends where the first word of the next one begins; bytes before any word open the first.
+    inside = ~BLANK_BYTES[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = (np.cumsum(lengths) - lengths)[lengths > 0]
+    begins[heads] = inside[heads]
+    word = np.cumsum(begins) - 1
+    text_of = np.repeat(np.arange(len(texts)), lengths)
+    within = word >= first_word[text_of]
+    byte_passage = first[text_of]
+    byte_passage[within] = word_passage[word[within]]
     bins = np.bincount(byte_passage * BYTES + np.minimum(data, BYTES - 1), minlength=len(owner) * BYTES)
     bins = bins.reshape(-1, BYTES)
     n_bytes = np.maximum(1, bins.sum(axis=1))
@@ -152,9 +160,9 @@ class AttentionModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE) -> AttentionModel:
-    """A model from at most ``sample_rows`` labelled texts with ``FIT_PASSAGES`` passages each.
+    """A model from at most ``sample_rows`` labelled texts, with all their passages.
 
-    Passages are encoded in Spark tasks; what reaches the driver is bounded by both parameters.
+    Passages are encoded in Spark tasks; the driver gets 266 bytes for every 64 words of the sample.
     Without labels of both kinds every text scores one half.
     """
     sample = labelled_sample(docs, labels, "quality", sample_rows, id_column, text_column).where("label IN (0, 1)")
@@ -166,9 +174,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
                 rows, owner = passages(texts[low:high])
                 out = []
                 for number in range(high - low):
-                    own = rows[owner == number]
-                    step = -(-len(own) // FIT_PASSAGES)
-                    out.append(own[::step].astype("<f2").tobytes())
+                    out.append(rows[owner == number].astype("<f2").tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(labels[low:high], pa.int32())], names=["rows", "label"])
 
     bags = sample.mapInArrow(encoded, "rows binary, label int").toPandas()
@@ -183,9 +189,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
 def quality_scores(docs: DataFrame, model: AttentionModel, text_column: str = "text") -> DataFrame:
     """``docs`` without the text and with ``score`` from 0 to 1; one row per row, nothing shuffled.
 
-    Null and empty texts are one passage without words. Every passage of a text counts.
+    Null and empty texts are one passage without words. Every passage of a text counts. A column
+    of ``docs`` that is called score gives way to the result.
     """
-    keep = [name for name in docs.columns if name != text_column]
+    keep = [name for name in docs.columns if name not in (text_column, "score")]
     schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

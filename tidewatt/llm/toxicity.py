@@ -272,16 +272,16 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text_column: str = "t
     """``docs`` with ``score`` from 0 to 1; one row per row, nothing shuffled.
 
     Null and empty texts match no clause and get the score of a text without matches. Every
-    clause of a text counts, however long it is. Columns of ``docs`` named like the features
-    must be left out by the caller.
+    clause of a text counts, however long it is. The text is left out; other columns may have any
+    names, and one that is called score gives way to the result.
     """
-    keep = [name for name in docs.columns if name != text_column]
-    features = clause_features(docs, model.lexicon, text_column, keep)
+    keep = {name: f"__own{number}" for number, name in enumerate(docs.columns) if name not in (text_column, "score")}
+    inner = docs.select(F.col(text_column).alias("__text"), *[F.col(name).alias(own) for name, own in keep.items()])
+    features = clause_features(inner, model.lexicon, "__text", list(keep.values()))
     one, two, three, base = map(F.lit, model.weights)
     logit = F.col("sum") * one + F.col("most") * two + F.col("rate") * three + base
-    return features.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), logit))))).drop(
-        "sum", "most", "rate"
-    )
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), logit))))
+    return features.select(*[F.col(own).alias(name) for name, own in keep.items()], score.alias("score"))
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
