@@ -17,6 +17,7 @@ from tidewatt.operators.vault import (
     stage,
 )
 from tidewatt.plans.vault_models import MODELS, PITS, load_pits, load_vault
+from tidewatt.plans.stored_pit import StoredPit
 from tidewatt.sources import supplied
 
 
@@ -163,3 +164,23 @@ def test_reload_adds_nothing(spark, small):
     pits = load_pits(spark, first, datetime(2024, 2, 1, 12, tzinfo=UTC))
     assert set(pits) == set(PITS)
     assert pits["pit_price"].count() == prices.count()
+
+
+def test_a_stored_pit_moves_on_as_a_rebuild_would(spark, tmp_path):
+    """Day by day: new keys, new versions, snapshots that come and go; equal to a rebuild each time."""
+    table = StoredPit(str(tmp_path / "pit"), "hk", "s", "hk_d", "day")
+    hubs = [("a", 1), ("b", 2), ("c", 4), ("d", 6)]
+    versions = [("a", 1), ("a", 3), ("b", 2), ("b", 5), ("c", 4), ("a", 6), ("d", 6), ("d", 7)]
+    moment = lambda day, hour=0: at(f"2026-01-{day:02d}T{hour:02d}:00:00")
+    for today in (2, 3, 3, 5, 7, 9):
+        keys = spark.createDataFrame([(k, "x") for k, day in hubs if day <= today], "hk string, extra string")
+        sat = spark.createDataFrame([(k, moment(day), "p") for k, day in versions if day <= today], "hk string, ldts timestamp, payload string")
+        kept = [d for d in range(1, today + 1) if d >= today - 2 or d == 1]
+        calendar = spark.createDataFrame([(moment(d, 6), d in kept) for d in range(1, 12)], "sdts timestamp, is_active boolean")
+        report = table.advance(keys, sat, calendar, "is_active")
+        rebuilt = pit(keys, "hk", {"s": sat}, calendar, "is_active", "hk_d", "day")
+        columns = ("hk_d", "hk", "sdts", "hk_s", "ldts_s")
+        assert rows(table.read(spark), *columns) == rows(rebuilt, *columns), today
+        assert not set(report.dropped) & {f"2026-01-{d:02d}" for d in kept}
+    assert report.added == ("2026-01-08", "2026-01-09") and report.dropped == ("2026-01-05", "2026-01-06")
+    assert table.advance(keys, sat, calendar, "is_active").rows_written == 0

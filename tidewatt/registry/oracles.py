@@ -684,6 +684,13 @@ STATEMENTS: dict[str, str] = {
     "sat_incremental": "SELECT * FROM sat_customer WHERE ldts >= TIMESTAMP '1998-01-01'",
     "snapshot_calendar": "SELECT sdts FROM control_snap_v0",
     "snapshot_flags": "SELECT sdts, is_active, is_latest FROM control_snap_v1",
+    "pit_incremental": """
+    SELECT md5(h.hk_customer_h || CAST(h.sdts AS VARCHAR)) AS hk_customer_d, h.hk_customer_h, h.sdts,
+           s.hk_customer_h AS hk_sat_customer, s.ldts AS ldts_sat_customer
+    FROM (SELECT DISTINCT c.hk_customer_h, q.sdts FROM customers c
+          JOIN quarters q ON q.sdts BETWEEN TIMESTAMP '1997-05-01' AND TIMESTAMP '1999-05-01'
+          WHERE c.ldts < TIMESTAMP '1999-05-01') h
+    ASOF LEFT JOIN sat_customer s ON h.hk_customer_h = s.hk_customer_h AND h.sdts >= s.ldts""",
     "pit_history": """
     SELECT hk_customer_d, hk_customer_h, sdts, hk_sat_customer, ldts_sat_customer
     FROM pit_customer""",

@@ -44,6 +44,7 @@ from tidewatt.plans import charts, curation, information, presentation, quality
 from tidewatt.plans.activity import ActivityStore
 from tidewatt.plans.incremental import IncrementalTotals, LoadReport
 from tidewatt.plans.metrics import MetricLayer
+from tidewatt.plans.stored_pit import StoredPit
 from tidewatt.plans.vault_models import (
     MODELS,
     PITS,
@@ -465,6 +466,21 @@ def pit_history(spark: SparkSession, folder: str) -> DataFrame:
     return _customer_pit(spark, folder)[0]
 
 
+def pit_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored point-in-time table moved on twice: quarters of two years are retained, customers
+    and versions keep arriving, and the quarters that drop out lose their folders."""
+    staged = stored(_customers(spark, folder), "customers")
+    table = StoredPit(work_folder(spark, "pit"), "hk_customer_h", "sat_customer", "hk_customer_d", "year")
+    for as_of in ("1997-02-01", "1997-08-01", "1999-05-01"):
+        now = F.lit(as_of).cast("timestamp")
+        known = staged.filter(F.col("ldts") < now)
+        quarters = staged.select(F.date_trunc("quarter", "ldts").alias("sdts")).distinct().withColumn(
+            "is_active", (F.col("sdts") <= now) & (F.col("sdts") >= now - F.expr("interval 24 month"))
+        )
+        table.advance(hub(known, "hk_customer_h", ["customer_id"]), _customer_satellite(known), quarters, "is_active")
+    return table.read(spark)
+
+
 def pit_asof_read(spark: SparkSession, folder: str) -> DataFrame:
     rows, sat = _customer_pit(spark, folder)
     return read_as_of(rows, sat, "sat_customer", "hk_customer_h").select(
@@ -1282,6 +1298,7 @@ QUERIES: dict[str, Query] = {
     **{name: _pit_table(name) for name in PITS},
     "pit_history": pit_history,
     "pit_asof_read": pit_asof_read,
+    "pit_incremental": pit_incremental,
     "int_readings": int_readings,
     "int_prices": int_prices,
     "int_priced": int_priced,
