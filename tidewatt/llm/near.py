@@ -356,6 +356,19 @@ def _hub_labels(links: DataFrame) -> DataFrame:
     return kept(least.join(above, "v", "left").select(F.col("u").alias("node"), F.coalesce("w", "v").alias("component")), "hub-labels")
 
 
+def _contracted(links: DataFrame) -> DataFrame:
+    """The same components in fewer edges: a node keeps its least hub, its other hubs join that one.
+
+    A node has a hub for each of its keys at most, so the groups are small; the pairs of hubs, which
+    many nodes repeat, are told apart before they are shuffled.
+    """
+    hubs = links.groupBy("u").agg(F.min("v").alias("least"), F.collect_set("v").alias("hubs"))
+    own = F.struct(F.col("u"), F.col("least").alias("v"))
+    others = F.transform("hubs", lambda hub: F.struct(hub.alias("u"), F.col("least").alias("v")))
+    pairs = hubs.select(F.explode(F.concat(F.array(own), others)).alias("pair")).select("pair.u", "pair.v")
+    return kept(pairs.where("u <> v").distinct(), "fewer-links")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -394,7 +407,7 @@ def near_duplicates(
     sets = kept(_sets(docs, wanted, words, id_column, text_column), "sets")
     links = kept(_confirmed(stars, sets, percent), "links")
     late = kept(_across(buckets, _hub_labels(links), classes, stars), "late-pairs")
-    links = links.unionByName(kept(_confirmed(late, sets, percent), "late-links"))
+    links = _contracted(links).unionByName(kept(_confirmed(late, sets, percent), "late-links"))
     labels = components(links)
     rest = kept(_rest(buckets, labels, classes, sets, percent), "rest-links")
     if not rest.isEmpty():
