@@ -28,6 +28,8 @@ HEADLINE = (
     "asof_priced_shuffle",
     "asof_priced_carry",
     "asof_after_last",
+    "asof_priced_dyadic",
+    "asof_dyadic",
     "hub_meter",
     "link_meter_reading",
     "sat_reading_metrics",
@@ -46,6 +48,7 @@ HEADLINE = (
     "check_combo",
     "chart_billing_trend_hour",
     "check_vault",
+    "distinct_meters_grains",
     "stream_hourly",
     "stream_priced",
 )
