@@ -42,6 +42,15 @@ def test_letters_that_composing_or_lowering_splits(tokenizer):
     same_ids(tokenizer, texts, IdTable(PATH))
 
 
+def test_settled_tables_keep_what_was_met_again(tokenizer):
+    table = IdTable(PATH)
+    same_ids(tokenizer, ["once upon", "twice told twice"] * 60 + ["twice new"], table)
+    before = sum(map(len, table.tables))
+    table.settle()
+    assert 0 < sum(map(len, table.tables)) < before
+    same_ids(tokenizer, ["twice told", "once upon a time", "x", ""] * 40, table)
+
+
 def test_long_stretches_and_many_chunks(tokenizer):
     draw = random.Random(8)
     words = ["".join(draw.choice("abcdeé.,'") for _ in range(draw.choice([1, 3, 8, 63, 64, 65, 300]))) for _ in range(400)]

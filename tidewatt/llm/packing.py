@@ -29,7 +29,7 @@ SEPARATOR = 0
 KNOWN_WORDS, LONGEST = 1_000_000, 64
 WORDS_AT_ONCE = 1000
 #: Bytes of text whose stretches are held at a time.
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 21
 #: Pieces that one ranking task group holds; hot lengths are cut into as many groups as needed.
 GROUP_ROWS = 128
 #: Fillings that the search looks at or lays, if best fit does not meet the bound.
@@ -129,6 +129,20 @@ class IdTable:
         joined = joined[np.argsort(joined["one"], kind="stable")]
         self.tables = [joined] if len(tables) == len(self.tables) + 1 else [self.tables[0], joined]
 
+    def settle(self) -> None:
+        """Keep what has been met again since it was learned, and give back the rest.
+
+        Workers outlive their tasks, and what they run next should find their memory free.
+        """
+        words = np.concatenate(self.tables)
+        words = words[words["again"]]
+        ids = self.pool[_ragged(words["start"], words["count"])]
+        words["start"] = np.cumsum(words["count"]) - words["count"]
+        words["again"] = False
+        words = words[np.argsort(words["one"], kind="stable")]
+        self.tables, self.pool, self.filled = [words], ids, len(ids)
+        _powers.clear()
+
     def start_again(self) -> None:
         self.tables, self.pool, self.filled = [np.empty(0, _WORD)], np.empty(0, np.uint32), 0
 
@@ -160,6 +174,7 @@ class IdTable:
                 at = np.minimum(np.searchsorted(words["one"], one[first]), len(words) - 1)
                 hit = (words["one"][at] == one[first]) & (words["two"][at] == two[first])
                 start[hit], count[hit] = words["start"][at[hit]], words["count"][at[hit]]
+                words["again"][at[hit]] = True
         missed = np.flatnonzero(count < 0)
         raw = lowered.tobytes()
         spans = zip(starts[first[missed]].tolist(), ends[first[missed]].tolist(), strict=True)
@@ -169,7 +184,7 @@ class IdTable:
         if len(short):
             words = np.empty(len(short), _WORD)
             words["one"], words["two"] = one[first[short]], two[first[short]]
-            words["start"], words["count"] = start[short], count[short]
+            words["start"], words["count"], words["again"] = start[short], count[short], False
             self.remember(words)
         owner = np.searchsorted(limits, starts, side="right")
         gathered = self.pool[_ragged(start[member], count[member])]
@@ -187,7 +202,7 @@ class IdTable:
         return out, stops
 
 
-_WORD = np.dtype([("one", np.uint64), ("two", np.uint64), ("start", np.uint32), ("count", np.uint32)])
+_WORD = np.dtype([("one", np.uint64), ("two", np.uint64), ("start", np.uint32), ("count", np.uint32), ("again", np.bool_)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
@@ -262,8 +277,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, id_column: str, text_colum
                 ],
                 names=list(names),
             )
-        # Workers outlive their tasks: what follows should find their memory free.
-        words.start_again()
+        words.settle()
 
     return source.mapInArrow(cut, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
