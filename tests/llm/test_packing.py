@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +10,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidewatt.llm.packing import BinCompletion, IdTable, dominated, op5_best_fit_packing, packed
+from tidewatt.llm import packing
+from tidewatt.llm.packing import BinCompletion, IdTable, _hashes, dominated, op5_best_fit_packing, packed
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -51,6 +53,23 @@ def test_settled_tables_keep_what_was_met_again(tokenizer):
     same_ids(tokenizer, ["twice told", "once upon a time", "x", ""] * 40, table)
 
 
+def test_hashes_of_a_chunk_take_little_memory_and_depend_on_the_stretch_alone():
+    words = np.frombuffer(b"once upon a time " * 60_000 + b"x" * 300_000 + b" once", dtype=np.uint8)
+    edge = np.flatnonzero(np.diff((words != 32).astype(np.int8), prepend=0, append=0))
+    starts, ends = edge[0::2], edge[1::2]
+    _hashes(words, starts, ends)
+    packing._powers.clear()
+    tracemalloc.start()
+    found = _hashes(words, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The terms of the whole chunk alone would take 8 bytes for each of its 1.3 million, several times.
+    assert peak < 2 * 16 * len(starts) + 32 * 1_000_000
+    for one in found:
+        assert len(set(one[:-2:4].tolist())) == 1 and one[0] == one[-1]
+        assert len(set(one.tolist())) == 5
+
+
 def test_long_stretches_and_many_chunks(tokenizer):
     draw = random.Random(8)
     words = ["".join(draw.choice("abcdeé.,'") for _ in range(draw.choice([1, 3, 8, 63, 64, 65, 300]))) for _ in range(400)]

@@ -30,6 +30,8 @@ KNOWN_WORDS, LONGEST = 1_000_000, 64
 WORDS_AT_ONCE = 1000
 #: Bytes of text whose stretches are held at a time.
 BATCH_BYTES = 1 << 21
+#: Bytes of them that are hashed at a time.
+HASHED_BYTES = 1 << 17
 #: Pieces that one ranking task group holds; hot lengths are cut into as many groups as needed.
 GROUP_ROWS = 128
 #: Fillings that the search looks at or lays, if best fit does not meet the bound.
@@ -217,18 +219,30 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every stretch: polynomials in two odd factors, each mixed."""
-    out = []
-    for number, factor in enumerate(_FACTORS):
-        if number not in _powers or len(_powers[number][0]) < len(data):
-            steps = np.full((2, max(len(data), BATCH_BYTES)), factor, dtype=np.uint64)
-            steps[1] = np.uint64(pow(int(factor), -1, 1 << 64))
-            steps[:, 0] = 1
-            _powers[number] = tuple(np.multiply.accumulate(steps, axis=1))
-        up, down = _powers[number]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
-        out.append(mixed((sums[ends] - sums[starts]) * down[starts]))
-    return out[0], out[1]
+    """Two 64-bit hashes of every stretch: polynomials in two odd factors, each mixed.
+
+    A hash depends on the bytes of its stretch alone, so stretches are taken ``HASHED_BYTES`` at a
+    time: the arrays of 64-bit terms are eight times as large as the text under them.
+    """
+    out = (np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64))
+    low = 0
+    while low < len(starts):
+        begin = starts[low]
+        high = max(low + 1, int(np.searchsorted(ends, begin + HASHED_BYTES, side="right")))
+        terms = data[begin : ends[high - 1]].astype(np.uint64) + np.uint64(1)
+        first, last = starts[low:high] - begin, ends[low:high] - begin
+        sums = np.zeros(len(terms) + 1, np.uint64)
+        for number, factor in enumerate(_FACTORS):
+            if number not in _powers or len(_powers[number][0]) < len(terms):
+                steps = np.full((2, max(len(terms), HASHED_BYTES)), factor, dtype=np.uint64)
+                steps[1] = np.uint64(pow(int(factor), -1, 1 << 64))
+                steps[:, 0] = 1
+                _powers[number] = tuple(np.multiply.accumulate(steps, axis=1))
+            up, down = _powers[number]
+            np.cumsum(terms * up[: len(terms)], out=sums[1:])
+            out[number][low:high] = mixed((sums[last] - sums[first]) * down[first])
+        low = high
+    return out
 
 
 _tables: dict[str, IdTable] = {}
