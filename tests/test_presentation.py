@@ -1,7 +1,8 @@
+import re
 from datetime import UTC, datetime
 
 import pytest
-from frames import at, rows
+from frames import at, plan, rows
 from pyspark.sql import functions as F
 
 from tidewatt.functions.arithmetic import rounded_ratio
@@ -191,3 +192,19 @@ def test_entities_with_other_expressions_are_refused(spark):
         metrics.query(["total_readings"], ["metric_time__minute"])
     assert METER_READINGS.entity("meter").expr != BILLING_METER.entity("meter").expr
     assert HOURLY_BILLING.entity("meter").expr == BILLING_METER.entity("meter").expr
+
+
+def test_the_fact_is_dealt_once_for_all_grains(spark):
+    """By meter: no total is shuffled again, nor to meet its meter, nor is the fact to meet its zone."""
+    frame = readings(spark, [("a", "TX", "2026-01-01 00:30:00", 1.0), ("b", "TX", "2026-02-01 00:30:00", 2.0)])
+    fact, meters, zones = (
+        presentation.fact_hourly_energy_billing(frame), presentation.dim_meter(frame), presentation.dim_pricing_zone(frame)
+    )
+    first = F.lit(at("2026-01-01 00:00:00"))
+    text = plan(presentation.mart_executive_billing(fact, meters, zones, data_start=first))
+    shuffles = re.findall(r"Exchange hashpartitioning\((.*)", text)
+    assert not [line for line in shuffles if "__at" in line or "__period" in line]
+    assert "SortMergeJoin [meter_key" not in text
+    given = presentation.mart_executive_billing(fact, meters, zones, data_start=first).collect()
+    assert sorted(map(str, given)) == sorted(map(str, presentation.mart_executive_billing(fact, meters, zones).collect()))
+    assert len(given) == 10

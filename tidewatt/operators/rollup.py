@@ -28,6 +28,7 @@ def periodic_totals(
     sums: Mapping[str, str],
     count: str | None = None,
     grains: Sequence[str] = GRAIN_NAMES,
+    data_start: Column | None = None,
 ) -> DataFrame:
     """Sum ``sums`` (output name -> input column) per grain, period and ``by``.
 
@@ -35,7 +36,10 @@ def periodic_totals(
     day totals are spread over day, week, month and year. Sums are exact decimals, so the
     order of adding does not matter. A caller that needs some ``grains`` only gets no others made.
     ``period_start`` is never before the earliest ``moment`` of the whole frame, which is a scan of
-    that one column.
+    that one column, unless the caller knows it (``data_start``).
+
+    A frame that is hash-partitioned by one of ``by`` is not shuffled at all: every level groups by
+    that column too.
     """
     names = list(sums)
     first = [F.sum(column).alias(name) for name, column in sums.items()]
@@ -47,7 +51,8 @@ def periodic_totals(
     orders = dict(GRAINS)
     if strangers := set(grains) - set(orders):
         raise ValueError(f"no such grain: {', '.join(sorted(strangers))}")
-    data_start = frame.agg(F.min(moment)).scalar()
+    if data_start is None:
+        data_start = frame.agg(F.min(moment)).scalar()
 
     def level(name: str, source: DataFrame, column: str) -> DataFrame:
         return source.groupBy(*by, truncate(name, F.col(column)).alias("__at")).agg(*again)

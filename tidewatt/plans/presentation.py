@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatt.functions.arithmetic import rounded_ratio, scaled
@@ -131,23 +131,33 @@ def mart_meter_operations(
 
 
 def mart_executive_billing(
-    fact: DataFrame, meters: DataFrame, zones: DataFrame, grains: Sequence[str] = GRAIN_NAMES
+    fact: DataFrame,
+    meters: DataFrame,
+    zones: DataFrame,
+    grains: Sequence[str] = GRAIN_NAMES,
+    data_start: Column | None = None,
 ) -> DataFrame:
     """Billing totals per grain, period, meter and currency. ``fact`` is the hourly fact.
 
     The zone is looked up before the totals because its currency is a group column; rows without
     one still count for the first period and are dropped afterwards. The meter is looked up on
-    the totals, which are fewer. Store ``fact`` first when it is expensive: it is read twice.
+    the totals, which are fewer. The hours of a meter are few, so the fact is dealt by meter once;
+    all grains and the look-up stay in that partitioning. Store ``fact`` first when it is expensive:
+    it is read twice, unless ``data_start`` gives its first hour.
     """
     zone = zones.select("pricing_zone_key", "currency_code", F.lit(True).alias("__zoned"))
     totals = periodic_totals(
-        fact.join(zone, "pricing_zone_key", "left"),
+        fact.join(zone, "pricing_zone_key", "left")
+        .select("meter_key", "currency_code", "__zoned", "reading_hour", "energy_kwh", "usage_revenue")
+        .repartition("meter_key"),
         "reading_hour",
         ["meter_key", "currency_code", "__zoned"],
         {"energy_kwh": "energy_kwh", "net_revenue": "usage_revenue"},
         grains=grains,
+        data_start=data_start,
     ).filter("__zoned")
-    dims = meters.select("meter_key", "meter_id", "us_region", "state_code")
+    # A hash table of a task's meters: the totals, several times the fact, are not sorted to meet them.
+    dims = meters.select("meter_key", "meter_id", "us_region", "state_code").hint("shuffle_hash")
     net, energy = F.col("net_revenue"), F.col("energy_kwh")
     return totals.join(dims, "meter_key").select(
         *PERIOD, "meter_id", "us_region", "state_code", "currency_code",

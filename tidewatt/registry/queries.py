@@ -584,23 +584,27 @@ def _billing(spark: SparkSession, folder: str, grains=GRAIN_NAMES) -> DataFrame:
     return presentation.mart_executive_billing(
         stored(_hourly_fact(spark, folder), "hourly-fact"),
         _meters(spark, folder),
-        _zones(spark, folder),
+        stored(_zones(spark, folder), "zones"),
         grains,
     )
 
 
 def _shipped(spark: SparkSession, folder: str):
+    """Fact, meters and zones of the shipments, and the fact's first hour. The zones are stored: Spark
+    then knows their size and does not shuffle the fact to meet them."""
     rows = stored(supplied.billing_rows(spark, folder), "shipped")
     return (
         presentation.fact_hourly_energy_billing(rows),
         presentation.dim_meter(rows),
-        presentation.dim_pricing_zone(rows),
+        stored(presentation.dim_pricing_zone(rows), "zones"),
+        F.date_trunc("hour", rows.agg(F.min("event_time")).scalar()),
     )
 
 
 def mart_billing_shipped(spark: SparkSession, folder: str, grains=GRAIN_NAMES) -> DataFrame:
     """The billing mart over seven years of shipments, in all five grains unless told otherwise."""
-    return presentation.mart_executive_billing(*_shipped(spark, folder), grains)
+    fact, meters, zones, first = _shipped(spark, folder)
+    return presentation.mart_executive_billing(fact, meters, zones, grains, first)
 
 
 # Metrics and charts -------------------------------------------------------------------------
