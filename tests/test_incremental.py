@@ -1,12 +1,13 @@
 """Totals, merged streams and live prices that are kept current batch by batch."""
 
 import pytest
-from frames import at, rows
+from frames import at, plan, rows
 from pyspark.sql import functions as F
 
 from tidewatt.operators.asof import asof_join, effective_intervals
 from tidewatt.operators.rollup import periodic_totals
 from tidewatt.plans.incremental import IncrementalTotals
+from tidewatt.registry import queries
 from tidewatt.sinks.tables import SnapshotTable
 from tidewatt.streaming.merged import HourlyMerge, LivePricing, run_batches
 
@@ -198,3 +199,9 @@ def test_tariffs_that_change_while_the_stream_runs(spark, tmp_path):
     prices.pop(2)
     plan.process(readings.limit(0))
     assert found() == expected(readings) and not any(r[2] == "y" for r in found())
+
+
+def test_billed_readings_do_not_meet_all_tariffs_of_their_hour(spark, small):
+    billed = queries._billed(spark, small)
+    assert "__level" in plan(billed) and "__bucket" not in plan(billed)
+    assert rows(billed) == rows(queries._priced(spark, small, "bucket"), *billed.columns)

@@ -963,7 +963,8 @@ def stream_repriced(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _billed(spark: SparkSession, folder: str) -> DataFrame:
-    return _priced(spark, folder).select("event_id", "meter_id", "state_code", "event_time", "energy_kwh", "usage_revenue")
+    """Tariffs may change many times an hour: by the hour, every reading would meet all of its hour's."""
+    return _priced(spark, folder, "dyadic").select("event_id", "meter_id", "state_code", "event_time", "energy_kwh", "usage_revenue")
 
 
 def _two_loads(spark: SparkSession, folder: str) -> tuple[IncrementalTotals, list[LoadReport]]:
