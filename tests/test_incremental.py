@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatt.operators.asof import asof_join, effective_intervals
 from tidewatt.operators.rollup import periodic_totals
+from tidewatt.plans import incremental
 from tidewatt.plans.incremental import IncrementalTotals
 from tidewatt.registry import queries
 from tidewatt.sinks.tables import SnapshotTable
@@ -201,6 +202,53 @@ def test_tariffs_that_change_while_the_stream_runs(spark, tmp_path):
     assert found() == expected(readings) and not any(r[2] == "y" for r in found())
 
 
+def test_touched_keys_and_rows_meet_in_one_shuffle(spark, tmp_path, monkeypatch):
+    kept, made = totals(tmp_path), []
+    stored = incremental.stored
+
+    def seen(frame, purpose):
+        if purpose == "totals":
+            made.append(plan(frame))
+        return stored(frame, purpose)
+
+    monkeypatch.setattr(incremental, "stored", seen)
+    # A row without a moment and one without a group: keys may be NULL.
+    data = batch(spark, *FIRST, ("5", None, "2025-12-30T10:20:00", 3, 1, None), ("6", "a", None, None, 1, None))
+    kept.load(data)
+    assert len(made) == 3 and all("Join" not in p and p.count("Exchange hashpartitioning") == 1 for p in made)
+    hour = F.date_trunc("hour", "moment").alias("h")
+    expected = data.groupBy(hour, "meter").agg(F.sum("kwh").cast("decimal(38,2)").alias("kwh"), F.count("*").alias("n"))
+    found = kept.read_hours(spark).select("period_hour", "meter", "kwh", "n_rows")
+    assert rows(found) == rows(expected)
+
+
+def test_a_reading_meets_changed_spans_only_if_it_was_there_before(spark, tmp_path, monkeypatch):
+    """The batch's own readings are priced anyway; what is priced is computed once, before the join."""
+    prices = [("x", "2026-01-01T00:00:00", 1.0), ("x", "2026-01-03T00:00:00", 2.0)]
+    live_pricing, _ = live(spark, tmp_path, prices)
+    covered, met = LivePricing._covered, []
+
+    def seen(self, rows, intervals, how="inner"):
+        met.append((how, rows.count(), "Join" in plan(rows)))
+        return covered(self, rows, intervals, how)
+
+    monkeypatch.setattr(LivePricing, "_covered", seen)
+    readings = spark.createDataFrame(
+        [(f"{d}", "m", "x", "r", at(f"2026-01-0{d}T12:00:00"), "1") for d in range(1, 6)],
+        "id string, meter string, zone string, region string, moment timestamp, kwh string",
+    )
+    live_pricing.process(readings.where("id <= '3'"))
+    assert met == [("inner", 0, False), ("inner", 0, False), ("left", 3, False)]
+    met.clear()
+    prices.append(("x", "2026-01-02T00:00:00", 5.0))
+    # 3 comes again and 4 and 5 are new; 2 is in a folder that the late tariff touches, 1 is not.
+    report = live_pricing.process(readings.where("id >= '3'"))
+    assert met == [("inner", 1, False), ("inner", 1, False), ("left", 4, False)]
+    assert report.touched_hours == 4
+    costs = {r.period_hour.day: r.cost for r in live_pricing.totals.read_hours(spark).collect()}
+    assert costs == {1: 1, 2: 5, 3: 2, 4: 2, 5: 2}
+
+
 def test_billed_readings_do_not_meet_all_tariffs_of_their_hour(spark, small):
     billed = queries._billed(spark, small)
     assert "__level" in plan(billed) and "__bucket" not in plan(billed)

@@ -22,7 +22,7 @@ from tidewatt.operators.keyed import latest_by_key
 from tidewatt.operators.rollup import PERIOD
 from tidewatt.sinks.tables import SnapshotTable, stored
 
-HOUR, COUNT, VOID = "period_hour", "n_rows", "is_void"
+HOUR, COUNT, VOID, ASKED = "period_hour", "n_rows", "is_void", "__asked"
 ROW_DAY, HOUR_DAY, PART = "row_day", "hour_day", "period_part"
 GRAIN, _, START = PERIOD
 #: Grains summed from days.
@@ -142,24 +142,25 @@ class IncrementalTotals:
         self.rows.replace(spark, stays.select(*fresh.columns).unionByName(fresh))
         return self.pending.read(spark)
 
-    def _summed(self, frame: DataFrame, keys: Sequence[str], again: bool) -> DataFrame:
-        count = F.sum(COUNT) if again else F.count(F.lit(1))
-        return frame.groupBy(*keys).agg(
-            *[F.sum(F.col(n)).cast(f).alias(n) for n, f in self._sum_types()], count.cast("bigint").alias(COUNT)
+    def _totals_of(self, touched: DataFrame, source: DataFrame, keys: Sequence[str], again: bool) -> DataFrame:
+        """A total for every touched key; a key that lost all its rows keeps a row of count 0, which
+        replaces the old one and which no reader sees.
+
+        The touched keys are grouped together with the rows, so all meet in one shuffle.
+        """
+        names = [n for n, _ in self.sums] + ([COUNT] if again else [])
+        rows = source.select(*keys, *names, F.lit(False).alias(ASKED))
+        nothing = [F.lit(None).cast(source.schema[n].dataType).alias(n) for n in names]
+        asked = touched.select(*keys, *nothing, F.lit(True).alias(ASKED))
+        count = F.coalesce(F.sum(COUNT), F.lit(0)) if again else F.count_if(~F.col(ASKED))
+        totals = rows.unionByName(asked).groupBy(*keys).agg(
+            *[F.sum(F.col(n)).cast(f).alias(n) for n, f in self._sum_types()], count.cast("bigint").alias(COUNT), F.max(ASKED).alias(ASKED)
         )
+        return totals.where(ASKED).drop(ASKED)
 
     def _sum_types(self) -> list[tuple[str, str]]:
         return [(n, f"decimal(38,{kind.rstrip(')').split(',')[1].strip()})") for n, kind in self.sums]
 
-    def _exactly(self, touched: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """A total for every touched key; a key that lost all its rows keeps a row of count 0, which
-        replaces the old one and which no reader sees."""
-        found = totals.select(*[F.col(k).alias(f"__{k}") for k in keys], *[n for n, _ in self.sums], COUNT)
-        same = reduce(Column.__and__, [touched[k].eqNullSafe(found[f"__{k}"]) for k in keys])
-        return touched.join(found, same, "left").select(
-            *[touched[k] for k in keys], *[n for n, _ in self.sums], F.coalesce(COUNT, F.lit(0).cast("bigint")).alias(COUNT)
-        )
-
     def _replace(self, spark: SparkSession, table: SnapshotTable, fresh: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
         """Rewrite the folders of ``fresh``: its keys are replaced, other keys stay."""
         fresh = stored(fresh.select(*table.schema.names), "totals")
@@ -173,9 +174,7 @@ class IncrementalTotals:
         rows = self.rows.read(spark).where(~F.col(VOID))
         days = _listed(touched.select(_day(F.col(HOUR)).alias(ROW_DAY)), ROW_DAY)
         rows = rows.where(F.col(ROW_DAY).isin(days)).withColumn(HOUR, F.date_trunc("hour", F.col(self.moment)))
-        wanted = reduce(Column.__and__, [rows[k].eqNullSafe(touched[k]) for k in keys])
-        totals = self._summed(rows.join(touched, wanted, "left_semi"), keys, again=False)
-        fresh = self._exactly(touched, totals, keys).withColumn(HOUR_DAY, _day(F.col(HOUR)))
+        fresh = self._totals_of(touched, rows, keys, again=False).withColumn(HOUR_DAY, _day(F.col(HOUR)))
         done = self._replace(spark, self.hours, fresh, keys, HOUR_DAY)
         return done.agg(F.coalesce(F.sum(COUNT), F.lit(0))).first()[0]
 
@@ -202,9 +201,7 @@ class IncrementalTotals:
         return changed + self._stored_periods(spark, longer, spread, keys)
 
     def _stored_periods(self, spark: SparkSession, touched: DataFrame, source: DataFrame, keys: list[str]) -> int:
-        wanted = reduce(Column.__and__, [source[k].eqNullSafe(touched[k]) for k in keys])
-        totals = self._summed(source.join(touched, wanted, "left_semi"), keys, again=True)
-        fresh = self._exactly(touched, totals, keys).withColumn(PART, _part(F.col(GRAIN), F.col(START)))
+        fresh = self._totals_of(touched, source, keys, again=True).withColumn(PART, _part(F.col(GRAIN), F.col(START)))
         return self._replace(spark, self.periods, fresh, keys, PART).count()
 
     def read_hours(self, spark: SparkSession) -> DataFrame:

@@ -945,8 +945,9 @@ def _live(spark: SparkSession, folder: str) -> LivePricing:
     halves = [F.pmod(F.xxhash64("event_id"), F.lit(2)) == half for half in (0, 1)]
     for half, arriving in enumerate((~late, late)):
         prices.where(arriving).write.mode("append").parquet(f"{base}/prices")
-        readings.where(halves[half]).coalesce(1).write.mode("append").parquet(f"{base}/in")
-        run_batches(_file_stream(spark, f"{base}/in", readings.schema), live.process, f"{base}/checkpoint")
+        # As many files as the rows need; all that a run finds are one batch.
+        readings.where(halves[half]).write.mode("append").parquet(f"{base}/in")
+        run_batches(spark.readStream.schema(readings.schema).parquet(f"{base}/in"), live.process, f"{base}/checkpoint")
     return live
 
 

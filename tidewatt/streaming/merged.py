@@ -15,6 +15,7 @@ from tidewatt.plans.incremental import VOID, IncrementalTotals, LoadReport
 from tidewatt.sinks.tables import SnapshotTable, stored
 
 HOUR, EPOCH, DAY, COUNT = "reading_hour", "last_epoch", "hour_day", "reading_count"
+OWN = "__own"
 
 
 def run_batches(
@@ -168,11 +169,13 @@ class LivePricing:
 
         days = self._days(arrived, come.unionByName(gone))
         held = self.readings.read(spark).where(F.col("reading_day").isin(days)).drop("reading_day")
-        again = [held.join(arrived.select(ids).distinct(), ids, "left_semi")]
-        for spans in (come, gone):
-            hit = self._covered(held, spans.withColumn("__hit", F.lit(True))).select(ids).distinct()
-            again.append(held.join(hit, ids, "left_semi"))
-        affected = reduce(DataFrame.unionByName, again).dropDuplicates([ids])
+        # Read several times by each join to the intervals: computed once.
+        own = arrived.select(ids).distinct().withColumn(OWN, F.lit(True))
+        held = stored(held.where(F.col(ids).isNotNull()).join(own, ids, "left"), "held")
+        others = held.where(F.col(OWN).isNull()).drop(OWN)
+        hits = [self._covered(others, spans.withColumn("__hit", F.lit(True))).select(*others.columns) for spans in (come, gone)]
+        again = reduce(DataFrame.unionByName, hits).dropDuplicates([ids])
+        affected = stored(held.where(OWN).drop(OWN).unionByName(again), "affected")
         priced = self.price(self._covered(affected, now, "left"))
         report = self.totals.load(priced.withColumn(VOID, F.col(self.valid_from).isNull()))
         used.replace(spark, now)
