@@ -68,3 +68,12 @@ def test_nulls_empty_tables_and_missing_labels(spark, frame):
     assert sorted(r.doc_id for r in kept) == [1, 2, 3, 3] and kept[0].node == "y"
     empty = fit_toxicity(frame([]), spark.createDataFrame([], LABELS))
     assert reject_toxic(frame([]), empty).count() == 0
+
+
+def test_lexicon_does_not_depend_on_when_counts_are_handed_on(spark, monkeypatch):
+    rows = [(f"fine words number {n} here", 0) for n in range(40)] + [(f"you vejuaire number {n}", 1) for n in range(40)]
+    sample = spark.createDataFrame(rows, "text string, label int").coalesce(1)
+    whole = tox.learned_lexicon(sample)
+    monkeypatch.setattr(tox, "FLUSH", 5)
+    assert whole and tox.learned_lexicon(sample) == whole
+    assert tox.learned_lexicon(sample.limit(0)) == ()

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidewatt.llm.common import as_bytes, documents, kept, mixed, slices
+from tidewatt.llm.common import as_bytes, documents, giving_back, kept, mixed, slices
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -264,6 +264,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, id_column: str, text_colum
     names = ("id", "row", "piece", "start", "length", "ids_crc32")
     kinds = (source.schema["id"].dataType, T.LongType(), T.IntegerType(), T.LongType(), T.LongType(), T.LongType())
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = id_table(path)
         for batch in batches:
@@ -535,6 +536,7 @@ def packed(
         ]
     )
 
+    @giving_back
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Ranks of one length are consecutive in the plan: one key orders both.
         scale = max(histogram.values(), default=0) + 1

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.llm.common import as_text, documents, table
+from tidewatt.llm.common import as_text, documents, giving_back, table
 from tidewatt.llm.labels import held_out, labelled_sample, logistic, sigmoid
 
 SAMPLE = 20_000
+#: Entries a task counts before it hands them on, and texts that it holds as Python strings.
+FLUSH, TEXTS = 50_000, 500
 #: Entries of the learned lexicon, and candidates for it that reach the driver.
 LEXICON, CANDIDATES = 256, 4_000
 THRESHOLD = 0.7
@@ -190,6 +192,18 @@ def clause_scorer(lexicon: tuple) -> ClauseScorer:
     return _scorers[lexicon]
 
 
+def text_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``TEXTS`` rows of a batch at a time."""
+    for low in range(0, batch.num_rows, TEXTS):
+        yield batch.slice(low, TEXTS)
+
+
+def batch_features(batch: pa.RecordBatch, text_column: str, lexicon: tuple) -> np.ndarray:
+    features = clause_scorer(lexicon).features
+    found = [features(text) for part in text_parts(batch) for text in as_text(part, text_column)]
+    return np.array(found, dtype=float).reshape(-1, 3)
+
+
 def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> tuple[tuple[str, float], ...]:
     """Words and stems (``stem*``) that mark toxic texts of the sample, with weights up to 1.
 
@@ -197,19 +211,30 @@ def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> tuple[tuple[str,
     instead of all that extend it or that it extends; at most ``size`` of them.
     """
 
+    @giving_back
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, label in zip(as_text(batch, "text"), batch.column(1).to_pylist(), strict=True):
-                words = set(_WORDS.findall(text.lower()))
-                counts[label].update(words)
-                counts[label].update(word[:n] + "*" for word in words for n in STEMS if len(word) > n)
-                counts[label][""] += 1
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def flushed() -> pa.RecordBatch:
             entries = list(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [pa.array(entries, pa.string()), *(pa.array([c[e] for e in entries], pa.int64()) for c in counts)],
                 names=["entry", "clean", "toxic"],
             )
+            for each in counts:
+                each.clear()
+            return found
+
+        for batch in batches:
+            for part in text_parts(batch):
+                for text, label in zip(as_text(part, "text"), part.column(1).to_pylist(), strict=True):
+                    words = set(_WORDS.findall(text.lower()))
+                    counts[label].update(words)
+                    counts[label].update(word[:n] + "*" for word in words for n in STEMS if len(word) > n)
+                    counts[label][""] += 1
+                    if sum(map(len, counts)) > FLUSH:
+                        yield flushed()
+        yield flushed()
 
     counts = sample.mapInArrow(counted, "entry string, clean long, toxic long").groupBy("entry").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
@@ -238,10 +263,10 @@ def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> tuple[tuple[str,
 def clause_features(docs: DataFrame, lexicon: tuple, text_column: str, keep: list[str]) -> DataFrame:
     schema = T.StructType([*(docs.schema[k] for k in keep), *(T.StructField(n, T.DoubleType()) for n in ("sum", "most", "rate"))])
 
+    @giving_back
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = clause_scorer(lexicon).features
         for batch in batches:
-            rows = np.array([features(text) for text in as_text(batch, text_column)], dtype=float).reshape(-1, 3)
+            rows = batch_features(batch, text_column, lexicon)
             own = [batch.column(batch.schema.get_field_index(k)) for k in keep]
             yield pa.RecordBatch.from_arrays([*own, *(pa.array(rows[:, i]) for i in range(3))], names=schema.names)
 
@@ -288,10 +313,10 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text
     """The rows of ``docs`` whose score stays below ``threshold``, unchanged."""
     lexicon, weights = model.lexicon, np.array(model.weights)
 
+    @giving_back
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = clause_scorer(lexicon).features
         for batch in batches:
-            rows = np.array([features(text) for text in as_text(batch, text_column)], dtype=float).reshape(-1, 3)
+            rows = batch_features(batch, text_column, lexicon)
             yield batch.filter(pa.array(sigmoid(rows @ weights[:3] + weights[3]) < threshold))
 
     return docs.mapInArrow(clean, docs.schema)
