@@ -97,3 +97,36 @@ def test_nulls_repeats_no_training_and_empty_table(frame):
 def test_log_gamma():
     x = np.array([0.5, 1.0, 1.5, 7.5, 1e6])
     assert np.allclose(log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-9, atol=1e-9)
+
+
+def stream_decisions(text):
+    """As ``decisions``, over the whole stream of a text: contexts reach across blanks."""
+    symbols = [256] * DEPTH + list(b" ".join(tokens(text)))
+    for at in range(DEPTH, len(symbols)):
+        context = tuple(symbols[at - DEPTH : at][::-1])
+        for bit in range(8):
+            yield context, 1 << bit | symbols[at] >> (8 - bit), symbols[at] >> (7 - bit) & 1
+
+
+@pytest.mark.parametrize("bounds", [(100_000, 1_000_000, 1 << 19, 1 << 21, 2_500_000), (50, 100, 300, 2_000, 1_000)])
+def test_contexts_reach_across_words(spark, small, sample, monkeypatch, bounds):
+    """Against brute force; also with most contexts joined, texts cut and contexts handed on early."""
+    for name, bound in zip(("TOP_WORDS", "TOP_CONTEXTS", "CHUNK_BYTES", "SORTED", "SUMMED"), bounds, strict=True):
+        monkeypatch.setattr(language, name, bound)
+    monkeypatch.setitem(globals(), "decisions", stream_decisions)
+    rows = [(i, t) for i, t in sample if len(t or "") < 3000][:60] + [(-1, None), (-2, " \t"), (-3, "x" * 700)]
+    tree = Brute(Counter(t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in language_scores(frame, F.crc32(F.col("doc_id").cast("string")) % 7 != 2).collect()}
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        expected, size = tree.word(text), len(b" ".join(tokens(text)))
+        assert got[doc_id].score == pytest.approx(expected, abs=1e-5)
+        assert got[doc_id].bits_per_byte == pytest.approx(-expected / math.log10(2) / size, abs=1e-6)
+
+
+def test_order_of_words_changes_the_score(frame):
+    rows = [(i, "the cat sat on the mat") for i in range(5)]
+    got = language_scores(frame([*rows, (8, "the cat sat on the mat"), (9, "mat the on sat cat the")]), F.col("doc_id") < 8).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert score[8] > score[9] + 1

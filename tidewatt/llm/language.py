@@ -1,12 +1,13 @@
 """Language-model scores by context-tree weighting over bytes.
 
-A text is its tokens: A-Z-lowered words, each closed by a blank, and one end sign. The context of
-a byte are the bytes before it in its word, the last first, up to ``DEPTH``; in front of the
-first stands a start sign. A byte is eight binary decisions. Every context of every depth has a
-Krichevsky-Trofimov estimate for each decision, and the tree mixes all depths by their evidence.
-
-A word's probability then depends on the word alone, so Spark counts words, contexts and the
-tree's sums, scores every distinct word once, and adds the scores up by document.
+A text is the byte stream of its tokens: A-Z-lowered words, each closed by a blank, and one end
+sign. The context of a byte are the bytes before it in the stream, the last first, up to
+``DEPTH``, across blanks; in front of the first stand start signs. A byte is eight binary
+decisions. Every context of every depth has a Krichevsky-Trofimov estimate for each decision, and
+the tree mixes all depths by their evidence.
+
+Spark counts contexts with their byte, and the tree's sums, gives every distinct one its
+probability once, and adds these up along each document. Words are counted for the base only.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.llm.common import as_bytes, documents, kept, remainder
+from tidewatt.llm.common import CHUNK_BYTES, as_bytes, documents, giving_back, kept, remainder, slices
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 6
@@ -30,12 +31,15 @@ DEPTH = 6
 #: at most ``SYMBOLS * 256`` rows however large the corpus is.
 SPLIT = 2
 SYMBOLS = 257
-START, CLOSE, END = 256, 32, b"\n"
+START, END = 256, b"\n"
 #: The most frequent words and contexts, by these bounds, are looked up in the tasks; a join
 #: does the same for all others.
-TOP_WORDS, TOP_CONTEXTS = 100_000, 200_000
+TOP_WORDS, TOP_CONTEXTS = 100_000, 2_000_000
 #: Entries a task counts before it hands them on.
 FLUSH = 400_000
+#: Bytes of the stream whose contexts are sorted at a time, distinct contexts that a task sums
+#: before it hands them on, and rows that it hands on at a time.
+SORTED, SUMMED, HANDED = 1 << 21, 2_500_000, 200_000
 
 
 def word_id(word: bytes) -> int:
@@ -67,43 +71,105 @@ def word_counts(docs: DataFrame, text: str, train: str) -> DataFrame:
                     yield flushed()
         yield flushed()
 
-    counts = docs.select(text, train).mapInArrow(counted, "word binary, n long")
+    counts = docs.select(text, train).mapInArrow(giving_back(counted), "word binary, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte of each word: context and byte in one number, and the number of the word."""
-    closed = [word if word == END else word + b" " for word in words]
-    lengths = np.array([len(word) for word in closed], dtype=np.int64)
-    owner = np.repeat(np.arange(len(words)), lengths)
-    place = np.arange(len(owner)) + DEPTH * (owner + 1)
-    symbols = np.full(len(owner) + DEPTH * (len(words) + 1), START, dtype=np.int64)
-    symbols[place] = np.frombuffer(b"".join(closed), dtype=np.uint8)
-    keys = np.zeros(len(owner), dtype=np.int64)
+def parts(texts: list[bytes], limit: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
+    """Texts cut into (number of the text, bytes before, bytes), at most ``limit`` bytes at a time."""
+    held, size = [], 0
+    for number, text in enumerate(texts):
+        for start in range(0, len(text), limit):
+            part = text[start : start + limit]
+            if size and size + len(part) > limit:
+                yield held
+                held, size = [], 0
+            held.append((number, text[max(start - DEPTH, 0) : start], part))
+            size += len(part)
+    if held:
+        yield held
+
+
+def contexts(cut: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of some parts: context and byte in one number, and the number of the text."""
+    lengths = np.array([len(part) for _, _, part in cut], dtype=np.int64)
+    nth = np.repeat(np.arange(len(cut)), lengths)
+    place = np.arange(len(nth)) + DEPTH * nth
+    symbols = np.full(len(nth) + DEPTH * len(cut), START, dtype=np.int64)
+    symbols[place + DEPTH] = np.frombuffer(b"".join(part for _, _, part in cut), dtype=np.uint8)
+    firsts = np.cumsum(lengths + DEPTH) - lengths
+    for first, (_, before, _) in zip(firsts, cut, strict=True):
+        if before:
+            symbols[first - len(before) : first] = np.frombuffer(before, dtype=np.uint8)
+    size = len(symbols) - DEPTH
+    keys = np.zeros(size, dtype=np.int64)
     for back in range(DEPTH, 0, -1):
-        keys = keys * SYMBOLS + symbols[place - back]
-    return keys * 256 + symbols[place], owner
+        keys *= SYMBOLS
+        keys += symbols[DEPTH - back : DEPTH - back + size]
+    keys *= 256
+    keys += symbols[DEPTH:]
+    return keys[place], np.array([number for number, _, _ in cut], dtype=np.int64)[nth]
 
 
-def context_counts(words: DataFrame) -> DataFrame:
-    """(key, n, words): occurrences of each context with its byte, and in how many words."""
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the counts of each."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def context_counts(docs: DataFrame, text: str, train: str) -> DataFrame:
+    """(key, n): occurrences of each context with its byte in the training texts' streams, 0 for
+    those of other texts only. A task sums its own before they are shuffled."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def sort_raw() -> None:
+            for learn, found in raw.items():
+                if found:
+                    keys = np.concatenate(found)
+                    keys.sort()
+                    first = np.flatnonzero(np.diff(keys, prepend=-1))
+                    times = np.diff(first, append=len(keys))
+                    held.append((keys[first], times if learn else np.zeros(len(first), np.int64)))
+                    found.clear()
+
+        def merged(bound: int) -> Iterator[pa.RecordBatch]:
+            keys, counts = _summed(*map(np.concatenate, zip(*held, strict=True)))
+            held.clear()
+            if len(keys) <= bound:
+                held.append((keys, counts))
+                return
+            for start in range(0, len(keys), HANDED):
+                yield pa.RecordBatch.from_arrays([pa.array(v[start : start + HANDED]) for v in (keys, counts)], names=["key", "n"])
+
         for batch in batches:
-            keys, owner = contexts(batch.column(0).to_pylist())
-            weights = batch.column(1).to_numpy()[owner]
-            distinct, at = np.unique(keys, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(distinct),
-                    pa.array(np.bincount(at, weights, len(distinct)).astype(np.int64)),
-                    pa.array(np.bincount(at, minlength=len(distinct)).astype(np.int64)),
-                ],
-                names=["key", "n", "words"],
-            )
-
-    counts = words.mapInArrow(counted, "key long, n long, words long")
-    return counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+            content, learn = as_bytes(batch, text), batch.column(1).to_pylist()
+            for start, end in slices(content):
+                streams: dict[bool, list[bytes]] = {True: [], False: []}
+                for row in range(start, end):
+                    streams[bool(learn[row])].append(b" ".join([*content[row].lower().split(), END]))
+                for learned, some in streams.items():
+                    for cut in parts(some, CHUNK_BYTES):
+                        keys, _ = contexts(cut)
+                        raw[learned].append(keys)
+                        waiting += len(keys)
+                        if waiting >= SORTED:
+                            sort_raw()
+                            waiting = 0
+                            if sum(len(keys) for keys, _ in held) > SUMMED:
+                                yield from merged(SUMMED // 2)
+        sort_raw()
+        if held:
+            yield from merged(0)
+
+    return docs.select(text, train).mapInArrow(giving_back(counted), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -212,7 +278,7 @@ def _shallow(counts: DataFrame) -> np.ndarray:
     # At most SYMBOLS * 256 rows.
     rows = (
         _by_tree(counts)
-        .mapInArrow(sums, "node long, zeros double, ones double, below double")
+        .mapInArrow(giving_back(sums), "node long, zeros double, ones double, below double")
         .groupBy("node")
         .agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below")))
         .toPandas()
@@ -229,14 +295,14 @@ def _shallow(counts: DataFrame) -> np.ndarray:
 
 
 def context_scores(counts: DataFrame) -> DataFrame:
-    """(key, logp): log10 probability of the byte of a key in its context."""
+    """(key, n, logp): log10 probability of the byte of a key in its context."""
     shallow = _shallow(counts)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tree in _trees(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(tree.keys), pa.array(tree.log_chances(shallow))], names=["key", "logp"])
+            yield pa.RecordBatch.from_arrays([pa.array(tree.keys), pa.array(tree.counts), pa.array(tree.log_chances(shallow))], names=["key", "n", "logp"])
 
-    return _by_tree(counts).mapInArrow(scored, "key long, logp double")
+    return _by_tree(counts).mapInArrow(giving_back(scored), "key long, n long, logp double")
 
 
 def most_frequent(rows: DataFrame, count: str, bound: int) -> DataFrame:
@@ -256,51 +322,40 @@ def most_frequent(rows: DataFrame, count: str, bound: int) -> DataFrame:
     return rows.where(F.lit(False) if lowest is None else (F.col(count) > 0) & (level >= lowest))
 
 
-def word_scores(words: DataFrame, counts: DataFrame) -> DataFrame:
-    """(wid, word, n, logp) of every distinct word."""
-    spark = words.sparkSession
-    scores = kept(context_scores(counts), "context-scores")
-    often = most_frequent(counts, "words", TOP_CONTEXTS).select("key")
-    top = scores.join(often, "key").toPandas().sort_values("key")
-    known, logs = top["key"].to_numpy(np.int64), top["logp"].to_numpy(float)
-    shared = spark.sparkContext.broadcast((known, logs))
+class Lookup:
+    """Numbers by key, keys ascending. A slot holds one of the keys that fall into it, the last in
+    ``order``; the others are searched."""
 
-    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, logs = shared.value
-        for batch in batches:
-            own = batch.column(0).to_pylist()
-            keys, owner = contexts(own)
-            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-            part = np.bincount(owner[hit], logs[at[hit]], len(own)) if len(known) else np.zeros(len(own))
-            ids = np.array([word_id(word) for word in own], dtype=np.int64)
-            rest = int((~hit).sum())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([ids, ids[owner[~hit]]])),
-                    pa.concat_arrays([pa.array(own, pa.binary()), pa.nulls(rest, pa.binary())]),
-                    pa.concat_arrays([batch.column(1), pa.nulls(rest, pa.int64())]),
-                    pa.concat_arrays([pa.nulls(len(own), pa.int64()), pa.array(keys[~hit])]),
-                    pa.concat_arrays([pa.array(part), pa.nulls(rest, pa.float64())]),
-                ],
-                names=["wid", "word", "n", "key", "logp"],
-            )
-
-    rows = kept(words.mapInArrow(looked_up, "wid long, word binary, n long, key long, logp double"), "word-parts")
-    rare = rows.where("key IS NOT NULL").select("wid", "key").join(scores, "key").groupBy("wid").agg(F.sum("logp").alias("more"))
-    return (
-        rows.where("key IS NULL")
-        .select("wid", "word", "n", "logp")
-        .join(rare, "wid", "left")
-        .select("wid", "word", "n", (F.col("logp") + F.coalesce("more", F.lit(0.0))).alias("logp"))
-    )
+    def __init__(self, keys: np.ndarray, values: np.ndarray, order: np.ndarray):
+        self.keys, self.values = keys, values
+        bits = max(int(4 * len(keys)).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.zeros(1 << bits, dtype=np.int32)
+        self.slots[self._slot(keys[order])] = order
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its place among the table's keys if so."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        at = self.slots[self._slot(keys)]
+        hit = self.keys[at] == keys
+        missed = np.flatnonzero(~hit)
+        found = np.minimum(np.searchsorted(self.keys, keys[missed]), len(self.keys) - 1)
+        at[missed] = found
+        hit[missed] = self.keys[found] == keys[missed]
+        return hit, at
 
 
 def language_scores(docs: DataFrame, train: F.Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score): one row per row of ``docs``.
+    """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte): one row per row of
+    ``docs``.
 
     ``train`` says which rows are learned from; ``score`` is the tree's log10 probability of the
-    text and ``base_score`` the add-one unigram's. Null and empty texts are the end sign alone.
+    text's whole stream, ``bits_per_byte`` its code length over the stream's bytes, and
+    ``base_score`` the add-one unigram's. Null and empty texts are the end sign alone.
     Every row counts for itself, repeated or not; other columns are not read. Without training
     rows all counts are 0. The tables of words and contexts are built from the whole corpus,
     stored, and joined; only parts of a fixed size are broadcast.
@@ -312,71 +367,88 @@ def language_scores(docs: DataFrame, train: F.Column, id_column: str = "doc_id",
     id_type = source.schema["id"].dataType
     words = kept(word_counts(source, "text", "learn"), "words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    counts = kept(context_counts(words), "contexts")
-    scored = kept(word_scores(words, counts), "word-scores")
-    top = most_frequent(scored, "n", TOP_WORDS).toPandas()
-    table = spark.sparkContext.broadcast((list(map(bytes, top["word"])), np.log10(top["n"].to_numpy(float) + 1), (top["n"] > 0).to_numpy(), top["logp"].to_numpy(float)))
-    names = [("uid", T.LongType()), ("id", id_type), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base", T.DoubleType()), ("score", T.DoubleType()), ("wid", T.LongType()), ("times", T.LongType())]
+    top = most_frequent(words, "n", TOP_WORDS).toPandas()
+    table = spark.sparkContext.broadcast((list(map(bytes, top["word"])), np.log10(top["n"].to_numpy(float) + 1)))
+    scores = kept(context_scores(kept(context_counts(source, "text", "learn"), "contexts")), "context-scores")
+    often = most_frequent(scores, "n", TOP_CONTEXTS).toArrow().sort_by("key")
+    order = np.argsort(often["n"].to_numpy()).astype(np.int32)
+    lookup = spark.sparkContext.broadcast((often["key"].to_numpy(), often["logp"].to_numpy(), order))
+    names = [("uid", T.LongType()), ("id", id_type), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("n_bytes", T.LongType()), ("base", T.DoubleType()), ("score", T.DoubleType()), ("word", T.LongType()), ("times", T.LongType()), ("key", T.LongType())]
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, logs, seen, scores = table.value
+        common, logs = table.value
         place = {word: i for i, word in enumerate(common)}
-        for batch in batches:
-            uids = batch.column(0).to_pylist()
-            part = np.zeros((len(uids), 3))
-            tokens, owner, rare, times = [], [], [], []
-            for row, text in enumerate(as_bytes(batch, "text")):
-                found = Counter(text.lower().split())
-                found[END] = 1
-                tokens.append(sum(found.values()))
-                at, n = [], []
-                for word, count in found.items():
-                    index = place.get(word)
-                    if index is None:
-                        owner.append(row)
-                        rare.append(word_id(word))
-                        times.append(count)
-                    else:
-                        at.append(index)
-                        n.append(count)
-                at, n = np.array(at, dtype=np.int64), np.array(n, dtype=np.int64)
-                part[row] = (n @ seen[at], n @ logs[at], n @ scores[at]) if len(at) else 0
-            more = len(owner)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([batch.column(0), batch.column(0).take(pa.array(owner, pa.int64()))]),
-                    pa.concat_arrays([batch.column(1), pa.nulls(more, batch.column(1).type)]),
-                    pa.concat_arrays([pa.array(tokens, pa.int64()), pa.nulls(more, pa.int64())]),
-                    pa.concat_arrays([pa.array(part[:, 0].astype(np.int64)), pa.nulls(more, pa.int64())]),
-                    *(pa.concat_arrays([pa.array(part[:, i]), pa.nulls(more, pa.float64())]) for i in (1, 2)),
-                    *(pa.concat_arrays([pa.nulls(len(uids), pa.int64()), pa.array(v, pa.int64())]) for v in (rare, times)),
-                ],
-                names=[n for n, _ in names],
-            )
-
-    rows = kept(source.select("uid", "id", "text").mapInArrow(summed, T.StructType([T.StructField(n, t) for n, t in names])), "document-parts")
+        known = Lookup(*lookup.value)
+        for whole in batches:
+            contents = as_bytes(whole, "text")
+            for start, end in slices(contents):
+                batch, size = whole.slice(start, end - start), end - start
+                tokens, n_known, n_bytes = (np.zeros(size, np.int64) for _ in range(3))
+                base, score = np.zeros(size), np.zeros(size)
+                streams, owner, rare, times, lost, keys = [], [], [], [], [], []
+                for row, text in enumerate(contents[start:end]):
+                    split = [*text.lower().split(), END]
+                    streams.append(b" ".join(split))
+                    tokens[row], n_bytes[row] = len(split), len(streams[-1])
+                    at, n = [], []
+                    for word, count in Counter(split).items():
+                        index = place.get(word)
+                        if index is None:
+                            owner.append(row)
+                            rare.append(word_id(word))
+                            times.append(count)
+                        else:
+                            at.append(index)
+                            n.append(count)
+                    n_known[row], base[row] = sum(n), np.array(n, dtype=np.int64) @ logs[at] if at else 0
+                for cut in parts(streams, CHUNK_BYTES):
+                    of, texts = contexts(cut)
+                    hit, at = known.find(of)
+                    score += np.bincount(texts[hit], known.values[at[hit]], size)
+                    lost.append(texts[~hit])
+                    keys.append(of[~hit])
+                lost, keys = np.concatenate(lost), np.concatenate(keys)
+                more, most = len(owner), len(owner) + len(keys)
+                uids = batch.column(0).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([uids, uids[np.array(owner, dtype=np.int64)], uids[lost]])),
+                        pa.concat_arrays([batch.column(1), pa.nulls(most, batch.column(1).type)]),
+                        *(pa.concat_arrays([pa.array(v), pa.nulls(most, pa.int64())]) for v in (tokens, n_known, n_bytes)),
+                        *(pa.concat_arrays([pa.array(v), pa.nulls(most, pa.float64())]) for v in (base, score)),
+                        *(pa.concat_arrays([pa.nulls(size, pa.int64()), pa.array(v, pa.int64()), pa.nulls(len(keys), pa.int64())]) for v in (rare, times)),
+                        pa.concat_arrays([pa.nulls(size + more, pa.int64()), pa.array(keys)]),
+                    ],
+                    names=[n for n, _ in names],
+                )
+
+    rows = kept(source.select("uid", "id", "text").mapInArrow(giving_back(summed), T.StructType([T.StructField(n, t) for n, t in names])), "document-parts")
+    numbered = words.select(F.xxhash64("word").alias("word"), "n")
     rare = (
-        rows.where("wid IS NOT NULL")
-        .select("uid", "wid", "times")
-        .join(scored.select("wid", "n", "logp").hint("merge"), "wid")
+        rows.where("word IS NOT NULL")
+        .select("uid", "word", "times")
+        .join(numbered.hint("merge"), "word")
         .groupBy("uid")
         .agg(
             F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
             F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_base"),
-            F.sum(F.col("times") * F.col("logp")).alias("more_score"),
         )
     )
+    seldom = rows.where("key IS NOT NULL").select("uid", "key").join(scores.select("key", "logp").hint("merge"), "key").groupBy("uid").agg(F.sum("logp").alias("more_score"))
     none = F.lit(0.0)
+    score = F.col("score") + F.coalesce("more_score", none)
     return (
-        rows.where("wid IS NULL")
+        rows.where("word IS NULL AND key IS NULL")
         .join(rare, "uid", "left")
+        .join(seldom, "uid", "left")
         .select(
             F.col("id").alias(id_column),
             "n_tokens",
             (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
             F.lit(int(total)).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("more_base", none) - F.col("n_tokens") * float(np.log10(total + distinct + 1))).alias("base_score"),
-            (F.col("score") + F.coalesce("more_score", none)).alias("score"),
+            score.alias("score"),
+            (-score * float(np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
         )
     )
 
